@@ -1 +1,414 @@
-"""Queries."""
+"""Model queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pulseloom.operators import metrics, models, splits
+from pulseloom.plans.bindings import table, view
+from pulseloom.plans.registry import query
+from pulseloom.session import materialise, scratch_path
+
+_LABEL = "label"
+
+
+def split_posts(spark, sf_dir):
+    """The main corpus with its chronological split and log target."""
+    split = splits.chronological_split(view(spark, sf_dir, "posts"))
+    return split.withColumn("target", splits.log_engagement(F.col("total_engagement")))
+
+
+def _train_test(split):
+    # Posts without engagement have no target.
+    known = materialise(split.where(F.col("target").isNotNull()), "split")
+    return known.where("is_train"), known.where(~F.col("is_train"))
+
+
+@query("chronological_split", "select post_id, published_at, time_rank, is_train from split")
+def chronological_split(spark, sf_dir):
+    split = splits.chronological_split(view(spark, sf_dir, "posts"))
+    return split.select("post_id", "published_at", "time_rank", "is_train")
+
+
+@query(
+    "feature_preprocess",
+)
+def feature_preprocess(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    posts = materialise(view(spark, sf_dir, "posts"), "posts")
+    prepared = models.fit_preprocessor(posts).transform(posts)
+    return prepared.select("post_id", F.size(vector_to_array("features")).alias("feature_count"),
+                           *[f"n_{c}" for c in models.NUMERIC_FEATURES], *[f"f_{c}" for c in models.CATEGORICAL_FEATURES])
+
+
+_FILLED = ", ".join(
+    f"round(coalesce(cast({c} as double), (select median(cast({c} as double)) from posts)), 6) as n_{c}"
+    for c in models.NUMERIC_FEATURES
+)
+_MODES = ", ".join(
+    f"coalesce({c}, (select {c} from posts where {c} is not null group by {c} order by count(*) desc, {c} limit 1)) as f_{c}"
+    for c in models.CATEGORICAL_FEATURES
+)
+
+
+@query("feature_fill", f"select post_id, {_FILLED}, {_MODES} from posts")
+def feature_fill(spark, sf_dir):
+    return feature_preprocess(spark, sf_dir).drop("feature_count")
+
+
+@query(
+    "log_engagement",
+    "select post_id, round(case when total_engagement is null then null else ln(1 + greatest(total_engagement, 0)) end, 6) as target from posts",
+)
+def log_engagement(spark, sf_dir):
+    return view(spark, sf_dir, "posts").select("post_id", splits.log_engagement(F.col("total_engagement")).alias("target"))
+
+
+@query(
+    "baseline_regressor",
+    """select post_id, round((select median(ln(1 + greatest(total_engagement, 0))) from split
+         where is_train and total_engagement is not null), 6) as prediction from split where not is_train""",
+)
+def baseline_regressor(spark, sf_dir):
+    split = materialise(split_posts(spark, sf_dir), "split")
+    rows = split.where(~F.col("is_train")).select("post_id")
+    return splits.baseline_regressor(split.where("is_train"), "target", rows)
+
+
+def _evaluated(model, test, target="target"):
+    predicted = model.transform(test)
+    return metrics.regression_metrics(predicted, target, "prediction")
+
+
+@query("ridge_regression")
+def ridge_regression(spark, sf_dir):
+    train, test = _train_test(split_posts(spark, sf_dir))
+    return _evaluated(models.fit_on_features(models.ridge("target", train.count()), train), test)
+
+
+@query("forest_regressor")
+def forest_regressor(spark, sf_dir):
+    train, test = _train_test(split_posts(spark, sf_dir))
+    return _evaluated(models.fit_on_features(models.forest_regressor("target"), train), test)
+
+
+_Y, _P = "round(ln(1 + total_engagement), 6)", "round(ln(1 + views) / 2, 6)"
+
+
+@query(
+    "regression_metrics",
+    f"""select round(avg(abs(y - p)), 6) as mae, round(sqrt(avg((y - p) * (y - p))), 6) as rmse,
+          round(1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)), 6) as r2
+        from (select {_Y} as y, {_P} as p, avg({_Y}) over () as m from posts where total_engagement is not null)""",
+)
+def regression_metrics(spark, sf_dir):
+    fixed = view(spark, sf_dir, "posts").select(
+        F.round(F.log1p("total_engagement"), 6).alias("y"), F.round(F.log1p("views") / F.lit(2), 6).alias("p")
+    )
+    return metrics.regression_metrics(fixed, "y", "p")
+
+
+_VIRAL = """select s.*, case when s.viral_coefficient >= t.p90 then 1 else 0 end as viral from split s left join (
+  select platform, quantile_cont(viral_coefficient, 0.9) as p90 from split where is_train group by platform) t
+  on t.platform = s.platform"""
+
+
+def viral_posts(spark, sf_dir):
+    split = materialise(splits.chronological_split(view(spark, sf_dir, "posts")), "split")
+    return materialise(splits.viral_label(split.where("is_train"), split), "viral")
+
+
+@query("viral_label", f"select post_id, platform, is_train, viral from ({_VIRAL})")
+def viral_label(spark, sf_dir):
+    return viral_posts(spark, sf_dir).select("post_id", "platform", "is_train", "viral")
+
+
+@query(
+    "baseline_classifier",
+    f"""select viral, count(*) as row_count, round(count(*) * 1.0::double / sum(count(*)) over (), 6) as prior,
+          count(*) = max(count(*)) over () as is_predicted from ({_VIRAL}) where is_train group by viral""",
+)
+def baseline_classifier(spark, sf_dir):
+    return splits.baseline_classifier(viral_posts(spark, sf_dir).where("is_train"), "viral")
+
+
+def _viral_metrics(model, test):
+    from pyspark.ml.functions import vector_to_array
+
+    predicted = model.transform(test).withColumn("score", vector_to_array("probability")[1])
+    predicted = materialise(predicted.select("viral", "prediction", "score"), "predicted")
+    # Two frames of one row.
+    return metrics.binary_metrics(predicted, "viral", "prediction").crossJoin(
+        F.broadcast(metrics.average_precision(predicted, "viral", "score"))
+    )
+
+
+@query("logistic_balanced")
+def logistic_balanced(spark, sf_dir):
+    posts = viral_posts(spark, sf_dir)
+    return _viral_metrics(models.fit_balanced(models.logistic, posts.where("is_train"), "viral"), posts.where("not is_train"))
+
+
+@query("forest_classifier")
+def forest_classifier(spark, sf_dir):
+    posts = viral_posts(spark, sf_dir)
+    model = models.fit_balanced(lambda label, rows: models.forest_classifier(label), posts.where("is_train"), "viral")
+    return _viral_metrics(model, posts.where("not is_train"))
+
+
+def _fixed_binary(spark, sf_dir):
+    posts = view(spark, sf_dir, "posts")
+    return posts.select(
+        F.coalesce((F.col("viral_coefficient") >= 1).cast("int"), F.lit(0)).alias("y"),
+        (F.col("sentiment_positive") >= F.lit("0.5").cast("double")).cast("int").alias("p"),
+        F.col("sentiment_positive").alias("score"),
+    )
+
+
+_FIXED = """select case when viral_coefficient >= 1 then 1 else 0 end as y, case when sentiment_positive >= 0.5 then 1 else 0 end as p,
+  sentiment_positive as score from posts"""
+
+
+@query(
+    "binary_metrics",
+    f"""select round(2.0::double * tp / (2 * tp + fp + fn), 6) as f1_viral,
+          round((tp::double / (tp + fn) + tn::double / (tn + fp)) / 2, 6) as balanced_accuracy,
+          round(tp::double / (tp + fp), 6) as precision_viral, round(tp::double / (tp + fn), 6) as recall_viral
+        from (select count(*) filter (where y = 1 and p = 1) as tp, count(*) filter (where y = 0 and p = 1) as fp,
+                count(*) filter (where y = 1 and p = 0) as fn, count(*) filter (where y = 0 and p = 0) as tn from ({_FIXED}))""",
+)
+def binary_metrics(spark, sf_dir):
+    return metrics.binary_metrics(_fixed_binary(spark, sf_dir), "y", "p")
+
+
+@query(
+    "average_precision",
+    f"""select round(sum(pos * cp::double / cn) / sum(pos), 6) as pr_auc from (
+          select pos, sum(pos) over (order by score desc) as cp, sum(n) over (order by score desc) as cn
+          from (select score, count(*) as n, sum(y) as pos from ({_FIXED}) group by score))""",
+)
+def average_precision(spark, sf_dir):
+    return metrics.average_precision(_fixed_binary(spark, sf_dir), "y", "score")
+
+
+_CORPORA = """select doc_id, 'docs' as corpus, d.text, case l.quality when 0 then 'negative' when 1 then 'positive' end as label, d.lang as language
+  from documents d join labels l using (doc_id) where d.text is not null and l.quality in (0, 1)
+  union all
+  select event_id, 'events', props, case when user_id % 5 = 0 then 'negative' when user_id % 5 = 4 then 'positive' end, 'en'
+  from events where user_id % 5 in (0, 4) and props is not null"""
+
+
+@query("normalise_corpora", _CORPORA)
+def normalise_corpora(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    first = documents.select("doc_id", F.lit("docs").alias("corpus"), "text", F.col("quality").alias("label"), "lang")
+    events = table(spark, sf_dir, "events")
+    second = events.select(
+        F.col("event_id").alias("doc_id"), F.lit("events").alias("corpus"), "props", (F.col("user_id") % 5).alias("polarity")
+    )
+    return splits.normalise_corpora(
+        splits.normalise_corpus(first, "text", "label", splits.LABELS_01, F.col("lang")).drop("lang"),
+        splits.normalise_corpus(second, "props", "polarity", splits.LABELS_04, "en"),
+    )
+
+
+_HASH = "md5(concat(cast(doc_id as varchar), '-42'))"
+
+
+@query(
+    "stratified_sample",
+    f"""select doc_id, r.label from (select *, row_number() over (partition by label order by {_HASH}) as place from reviews) r
+        join (select label, whole + case when row_number() over (order by exact - whole desc, label)
+                <= 150 - sum(whole) over () then 1 else 0 end as quota
+              from (select label, count(*) * 150.0::double / sum(count(*)) over () as exact,
+                      cast(floor(count(*) * 150.0::double / sum(count(*)) over ()) as bigint) as whole
+                    from reviews group by label)) q on q.label = r.label and r.place <= q.quota""",
+)
+def stratified_sample(spark, sf_dir):
+    return splits.stratified_sample(view(spark, sf_dir, "reviews"), "doc_id", _LABEL, 150).select("doc_id", "label")
+
+
+@query(
+    "stratified_split",
+    f"""select doc_id, label, row_number() over (partition by label order by {_HASH})
+          <= count(*) over (partition by label) * 80 // 100 as is_train from reviews""",
+)
+def stratified_split(spark, sf_dir):
+    return splits.stratified_split(view(spark, sf_dir, "reviews"), "doc_id", _LABEL).select("doc_id", "label", "is_train")
+
+
+_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
+_TERMS = f"""select doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: concat(t[i], ' ', t[i + 1])))) as term
+  from (select doc_id, {_TOKENS} as t from documents)"""
+_COUNTS = f"select doc_id, term, count(*) as c from ({_TERMS}) group by 1, 2"
+_VOCABULARY = f"""select term, cast(sum(c) as bigint) as corpus_frequency, count(*) as document_frequency,
+  ln((1.0::double + (select count(*) from documents)) / (1 + count(*))) + 1 as idf
+  from ({_COUNTS}) group by term having count(*) >= 3 order by sum(c) desc, term limit 80000"""
+
+
+@query("term_table", f"select term, corpus_frequency, document_frequency, round(idf, 6) as idf from ({_VOCABULARY})")
+def term_table(spark, sf_dir):
+    return models.term_table(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(
+    "tfidf_features",
+    f"""select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as tfidf from (
+          select c.doc_id, c.term, (1 + ln(c.c)) * v.idf as w from ({_COUNTS}) c join ({_VOCABULARY}) v on v.term = c.term)""",
+)
+def tfidf_features(spark, sf_dir):
+    return models.tfidf_features(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def split_reviews(spark, sf_dir):
+    split = materialise(splits.stratified_split(view(spark, sf_dir, "reviews"), "doc_id", _LABEL), "split")
+    return split.where("is_train"), split.where(~F.col("is_train"))
+
+
+def sentiment_model(spark, sf_dir):
+    return models.fit_text_model(lambda label, n: models.logistic(label, n, max_iter=300), split_reviews(spark, sf_dir)[0])
+
+
+def _text_metrics(model, test):
+    predicted = materialise(models.predict_labels(model, test).select("label", "predicted_label"), "predicted")
+    return metrics.macro_metrics(predicted, "label", "predicted_label")
+
+
+@query("text_logistic")
+def text_logistic(spark, sf_dir):
+    train, test = split_reviews(spark, sf_dir)
+    return _text_metrics(models.fit_text_model(lambda label, n: models.logistic(label, n, max_iter=300), train), test)
+
+
+@query("text_linear_svm")
+def text_linear_svm(spark, sf_dir):
+    train, test = split_reviews(spark, sf_dir)
+    return _text_metrics(models.fit_text_model(models.linear_svm, train), test)
+
+
+def _macro_sql(group: str) -> str:
+    g = f"{group}, " if group else ""
+    return f"""select {g}class, sum(tp) as tp, sum(actual) as actual, sum(predicted) as predicted from (
+        select {g}label as class, case when label = fixed_prediction then 1 else 0 end as tp, 1 as actual, 0 as predicted from reviews
+        union all select {g}fixed_prediction, 0, 0, 1 from reviews) group by {g}class"""
+
+
+_F1 = "round(avg(case when actual + predicted = 0 then 0 else 2.0::double * tp / (actual + predicted) end), 6) as f1_macro"
+_RECALL = "case when actual = 0 then 0 else tp::double / actual end"
+
+
+@query(
+    "macro_metrics",
+    f"""select {_F1}, round(avg({_RECALL}) filter (where actual > 0), 6) as balanced_accuracy,
+          round(avg(case when predicted = 0 then 0 else tp::double / predicted end), 6) as precision_macro,
+          round(avg({_RECALL}), 6) as recall_macro from ({_macro_sql('')})""",
+)
+def macro_metrics(spark, sf_dir):
+    return metrics.macro_metrics(view(spark, sf_dir, "reviews"), "label", "fixed_prediction")
+
+
+@query(
+    "metrics_by_language",
+    f"""select language, {_F1}, round(avg({_RECALL}) filter (where actual > 0), 6) as balanced_accuracy
+        from ({_macro_sql('language')}) group by language""",
+)
+def metrics_by_language(spark, sf_dir):
+    return metrics.metrics_by_language(view(spark, sf_dir, "reviews"), "label", "fixed_prediction")
+
+
+@query(
+    "confusion_matrix",
+    """select label, count(*) filter (where fixed_prediction = 'negative') as predicted_negative,
+         count(*) filter (where fixed_prediction = 'positive') as predicted_positive from reviews group by label order by label""",
+)
+def confusion_matrix(spark, sf_dir):
+    return metrics.confusion_matrix(view(spark, sf_dir, "reviews"), "label", "fixed_prediction", ["positive", "negative"])
+
+
+@query("persist_model")
+def persist_model(spark, sf_dir):
+    path = scratch_path(spark, "model")
+    models.save_model(sentiment_model(spark, sf_dir), path)
+    return models.score_text(models.load_model(path), view(spark, sf_dir, "reviews")).select("doc_id", "sentiment_label")
+
+
+@query("score_text")
+def score_text(spark, sf_dir):
+    return models.score_text(sentiment_model(spark, sf_dir), table(spark, sf_dir, "documents")).drop("text")
+
+
+@query(
+    "score_resumable",
+    """select post_id, text_content from social_posts where source_id in (2, 3) and text_content is not null
+         and post_id not in (select post_id from predictions where model_id = 11)""",
+)
+def score_resumable(spark, sf_dir):
+    posts, stored = view(spark, sf_dir, "social_posts"), view(spark, sf_dir, "predictions")
+    return models.score_candidates(posts, stored, 11, [2, 3])
+
+
+@query("score_resumed")
+def score_resumed(spark, sf_dir):
+    stored = view(spark, sf_dir, "predictions")
+    scored = models.score_text(sentiment_model(spark, sf_dir), score_resumable(spark, sf_dir), "text_content")
+    return models.append_predictions(stored, scored.drop("text_content"), 11)
+
+
+@query(
+    "score_refresh",
+    """select prediction_id, post_id, model_id, sentiment_label from predictions
+       where not (model_id = 11 and post_id in (select post_id from social_posts where source_id in (2, 3)))""",
+)
+def score_refresh(spark, sf_dir):
+    posts, stored = view(spark, sf_dir, "social_posts"), view(spark, sf_dir, "predictions")
+    kept = models.score_refresh(stored, posts, 11, [2, 3])
+    return kept.select("prediction_id", "post_id", "model_id", "sentiment_label")
+
+
+@query("score_external")
+def score_external(spark, sf_dir):
+    from pulseloom.sources.files import scan_structured
+
+    target = scratch_path(spark, "scored") + ".parquet"
+    models.score_external(spark, sentiment_model(spark, sf_dir), f"{sf_dir}/documents.parquet", target)
+    return scan_structured(spark, target).drop("text")
+
+
+_KEPT = "not (source_id = 3 and task_type = 'sentiment')"
+_NEW_RUN = """select (select max(o_orderkey) from orders) + 1 as run_id, 11 as model_id, 3 as source_id,
+  'sentiment' as task_type, 80 as train_rows, 20 as test_rows, timestamp '2024-01-02 00:00:00' as run_at"""
+
+
+def _tracked(spark, sf_dir):
+    runs, values = view(spark, sf_dir, "runs"), view(spark, sf_dir, "metrics")
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    new = metrics.run_row(spark, last + 1, 11, 3, "sentiment", 80, 20, {"model": "tfidf_logistic"}, "2024-01-02 00:00:00")
+    scores = metrics.macro_metrics(view(spark, sf_dir, "reviews"), "label", "fixed_prediction").select("f1_macro", "recall_macro")
+    rows = metrics.metric_rows(scores, last + 1, (last + 1) * 10)
+    return metrics.track_run(runs, values, new, rows, 3, "sentiment")
+
+
+@query(
+    "track_run",
+    f"select run_id, model_id, source_id, task_type, train_rows, test_rows, run_at from runs where {_KEPT} union all {_NEW_RUN}",
+)
+def track_run(spark, sf_dir):
+    return _tracked(spark, sf_dir)[0]
+
+
+@query(
+    "track_run_metrics",
+    f"""select metric_id, run_id, metric_name, round(metric_value, 6) as metric_value from metrics
+        where run_id not in (select run_id from runs where not {_KEPT})
+        union all select (select max(o_orderkey) + 1 from orders) * 10 + i, (select max(o_orderkey) + 1 from orders), name, value
+        from (select 0 as i, 'f1_macro' as name, (select {_F1} from ({_macro_sql('')})) as value
+              union all select 1, 'recall_macro', (select round(avg({_RECALL}), 6) from ({_macro_sql('')})))""",
+)
+def track_run_metrics(spark, sf_dir):
+    return _tracked(spark, sf_dir)[1].drop("class_label")
+
+
+@query("discover_themes")
+def discover_themes(spark, sf_dir):
+    return models.discover_themes(table(spark, sf_dir, "documents").select("doc_id", "text"), 6).select("doc_id", "cluster")
