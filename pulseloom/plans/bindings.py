@@ -51,6 +51,8 @@ left join (select l_orderkey, cast(sum(l_quantity) as bigint) as likes, count(*)
            from lineitem group by l_orderkey) l on l_orderkey = o_orderkey
 """
 
+# The one-row count is joined inside, below a projection: on the same level as the
+# documents the optimizer may put a delay filter between events and all documents.
 COMMENTS = """
 select 'facebook' as plateforme, cast(e.event_id as string) as id_commentaire, cast(d.doc_id as string) as id_publication,
   case when e.user_id % 10 = 0 then concat('u', e.user_id) else concat('u', e.user_id, '-', day(e.ts)) end as pseudo_auteur,
@@ -59,8 +61,9 @@ select 'facebook' as plateforme, cast(e.event_id as string) as id_commentaire, c
   {ntz} '2024-01-01 00:00:00' + {hours} as date_publication,
   e.event_type as type_contenu, case when d.doc_id % 2 = 0 then 'BBC' else 'CNN' end as ecole,
   d.n_chars as likes, d.doc_id % 50 as partages, d.n_chars * 10 as vues, e.event_id % 100 as nb_commentaires
-from events e cross join (select count(*) as n_docs from documents) n
-join documents d on d.doc_id = e.event_id % n.n_docs
+from (select event_id, ts, user_id, event_type, props, event_id % n.n_docs as doc_ref
+      from events cross join (select count(*) as n_docs from documents) n) e
+join documents d on d.doc_id = e.doc_ref
 """
 
 PUBLICATIONS = """

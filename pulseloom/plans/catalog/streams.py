@@ -1 +1,91 @@
-"""Queries."""
+"""Streaming queries, run to completion over the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pulseloom.operators import behavior
+from pulseloom.operators.warehouse import PostFact
+from pulseloom.plans.bindings import table, view
+from pulseloom.plans.catalog.capture import STAGING
+from pulseloom.plans.catalog.models import sentiment_model
+from pulseloom.plans.catalog.themes import post_themes
+from pulseloom.plans.registry import query
+from pulseloom.session import materialise, scratch_path
+from pulseloom.streaming import jobs
+
+_ORDER = "o_orderkey bigint, o_custkey bigint, o_orderpriority string"
+
+
+def table_stream(spark, sf_dir, name):
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@query("stream_ingest", "select o_orderkey, o_custkey, o_orderpriority from orders")
+def stream_ingest(spark, sf_dir):
+    """The orders dropped twice as the same files: the second drop must add nothing."""
+    root = scratch_path(spark, "ingest")
+    drops = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    ingest = jobs.StreamIngest(spark, f"{root}/staging", _ORDER)
+    for drop in ("first", "second"):
+        drops.write.option("header", True).csv(f"{root}/drop/{drop}")
+        ingest.run(f"{root}/drop", f"{root}/checkpoint")
+    return ingest.rows().drop("source_file")
+
+
+@query(
+    "stream_scd2",
+    """select f.post_id, f.comment_id as external_post_id, f.score as likes,
+         timestamp '2024-01-01 01:00:00' as effective_date,
+         case when u.comment_id is not null then timestamp '2024-01-02 00:00:00' end as expiration_date,
+         u.comment_id is null as is_current
+       from fact1 f left join (select comment_id from change2 where is_update) u using (comment_id)
+       union all
+       select (select max(post_id) from fact1) + row_number() over (order by comment_id), comment_id, score,
+         timestamp '2024-01-02 00:00:00', null, true from change2""",
+)
+def stream_scd2(spark, sf_dir):
+    """The two staging batches arrive one after the other."""
+    root = scratch_path(spark, "scd2")
+    fact = PostFact(spark, root)
+    for name in ("staging_v1", "staging_v2"):
+        batch = view(spark, sf_dir, name)
+        batch.write.mode("append").parquet(f"{root}/staging")
+        stream = spark.readStream.schema(batch.schema).parquet(f"{root}/staging")
+        jobs.stream_scd2(stream, fact, STAGING, f"{root}/checkpoint")
+    return fact.read(5).select(
+        "post_id", "external_post_id", "likes", "effective_date", "expiration_date", "is_current"
+    )
+
+
+@query(
+    "stream_daily_kpi",
+    """select activity_date, post_count, total_engagement, round(average_viral_coefficient, 6) as average_viral_coefficient,
+         round(average_toxicity, 6) as average_toxicity from daily""",
+)
+def stream_daily_kpi(spark, sf_dir):
+    root = scratch_path(spark, "daily")
+    posts = view(spark, sf_dir, "posts", orders=table_stream(spark, sf_dir, "orders"))
+    return jobs.stream_daily_kpi(posts, f"{root}/checkpoint", f"{root}/kpi")
+
+
+@query(
+    "stream_hourly_activity",
+    """select cast(h.hour as int) as hour, count(v.comment_id) as comment_count from range(24) h(hour)
+       left join valid v on v.comment_hour = h.hour group by 1""",
+)
+def stream_hourly_activity(spark, sf_dir):
+    root = scratch_path(spark, "hourly")
+    comments = view(spark, sf_dir, "comments", events=table_stream(spark, sf_dir, "events"))
+    themes = materialise(post_themes(spark, sf_dir), "themes")
+    windows = jobs.stream_hourly_activity(behavior.comment_context(comments, themes), f"{root}/checkpoint", f"{root}/windows")
+    per_hour = windows.groupBy(F.hour("window_start").alias("hour")).agg(F.sum("comment_count").alias("comment_count"))
+    return behavior.zero_filled_hours(per_hour)
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    root = scratch_path(spark, "score")
+    posts = view(spark, sf_dir, "social_posts", documents=table_stream(spark, sf_dir, "documents"))
+    return jobs.stream_score(posts, sentiment_model(spark, sf_dir), 11, f"{root}/checkpoint", f"{root}/predictions")

@@ -99,34 +99,36 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def _hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
-
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for uri in batch["path"]:
-            system, location = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(location) as stream:
-                while block := stream.read(_READ_BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(file_hash=digests)[["path", "length", "file_hash"]]
-
-
 def file_fingerprints(spark: SparkSession, path: str | list[str], native_bytes: int = NATIVE_HASH_BYTES) -> DataFrame:
     """SHA-256 of each file's bytes: (path, length, file_hash).
 
     Small files go through the binary source. Content of large files is never
     one row: their bytes are streamed where the task runs.
     """
+
+    def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for uri in batch["path"]:
+                system, location = fs.FileSystem.from_uri(uri)
+                digest = hashlib.sha256()
+                with system.open_input_stream(location) as stream:
+                    while block := stream.read(_READ_BLOCK):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield batch.assign(file_hash=digests)[["path", "length", "file_hash"]]
+
     files = spark.read.format("binaryFile").load(path)
     small = files.where(F.col("length") <= native_bytes).select(
         "path", "length", F.sha2("content", 256).alias("file_hash")
     )
     large = files.where(F.col("length") > native_bytes).select("path", "length")
+    if large.isEmpty():
+        return small
     # Listing puts many files in one task; spread them, as each is read whole.
-    large = large.repartition("path").mapInPandas(_hash_blocks, "path string, length bigint, file_hash string")
-    return small.unionByName(large)
+    hashed = large.repartition("path").mapInPandas(hash_blocks, "path string, length bigint, file_hash string")
+    return small.unionByName(hashed)

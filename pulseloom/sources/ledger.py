@@ -92,6 +92,13 @@ def ledger_status(attempts: DataFrame, order: str, force: str | None = None) ->
     return attempts.join(first, keys).withColumn("status", status).drop("_first")
 
 
+def content_hash(fingerprints: DataFrame) -> str:
+    """The hash of a file, or one hash over those of a folder's files in sorted order."""
+    listed = fingerprints.agg(F.array_sort(F.collect_list("file_hash")).alias("h"))
+    whole = F.when(F.size("h") == 1, F.col("h")[0]).otherwise(F.sha2(F.array_join("h", ","), 256))
+    return listed.select(whole).first()[0]
+
+
 class StagingArea:
     """Staging tables and the ledger as Parquet folders below one root."""
 
@@ -133,7 +140,7 @@ class StagingArea:
         schema = table_schema(table)
         profile = self.profiles.get(table, LoadProfile()).override(**explicit)
         name = os.path.basename(path)
-        file_hash = file_fingerprints(self.spark, path).first()["file_hash"]
+        file_hash = content_hash(file_fingerprints(self.spark, path))
         known = F.col("status").isin(LOADED, FORCED) & (F.col("table_name") == table)
         prior = self.ledger().where(known & (F.col("file_hash") == file_hash)).limit(1).count() > 0
         log_id = self._next_log_id()
