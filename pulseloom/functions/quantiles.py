@@ -34,28 +34,28 @@ class Measure(NamedTuple):
 
 
 def rows(alias: str) -> Measure:
-    return Measure(alias, [F.count(F.lit(1)).alias(f"_{alias}")], F.coalesce(F.sum(f"_{alias}"), F.lit(0)).alias(alias))
+    return Measure(alias, [F.count(F.lit(1)).alias(f"_m_{alias}")], F.coalesce(F.sum(f"_m_{alias}"), F.lit(0)).alias(alias))
 
 
 def rows_where(condition: Column, alias: str) -> Measure:
-    return Measure(alias, [F.count_if(condition).alias(f"_{alias}")], F.coalesce(F.sum(f"_{alias}"), F.lit(0)).alias(alias))
+    return Measure(alias, [F.count_if(condition).alias(f"_m_{alias}")], F.coalesce(F.sum(f"_m_{alias}"), F.lit(0)).alias(alias))
 
 
 def total(column: str, alias: str) -> Measure:
-    return Measure(alias, [F.sum(column).alias(f"_{alias}")], F.sum(f"_{alias}").alias(alias))
+    return Measure(alias, [F.sum(column).alias(f"_m_{alias}")], F.sum(f"_m_{alias}").alias(alias))
 
 
 def mean(column: str, alias: str) -> Measure:
-    parts = [F.sum(column).alias(f"_s_{alias}"), F.count(column).alias(f"_c_{alias}")]
-    return Measure(alias, parts, F.try_divide(F.sum(f"_s_{alias}").cast("double"), F.sum(f"_c_{alias}")).alias(alias))
+    parts = [F.sum(column).alias(f"_ms_{alias}"), F.count(column).alias(f"_mc_{alias}")]
+    return Measure(alias, parts, F.try_divide(F.sum(f"_ms_{alias}").cast("double"), F.sum(f"_mc_{alias}")).alias(alias))
 
 
 def least(column: str, alias: str) -> Measure:
-    return Measure(alias, [F.min(column).alias(f"_{alias}")], F.min(f"_{alias}").alias(alias))
+    return Measure(alias, [F.min(column).alias(f"_m_{alias}")], F.min(f"_m_{alias}").alias(alias))
 
 
 def largest(column: str, alias: str) -> Measure:
-    return Measure(alias, [F.max(column).alias(f"_{alias}")], F.max(f"_{alias}").alias(alias))
+    return Measure(alias, [F.max(column).alias(f"_m_{alias}")], F.max(f"_m_{alias}").alias(alias))
 
 
 def summarise(
