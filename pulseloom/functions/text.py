@@ -6,6 +6,7 @@ A word character is a letter, a number or the underscore, in any script.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def fold(text: Column) -> Column:
     The letter-by-letter step runs only on texts that need it.
     """
     special = F.translate(F.lower(F.translate(text, "İ", "i")), _FOLD_FROM, _FOLD_TO)
-    return F.when(text.rlike(f"[İΣ{_FOLD_FROM}]"), special).otherwise(F.lower(text))
+    needed = reduce(lambda a, b: a | b, [text.contains(letter) for letter in "İΣ" + _FOLD_FROM])
+    return F.when(needed, special).otherwise(F.lower(text))
 
 
 def fold_literal(text: str) -> str:

@@ -28,7 +28,7 @@ from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.quantiles import exact_quantiles
@@ -333,28 +333,23 @@ def term_table(df: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY,
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, term_count) over words and neighbouring pairs.
 
-    All terms of a document start in one row, so the partial count is complete
-    before the shuffle.
+    Texts are placed by key before they are taken apart. Counting per (key, term)
+    and any later sum per key then need no further shuffle, and the shuffled text
+    is smaller than its terms.
     """
-    found = spread(df.select(key, text)).withColumn("_t", tokens(F.coalesce(F.col(text), F.lit(""))))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.select(key, text).repartition(parts, key)
+    found = placed.withColumn("_t", tokens(F.coalesce(F.col(text), F.lit(""))))
     exploded = found.select(key, F.explode(unigrams_and_bigrams(F.col("_t"))).alias("term"))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("term_count"))
 
 
 def tfidf_features(df: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(key, term, tfidf): (1 + ln count) * idf at unit length per document."""
-    counts = materialise(term_counts(df, key, text), "terms")
-    documents = df.agg(F.count(F.lit(1)).alias("_docs"))
-    kept = (
-        counts.groupBy("term")
-        .agg(F.sum("term_count").alias("_f"), F.count(F.lit(1)).alias("_df"))
-        .where(F.col("_df") >= min_documents)
-        .orderBy(F.col("_f").desc(), "term")
-        .limit(vocabulary)
-    )
-    idf = F.log((F.lit(1) + F.col("_docs")) / (F.lit(1) + F.col("_df"))) + F.lit(1)
+    terms = term_table(df, key, text, vocabulary, min_documents).select("term", "idf")
     # At most ``vocabulary`` rows.
-    terms = kept.crossJoin(F.broadcast(documents)).select("term", idf.alias("_idf"))
-    weighted = counts.join(F.broadcast(terms), "term").withColumn("_w", (F.lit(1) + F.log("term_count")) * F.col("_idf"))
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weighted.join(norms, key).select(key, "term", (F.col("_w") / F.col("_norm")).alias("tfidf"))
+    weighted = term_counts(df, key, text).join(F.broadcast(terms), "term")
+    weighted = weighted.withColumn("_w", (F.lit(1) + F.log("term_count")) * F.col("idf"))
+    # One document's terms per window, and they are together already.
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", (F.col("_w") / norm).alias("tfidf"))
