@@ -70,9 +70,10 @@ def materialise(df: DataFrame, label: str = "frame") -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Put a frame of very few partitions on all cores before costly per-row work.
 
-    A no-op on inputs that already have a partition per core, so on large ones.
+    A no-op on inputs with more partitions than cores, so on large ones. Splits of
+    one small file may all but one be empty, hence no finer rule.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
