@@ -45,7 +45,7 @@ def dedupe_latest(staged: DataFrame, keys: list[str] | None = None, newest: str
     keys = keys or ["source_id", "external_post_id"]
     rest = [c for c in staged.columns if c not in keys]
     payload = F.struct(*rest)
-    rank = F.struct(F.col(newest), F.to_json(F.struct(*[c for c in rest if c != newest])))
+    rank = F.struct(newest, *[c for c in rest if c != newest])
     return staged.groupBy(*keys).agg(F.max_by(payload, rank).alias("_row")).select(*keys, "_row.*").select(*staged.columns)
 
 

@@ -31,6 +31,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseloom.functions.ordering import global_rank
 from pulseloom.functions.quantiles import exact_quantiles
 from pulseloom.functions.text import WORD, tokens, unigrams_and_bigrams
 from pulseloom.operators.splits import balanced_weights
@@ -286,9 +287,15 @@ def score_refresh(predictions: DataFrame, posts: DataFrame, model_id: int, sourc
 
 
 def append_predictions(predictions: DataFrame, scored: DataFrame, model_id: int) -> DataFrame:
-    """New rows that the stored predictions do not hold yet; one per post and model."""
+    """New rows that the stored predictions do not hold yet; one per post and model.
+
+    Prediction ids go on after the largest stored one, in order of the post.
+    """
     fresh = scored.withColumn("model_id", F.lit(model_id)).dropDuplicates(["post_id", "model_id"])
-    return fresh.join(predictions.select("post_id", "model_id"), ["post_id", "model_id"], "left_anti")
+    fresh = fresh.join(predictions.select("post_id", "model_id"), ["post_id", "model_id"], "left_anti")
+    last = predictions.agg(F.max("prediction_id")).first()[0] or 0
+    numbered = global_rank(fresh, [F.col("post_id")], "prediction_id", last)
+    return numbered.withColumn("is_human_validated", F.lit(False))
 
 
 def score_external(spark, model: PipelineModel, source: str, target: str, text: str = "text") -> int:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseloom.operators.capture import current_snapshot, dedupe_latest, map_to_common, scd2_apply, scd2_summary
 from pulseloom.schemas import MAPPINGS, VERSIONED_FACT, column_types
+from pulseloom.session import materialise
 
 _POINTERS = "table_name string, source_id int, batch_id bigint, path string, last_post_id bigint"
 
@@ -62,7 +63,9 @@ class PostFact:
         """Map, deduplicate and merge one staging table; returns the summary row."""
         source_id = MAPPINGS[table][0]
         mapped = map_to_common(staging, table)
+        # Written once, as the counts and the merge both read it.
         staged = dedupe_latest(mapped.where(F.col("external_post_id").isNotNull())).drop("ingested_at")
+        staged = materialise(staged, "staged")
         before = current_snapshot(self.read(source_id), source_id)
         summary = scd2_summary(staging, staged, before).withColumn("source", F.lit(table))
         # Taken before the merge: the counts compare against the old snapshot.

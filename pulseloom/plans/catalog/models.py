@@ -30,8 +30,20 @@ def chronological_split(spark, sf_dir):
     return split.select("post_id", "published_at", "time_rank", "is_train")
 
 
+_FILLED = ", ".join(
+    f"round(coalesce(cast({c} as double), (select median(cast({c} as double)) from posts)), 6) as n_{c}"
+    for c in models.NUMERIC_FEATURES
+)
+_MODES = ", ".join(
+    f"coalesce({c}, (select {c} from posts where {c} is not null group by {c} order by count(*) desc, {c} limit 1)) as f_{c}"
+    for c in models.CATEGORICAL_FEATURES
+)
+_WIDTH = " + ".join(f"(select count(distinct {c}) from posts)" for c in models.CATEGORICAL_FEATURES)
+
+
 @query(
     "feature_preprocess",
+    f"select post_id, cast({len(models.NUMERIC_FEATURES)} + {_WIDTH} as int) as feature_count, {_FILLED}, {_MODES} from posts",
 )
 def feature_preprocess(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
@@ -42,16 +54,6 @@ def feature_preprocess(spark, sf_dir):
                            *[f"n_{c}" for c in models.NUMERIC_FEATURES], *[f"f_{c}" for c in models.CATEGORICAL_FEATURES])
 
 
-_FILLED = ", ".join(
-    f"round(coalesce(cast({c} as double), (select median(cast({c} as double)) from posts)), 6) as n_{c}"
-    for c in models.NUMERIC_FEATURES
-)
-_MODES = ", ".join(
-    f"coalesce({c}, (select {c} from posts where {c} is not null group by {c} order by count(*) desc, {c} limit 1)) as f_{c}"
-    for c in models.CATEGORICAL_FEATURES
-)
-
-
 @query("feature_fill", f"select post_id, {_FILLED}, {_MODES} from posts")
 def feature_fill(spark, sf_dir):
     return feature_preprocess(spark, sf_dir).drop("feature_count")

@@ -67,13 +67,16 @@ def materialise(df: DataFrame, label: str = "frame") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Put a frame of very few partitions on all cores before costly per-row work.
+    """Put a small frame on all cores before costly per-row work.
 
-    A no-op on inputs with more partitions than cores, so on large ones. Splits of
-    one small file may all but one be empty, hence no finer rule.
+    One small file is one task, however dear its rows are. The size is Catalyst's
+    estimate, so nothing runs to find it; above the bound the frame stays as it is.
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < SMALL_INPUT_BYTES else df
