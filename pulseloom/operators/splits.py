@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.hashing import flag_by_quota
-from pulseloom.functions.joins import null_safe_join
 from pulseloom.functions.ordering import global_rank
 from pulseloom.functions.quantiles import exact_quantiles
 from pulseloom.session import materialise
