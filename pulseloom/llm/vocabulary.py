@@ -29,6 +29,13 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def public_pattern() -> str:
+    """The pattern that splits text before the merges of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 class WordTokenizer:
     """A tokenizer that drops white space, so that each word has ids of its own.
 
