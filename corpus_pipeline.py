@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulseloom.llm import exact_dedup, packing
+from pulseloom.llm import exact_dedup, minhash, packing, secret_scan, toxicity
+from pulseloom.llm.catalog import remainder
 from pulseloom.llm.vocabulary import vocabulary_path
 from pulseloom.plans.bindings import table
 from pulseloom.session import materialise, tune
@@ -14,11 +16,29 @@ from pulseloom.session import materialise, tune
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(remainder(5) != 0))
+    return docs.where(toxicity.score(model, F.col("text")) < 0.5)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.survivors(docs, exact_dedup.fresh_index(tune(spark)))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8 stays."""
+    tune(spark)
+    return minhash.survivors(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every reported part of a credential gives way to a mark."""
+    tune(spark)
+    return secret_scan.redact(docs)
+
+
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     tune(spark)
@@ -26,7 +46,10 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("secret scans", redact_secrets),
     ("packing", pack_tokens),
 ]
 
