@@ -11,8 +11,11 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words kept per encoder; beyond that the memory starts afresh, which changes no result.
-KEPT_WORDS = 400_000
+#: Words kept per encoder; beyond that those met in one batch only are forgotten, which changes no result.
+KEPT_WORDS = 1_000_000
+#: Words that the tokenizer gets in one text, and the letter between them.
+JOINED_WORDS = 100
+_BETWEEN = "\0"
 #: Longer words are encoded each time.
 KEPT_CHARS = 64
 #: Python splits at these, tokenizers do not.
@@ -49,6 +52,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        self.between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
 
     @staticmethod
     @lru_cache(maxsize=4)
@@ -57,17 +62,36 @@ class WordTokenizer:
         return WordTokenizer(path)
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found, strict=True)}
+        if len(self.between) != 1:
+            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found, strict=True)}
+        out = {}
+        plain = [w for w in words if _BETWEEN not in w]
+        for low in range(0, len(plain), JOINED_WORDS):
+            part = plain[low : low + JOINED_WORDS]
+            text = f" {_BETWEEN} ".join(part)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            ends = [*np.flatnonzero(ids == self.between[0]).tolist(), len(ids)]
+            data, start = ids.tobytes(), 0
+            for word, end in zip(part, ends, strict=True):
+                out[word] = data[4 * start : 4 * end]
+                start = end + 1
+        for word in words:
+            if _BETWEEN in word:
+                out[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return out
 
     def batch(self, texts: list[str]) -> list[bytes]:
         split = [_BLANKS.findall(t) if _SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
         distinct = set().union(*split)
-        new = [w for w in distinct if w not in self.known]
+        new = distinct.difference(self.known)
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known = {w: self.known[w] for w in self.again.union(distinct - new)} if len(self.again) < KEPT_WORDS // 2 else {}
+            self.again = set()
+            new = distinct.difference(self.known)
+        self.again |= distinct - new
         long = self._learn([w for w in new if len(w) > KEPT_CHARS])
         self.known.update(self._learn([w for w in new if len(w) <= KEPT_CHARS]))
         if not long:
             return [b"".join(map(self.known.__getitem__, words)) for words in split]
-        return [b"".join([self.known[w] if len(w) <= KEPT_CHARS else long[w] for w in words]) for words in split]
+        return [b"".join([self.known[w] if w in self.known else long[w] for w in words]) for words in split]
