@@ -8,12 +8,15 @@ every link is confirmed on the full shingle sets.
 How the work stays in proportion to the input
 ---------------------------------------------
 * Documents with equal sets are one class from the start; only classes are compared.
-* Each class of a bucket is first compared with one centre, drawn anew in each band, and linked
-  classes become components. Only pairs of a bucket that are still in different components are
-  compared next, block against block, so no pair inside a group of copies is spelled out.
-* A pair is confirmed on texts only if its sizes and its 8-bit coordinates allow the similarity.
-  A pair at the threshold fails the latter test with a chance under 5e-9 (Hoeffding, 240
-  coordinates, 0.2 below), and has no common bucket with a chance of 5e-6 at 0.8 (40 bands of 6).
+* The classes of a bucket are first compared with one of them, its medoid by sketches, and linked
+  classes become components. Buckets are cut into blocks of ``BLOCK`` for that, in another way in
+  each band.
+* Pairs of a bucket that are still in different components are then compared block against
+  block, where they are: tasks first name the classes that have a likely partner, then get the
+  sets of those and give the links only. A pair is compared in the first band that it shares.
+* A pair is looked at more closely only if its sizes and its 8-bit coordinates allow the
+  similarity. A pair at 0.8 fails the latter test with a chance of 2e-6 (240 coordinates, 0.12
+  below), and has no common bucket with a chance of 5e-6 (40 bands of 6).
 
 Defined results
 ---------------
@@ -41,7 +44,7 @@ from pulseloom.session import materialise
 BANDS, BAND_WIDTH = 40, 6
 COORDINATES = BANDS * BAND_WIDTH
 #: Share by which the estimate of a linked pair may fall short.
-MARGIN = 0.2
+MARGIN = 0.12
 #: Classes of a bucket that are compared with one another at a time.
 BLOCK = 512
 
@@ -136,35 +139,48 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return source.mapInArrow(sketch, schema)
 
 
-def _equal_coordinates(a: pa.Array, b: pa.Array) -> np.ndarray:
-    def rows(column: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+def _fixed(column: pa.ChunkedArray, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
-    return (rows(a) == rows(b)).sum(axis=1)
 
+def _near(sketch: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    return (others == sketch).sum(axis=1) >= (percent / 100 - MARGIN) * COORDINATES
 
-def _least_equal(percent: int) -> int:
-    return int((percent / 100 - MARGIN) * COORDINATES)
 
+def _alike(size: int, others: np.ndarray, percent: int) -> np.ndarray:
+    return np.minimum(size, others) * 100 >= np.maximum(size, others) * percent
 
-def _sizes_allow(a: str, b: str, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
+def _units(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Tables and the ranges of their units: rows with equal keys, which come one after the other."""
+    held: pa.Table | None = None
 
-def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sketches allow the similarity."""
-    least = _least_equal(percent)
+    def cut(table: pa.Table, whole: bool) -> tuple[pa.Table, list[tuple[int, int]], pa.Table]:
+        columns = [table.column(k).to_numpy() for k in keys]
+        change = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
+        if not whole:
+            bounds.pop()  # the last unit may go on in the next batch
+        ranges = [(low, high) for low, high in zip(bounds, bounds[1:], strict=False) if high - low > 1]
+        return table, ranges, table.slice(bounds[-1])
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = _equal_coordinates(batch.column("sketch_a"), batch.column("sketch_b")) >= least
-                yield batch.select(["a", "b"]).filter(pa.array(near))
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([batch])
+            table, ranges, held = cut(table if held is None else pa.concat_tables([held, table]), whole=False)
+            yield table, ranges
+    if held is not None and held.num_rows:
+        yield cut(held, whole=True)[:2]
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    left = classes.select(F.col("class").alias("a"), F.col("sketch").alias("sketch_a"))
-    right = classes.select(F.col("class").alias("b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b")
-    return both.mapInArrow(test, "a long, b long")
+
+def texts_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """class and text for classes with their text_key."""
+    texts = docs.select(_text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(classes.select("class", "text_key"), "text_key").select("class", "text").dropDuplicates(["class"])
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -185,9 +201,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
     pairs = materialise(pairs, "pairs")
     used = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(classes, "class")
-    texts = docs.select(_text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(used.select("class", "text_key"), "text_key").select("class", "text").dropDuplicates(["class"])
-    texts = materialise(texts, "texts")
+    texts = materialise(texts_of(used, docs), "texts")
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").hint("merge").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -195,89 +209,131 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
 
 def members_of_buckets(classes: DataFrame) -> DataFrame:
-    """bucket, class, n, centre, centre_n, members for the buckets with several classes."""
-    placed = classes.select(F.explode("buckets").alias("bucket"), "class", F.col("n_shingles").alias("n"))
-    # The order of a bucket is drawn from its name, so each band has another centre.
-    drawn = F.min(F.struct(F.xxhash64("class", "bucket"), F.col("class").alias("class"), F.col("n").alias("n")))
-    stats = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), drawn.alias("_c")).where("members > 1")
-    stats = stats.select("bucket", "members", F.col("_c.class").alias("centre"), F.col("_c.n").alias("centre_n"))
-    return materialise(placed.join(stats, "bucket"), "members")
+    """bucket, class, blocks for the buckets with several classes."""
+    placed = classes.select(F.explode("buckets").alias("bucket"), "class")
+    stats = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = placed.join(stats, "bucket").select("bucket", "class", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    return materialise(members, "members")
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket that are in different components and likely similar.
+def _block() -> Column:
+    """The bucket's name takes part, so that each band is cut in another way."""
+    return F.pmod(F.xxhash64("class", "bucket"), F.col("blocks"))
 
-    A bucket is cut into blocks, and each pair of blocks is one unit of work, dealt by hash.
-    """
-    least = _least_equal(percent)
+
+def medoid_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (a, b) of a class and the medoid of its block."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs_of(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            own, other = np.flatnonzero(rows["block"] == rows["i"]), np.flatnonzero(rows["block"] == rows["j"])
-            found_a, found_b = [], []
-            for x in own:
-                y = other[(rows["class"][other] > rows["class"][x])] if rows["i"][0] == rows["j"][0] else other
-                y = y[(rows["label"][y] != rows["label"][x]) & (rows["class"][y] != rows["centre"][0])]
-                if rows["class"][x] == rows["centre"][0]:
-                    continue
-                sizes = rows["n"]
-                y = y[np.minimum(sizes[y], sizes[x]) * 100 >= np.maximum(sizes[y], sizes[x]) * percent]
-                if len(y):
-                    y = y[(rows["sketch"][y] == rows["sketch"][x]).sum(axis=1) >= least]
-                    found_a.append(np.full(len(y), rows["class"][x]))
-                    found_b.append(rows["class"][y])
-            if not found_a:
-                return np.empty(0, np.int64), np.empty(0, np.int64)
-            return np.concatenate(found_a), np.concatenate(found_b)
-
-        def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            names = ("bucket", "i", "j", "block", "class", "label", "n", "centre")
-            rows = {c: table.column(c).to_numpy() for c in names}
-            rows["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            change = (np.diff(rows["bucket"]) != 0) | (np.diff(rows["i"]) != 0) | (np.diff(rows["j"]) != 0)
-            edges = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
-            a, b = [], []
-            for low, high in zip(edges, edges[1:], strict=False):
-                if high - low > 1:
-                    found = pairs_of({c: v[low:high] for c, v in rows.items()})
-                    a.append(found[0])
-                    b.append(found[1])
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-        # A unit may go on in the next batch: its rows wait for it.
-        held: pa.Table | None = None
+        for table, ranges in _units(batches, ("bucket", "block")):
+            names, sizes = table.column("class").to_numpy(), table.column("n").to_numpy()
+            sketch = _fixed(table.column("sketch"), np.uint8, COORDINATES)
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for low, high in ranges:
+                own = sketch[low:high]
+                if high - low <= 8:
+                    middle = low + int((own[:, None] == own).sum(axis=(1, 2)).argmax())
+                else:
+                    counts = np.bincount((own + 256 * np.arange(COORDINATES)).ravel(), minlength=256 * COORDINATES)
+                    common = counts.reshape(COORDINATES, 256).argmax(axis=1)
+                    middle = low + int((own == common).sum(axis=1).argmax())
+                near = _near(sketch[middle], own, percent) & _alike(sizes[middle], sizes[low:high], percent)
+                near[middle - low] = False
+                other = names[low:high][near]
+                found.append((np.minimum(other, names[middle]), np.maximum(other, names[middle])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+
+    rows = members.join(classes.select("class", F.col("n_shingles").alias("n"), "sketch"), "class")
+    rows = rows.select("bucket", _block().alias("block"), "class", "n", "sketch")
+    return _dealt(rows, "bucket", "block").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _open_partners(rows: dict[str, np.ndarray], x: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Of other rows, those in another component that are likely and share no earlier band with x."""
+    others = others[(rows["label"][others] != rows["label"][x]) & _alike(rows["n"][x], rows["n"][others], percent)]
+    others = others[_near(rows["sketch"][x], rows["sketch"][others], percent)] if len(others) else others
+    if len(others):
+        first = (rows["buckets"][others] == rows["buckets"][x]).argmax(axis=1)
+        others = others[rows["buckets"][x][first] == rows["bucket"][x]]
+    return others
+
+
+def _open_rows(table: pa.Table) -> dict[str, np.ndarray]:
+    rows = {c: table.column(c).to_numpy() for c in ("bucket", "i", "j", "block", "class", "label", "n")}
+    rows["sketch"] = _fixed(table.column("sketch"), np.uint8, COORDINATES)
+    rows["buckets"] = table.column("buckets").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    return rows
+
+
+def _sides(rows: dict[str, np.ndarray], low: int, high: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of block i, and the rows of block j that it meets."""
+    i, j = rows["i"][low], rows["j"][low]
+    block = rows["block"][low:high]
+    own, other = low + np.flatnonzero(block == i), low + np.flatnonzero(block == j)
+    for nth, x in enumerate(own):
+        yield int(x), other[nth + 1 :] if i == j else other
+
+
+def open_classes(rows: DataFrame, percent: int) -> DataFrame:
+    """bucket, i, j, class: the rows with a likely partner in another component."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, ranges in _units(batches, ("bucket", "i", "j")):
+            if not ranges:
+                continue
+            rows = _open_rows(table)
+            marked = np.zeros(table.num_rows, bool)
+            for low, high in ranges:
+                label = rows["label"][low:high]
+                if (label != label[0]).any():
+                    for x, others in _sides(rows, low, high):
+                        partners = _open_partners(rows, x, others, percent)
+                        marked[partners] = True
+                        marked[x] |= len(partners) > 0
+            yield from table.select(["bucket", "i", "j", "class"]).filter(pa.array(marked)).to_batches()
+
+    return _dealt(rows, "bucket", "i", "j").mapInArrow(mark, "bucket long, i long, j long, class long")
+
+
+def open_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components whose sets, by 32-bit names, allow a link."""
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            sets = [np.unique((shingle_set(t, width) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.binary())], ["class", "names"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, ranges in _units(batches, ("bucket", "i", "j")):
+            if not ranges:
                 continue
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            key = [table.column(c).to_numpy() for c in ("bucket", "i", "j")]
-            same = np.logical_and.reduce([k == k[-1] for k in key])
-            cut = table.num_rows - int(same[::-1].cumprod().sum())
-            held = table.slice(cut)
-            if cut:
-                yield from emit(table.slice(0, cut))
-        if held is not None:
-            yield from emit(held)
+            rows, sets = _open_rows(table), [np.frombuffer(x, np.uint32) for x in table.column("names").to_pylist()]
+            a, b = [], []
+            for low, high in ranges:
+                for x, others in _sides(rows, low, high):
+                    for y in _open_partners(rows, x, others, percent).tolist():
+                        common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                        # Few names of a pair of sets can coincide in 32 bits; the full sets decide later.
+                        if 100 * (common + 8) >= percent * (int(rows["n"][x] + rows["n"][y]) - common - 8):
+                            a.append(min(rows["class"][x], rows["class"][y]))
+                            b.append(max(rows["class"][x], rows["class"][y]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     labelled = members.join(labels, members["class"] == labels["node"], "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "class")).drop("node", "component")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l <> _h").select("bucket")
-    rows = labelled.where("members > 2").join(mixed, "bucket").join(classes.select("class", "sketch"), "class")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), blocks))
     # A block meets itself and every other block of its bucket once.
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    rows = rows.select(
-        "bucket",
-        F.least("block", "_other").alias("i"),
-        F.greatest("block", "_other").alias("j"),
-        *("block", "class", "label", "n", "centre", "sketch"),
-    )
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    rows = labelled.join(mixed, "bucket").withColumn("block", _block())
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pair = [F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j")]
+    rows = materialise(rows.select("bucket", *pair, "block", "class", "label"), "open")
+    about = classes.select("class", F.col("n_shingles").alias("n"), "sketch", "buckets")
+    marked = materialise(open_classes(rows.join(about, "class"), percent), "marked")
+    used = marked.select("class").distinct().join(classes.select("class", "text_key"), "class")
+    sets = materialise(texts_of(used, docs).mapInArrow(sets_of, "class long, names binary"), "sets")
+    rows = rows.join(marked, ["bucket", "i", "j", "class"], "left_semi").join(about, "class").join(sets, "class")
+    return _dealt(rows, "bucket", "i", "j").mapInArrow(link, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -288,15 +344,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = classes.select("set_key", F.col("_f.doc_id").alias("doc_id"), F.col("_f.text_key").alias("text_key"))
     # The sketch is read from the row that names the class; repeated rows give it once.
     named = rows.where("set_key is not null").select("set_key", "text_key", "n_shingles", "buckets", "sketch")
-    classes = classes.join(named.dropDuplicates(["set_key", "text_key"]), ["set_key", "text_key"])
+    classes = named.join(classes, ["set_key", "text_key"]).dropDuplicates(["set_key", "text_key"])
     classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
 
     members = members_of_buckets(classes)
-    stars = members.where((F.col("class") != F.col("centre")) & _sizes_allow("n", "centre_n", percent))
-    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
-    links = confirmed(likely(stars, classes, percent), classes, docs, width, percent)
+    links = confirmed(medoid_pairs(members, classes, percent), classes, docs, width, percent)
     labels = materialise(components(links), "labels")
-    more = confirmed(open_pairs(members, labels, classes, percent), classes, docs, width, percent)
+    more = confirmed(open_links(members, labels, classes, docs, width, percent), classes, docs, width, percent)
     # Components so far are stars, which keep what the first links say.
     joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     labels = materialise(components(joined), "labels")
