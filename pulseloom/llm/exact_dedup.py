@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseloom.llm.columns import spare
 from pulseloom.session import materialise, scratch_path
 
 SCHEMA = "digest string, keep_id bigint, group_size bigint"
@@ -103,11 +104,11 @@ def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 def survivors(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The documents that stay, with all their columns, each of them once."""
-    kept = decide(docs, index).where("kept").select("doc_id", "text_sha256").distinct()
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"))
-    hashed = docs.withColumn("_digest", digest(F.col("text")))
-    same = hashed["doc_id"].eqNullSafe(kept["_kept_id"]) & (hashed["_digest"] == kept["_kept_digest"])
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    own, of_id, of_text = (spare(docs, n) for n in ("digest", "kept_id", "kept_digest"))
+    kept = decide(docs, index).where("kept").select(F.col("doc_id").alias(of_id), F.col("text_sha256").alias(of_text)).distinct()
+    hashed = docs.withColumn(own, digest(F.col("text")))
+    same = hashed["doc_id"].eqNullSafe(kept[of_id]) & (hashed[own] == kept[of_text])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
 
 
 def fresh_index(spark: SparkSession) -> DigestIndex:

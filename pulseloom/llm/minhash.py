@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulseloom.llm.columns import spare, text_key
 from pulseloom.llm.components import components
 from pulseloom.session import materialise
 
@@ -102,11 +103,6 @@ def buckets_of(signatures: np.ndarray) -> np.ndarray:
     return _mix64(mixed).view(np.int64)
 
 
-def _text_key() -> Column:
-    """Names a document by what it holds, so that its text can be fetched again."""
-    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
-
-
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, text_key, n_shingles, set_key, buckets, sketch per row; the last three NULL without words."""
 
@@ -134,7 +130,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     schema = "doc_id long, text_key string, n_shingles long, set_key binary, buckets array<long>, sketch binary"
     source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("text_key")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("text_key")
     )
     return source.mapInArrow(sketch, schema)
 
@@ -179,7 +175,7 @@ def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
 
 def texts_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """class and text for classes with their text_key."""
-    texts = docs.select(_text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(classes.select("class", "text_key"), "text_key").select("class", "text").dropDuplicates(["class"])
 
 
@@ -368,7 +364,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def survivors(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all its columns."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("text_key").alias("_kept_key")).distinct()
-    keyed = docs.withColumn("_text_key", _text_key())
-    found = keyed.join(kept, keyed["_text_key"] == kept["_kept_key"], "left_semi")
-    return found.dropDuplicates(["_text_key"]).select(*docs.columns)
+    own, other = spare(docs, "key"), spare(docs, "kept_key")
+    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("text_key").alias(other)).distinct()
+    keyed = docs.withColumn(own, text_key())
+    found = keyed.join(kept, keyed[own] == kept[other], "left_semi")
+    return found.dropDuplicates([own]).select(*docs.columns)

@@ -37,8 +37,8 @@ TREES, BITS = 64, 32
 SHARD_ROWS = 8192
 #: Queries that a task searches at a time.
 QUERY_BLOCK = 2048
-#: Prefixes are shortened until the ranges of all trees hold this share of the shard's rows.
-EFFORT = 0.5
+#: Prefixes are shortened until the ranges of all trees hold this share of the shard's rows, and as many as are asked for.
+EFFORT = 0.6
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -135,7 +135,7 @@ def search(forest: Forest, queries: DataFrame) -> DataFrame:
             orders = np.frombuffer(row["orders"], np.int32).reshape(TREES, -1)
             norms = np.sqrt((matrix * matrix).sum(axis=1))
             points, names = np.stack(block.column("vector").to_numpy()), block.column("class").to_numpy()
-            low, high = _ranges(keys, hash_strings(points, hyperplanes(points.shape[1])), EFFORT * len(own))
+            low, high = _ranges(keys, hash_strings(points, hyperplanes(points.shape[1])), max(EFFORT * len(own), (wanted + 1) * TREES))
             for q, (point, name) in enumerate(zip(points, names, strict=True)):
                 taken = np.zeros(len(own), bool)
                 for t in range(TREES):

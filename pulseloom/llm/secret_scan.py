@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulseloom.llm.columns import spare, text_key
 from pulseloom.session import materialise
 
 #: Kinds of span in the order they are listed, strong ones first.
@@ -96,10 +97,6 @@ def weak_parts(text: str, strong: list[Part]) -> list[Part]:
     return free
 
 
-def _text_key() -> Column:
-    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
-
-
 def find_parts(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and parts (kind, start, end, scope) per row."""
     part_type = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("scope", pa.int64())])
@@ -123,7 +120,7 @@ def find_parts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), parts], ["doc_id", "text_key", "parts"])
 
     source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("text_key")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("text_key")
     )
     return source.mapInArrow(scan, "doc_id long, text_key string, parts array<struct<kind:string,start:long,end:long,scope:long>>")
 
@@ -182,20 +179,21 @@ def redact(docs: DataFrame) -> DataFrame:
             at = max(at, span["end"])
         return "".join([*out, text[at:]])
 
+    own, other, marks = (spare(docs, n) for n in ("key", "found_key", "marks"))
+
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)
-            texts = pa.array([blot(t, s) if s else t for t, s in rows], pa.string())
-            names = batch.schema.names
-            columns = [texts if n == "text" else batch.column(n) for n in names if n != "_spans"]
-            yield pa.RecordBatch.from_arrays(columns, [n for n in names if n != "_spans"])
-
-    found = scan(docs).where(F.size("spans") > 0).select(F.col("text_key").alias("_key"), F.col("spans").alias("_spans"))
-    found = materialise(found.dropDuplicates(["_key"]), "spans")
-    keyed = docs.withColumn("_text_key", _text_key())
-    marked = keyed.join(found, keyed["_text_key"] == found["_key"], "left").select(*docs.columns, "_spans")
-    clean = marked.where("_spans is null").select(*docs.columns)
-    changed = marked.where("_spans is not null").mapInArrow(rewrite, docs.schema)
+            rows = zip(batch.column("text").to_pylist(), batch.column(marks).to_pylist(), strict=True)
+            texts = pa.array([blot(t, s) for t, s in rows], pa.string())
+            names = [n for n in batch.schema.names if n != marks]
+            yield pa.RecordBatch.from_arrays([texts if n == "text" else batch.column(n) for n in names], names)
+
+    found = scan(docs).where(F.size("spans") > 0).select(F.col("text_key").alias(other), F.col("spans").alias(marks))
+    found = materialise(found.dropDuplicates([other]), "spans")
+    keyed = docs.withColumn(own, text_key())
+    marked = keyed.join(found, keyed[own] == found[other], "left").select(*docs.columns, marks)
+    clean = marked.where(F.col(marks).isNull()).select(*docs.columns)
+    changed = marked.where(F.col(marks).isNotNull()).mapInArrow(rewrite, docs.schema)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         changed = changed.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -207,7 +207,7 @@ def fit_label_model(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray
     return model
 
 
-def fit_linear(features: np.ndarray, targets: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+def fit_linear(features: np.ndarray, targets: np.ndarray, penalty: float = 0.05) -> np.ndarray:
     """Weights and intercept of a logistic regression on soft targets, by Newton's method."""
     x = np.c_[features, np.ones(len(features))]
     ridge = np.diag([penalty] * features.shape[1] + [1e-3])

@@ -203,7 +203,7 @@ def _headers(block: bytes) -> dict[str, str] | None:
     found = {}
     for line in block.split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon or not name.strip():
+        if not colon or not name or set(name) & set(b" \t"):
             return None
         found[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
     return found
