@@ -52,11 +52,11 @@ def test_index_is_found_again_by_its_path(docs_of, spark):
 
 
 def test_survivors_keep_columns_and_come_once(docs_of, spark):
-    docs = docs_of(ROWS, keep_id="mine", digest="own", _place=1)
+    docs = docs_of(ROWS, keep_id="mine", digest="own", kept_id=1)
     found = dedup.survivors(docs, dedup.fresh_index(spark))
     assert found.columns == docs.columns
     assert sorted(r.doc_id for r in found.collect()) == [3, 6, 8, 10, 11]
-    assert {r.keep_id for r in found.collect()} == {"mine"}
+    assert {(r.keep_id, r.digest, r.kept_id) for r in found.collect()} == {("mine", "own", 1)}
 
 
 def test_no_rows(docs_of, spark):

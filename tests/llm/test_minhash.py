@@ -73,7 +73,7 @@ def test_small_blocks_give_the_same(docs_of, monkeypatch):
 
 def test_survivors(docs_of):
     rows = corpus()
-    docs = docs_of(rows, _text_key="mine")
+    docs = docs_of(rows, key="mine", Kept_key="own")
     found = minhash.survivors(docs, 2)
     assert found.columns == docs.columns
     kept = sorted({str(r[0]) for r in brute(rows, 2) if r[3]})

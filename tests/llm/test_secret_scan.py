@@ -82,10 +82,10 @@ def test_weak_parts_need_a_complement(docs_of, text, kinds):
 def test_redact(docs_of):
     text = f"é password={HEX[:18]} and {HEX}."
     rows = [(1, text), (1, text), (2, "clean"), (3, None), (4, ""), (None, KEY)]
-    docs = docs_of(rows, _spans="mine", _key=3)
+    docs = docs_of(rows, marks="mine", key=3)
     found = scan.redact(docs)
     assert found.columns == docs.columns
-    got = sorted(((r.doc_id, r.text, r.n_chars) for r in found.collect()), key=str)
+    got = sorted(((r.doc_id, r.text, r.n_chars) for r in found.where("marks = 'mine' and key = 3").collect()), key=str)
     marked = "é [assign] and [hex]."
     want = [(1, marked, len(marked)), (1, marked, len(marked)), (2, "clean", 5), (3, None, None), (4, "", 0), (None, "[access]", 8)]
     assert got == sorted(want, key=str)
