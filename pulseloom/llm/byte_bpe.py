@@ -10,8 +10,8 @@ contracts all places of the least rank at once. That is the same result unless a
 open a pair of still lower rank; the merge table marks the ranks for which it can, and of those
 only the leftmost place is contracted.
 
-Words, and stretches of ids, are worked out once per worker while they are remembered; the memory
-is bounded and changes no result.
+Words are worked out once per worker while they are remembered; the memory is bounded and changes
+no result.
 
 Defined results
 ---------------
@@ -33,25 +33,35 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries that a worker remembers; bytes of a word for the first query; words per query.
+#: Entries that a worker remembers of a kind; beyond that, those met in one batch only are forgotten.
 KEPT = 300_000
+#: Bytes of a word for the first query; words and, about, ids per query.
 SHORT_BYTES = 48
 WORDS = 20_000
+IDS = 500_000
 
-#: One contraction per word and round.
+#: One contraction per word and round. A row holds the place and token behind it, and what both merge to.
 SHORT_WORDS = """
-with recursive state(w, p, t, round) as (
-  select w, p, t, 0 from start
+with recursive state(w, p, next_p, t, next_t, merged, round) as (
+  select s.w, s.p, s.next_p, s.t, s.next_t, m.merged, 0
+  from (select w, p, t, lead(p) over word as next_p, lead(t) over word as next_t
+        from start window word as (partition by w order by p)) s
+  left join merges m on m.a = s.t and m.b = s.next_t
   union all
-  (with pairs as (select w, p, t, round, lead(t) over word as next_t, lag(p) over word as before
-                  from state window word as (partition by w order by p)),
-   ranked as (select pairs.*, m.merged from pairs left join merges m on m.a = pairs.t and m.b = pairs.next_t),
-   best as (select w, min(merged * 4294967296 + p) % 4294967296 as at from ranked where merged is not null group by w)
-   select r.w, r.p, case when r.p = b.at then r.merged else r.t end, r.round + 1
-   from ranked r join best b on b.w = r.w where r.before is null or r.before <> b.at)
+  (with best as (select w, min(merged * 4294967296 + p) as least, arg_min(next_p, merged * 4294967296 + p) as removed
+                 from state where merged is not null group by w),
+   gone as (select b.w, b.least % 4294967296 as at, b.least // 4294967296 as merged, b.removed, s.next_p, s.next_t
+            from best b join state s on s.w = b.w and s.p = b.removed),
+   left_over as (select s.w, s.p, s.round + 1 as round,
+       case when s.p = g.at then g.next_p else s.next_p end as next_p,
+       case when s.p = g.at then g.merged else s.t end as t,
+       case when s.p = g.at then g.next_t when s.next_p = g.at then g.merged else s.next_t end as next_t
+     from state s join gone g on g.w = s.w where s.p <> g.removed)
+   select l.w, l.p, l.next_p, l.t, l.next_t, m.merged, l.round
+   from left_over l left join merges m on m.a = l.t and m.b = l.next_t)
 )
 select w, list(t order by p) as ids
-from (select *, max(round) over (partition by w) as last from state) where round = last group by w
+from state join (select w, max(round) as last from state group by w) using (w) where round = last group by w
 """
 
 #: All places of the least rank per word and round; rows of a removed token turn to -1.
@@ -77,8 +87,7 @@ select w, list(t order by p) as ids from state where t >= 0 group by w
 
 #: The vocabulary holds bytes as characters of the same number, so that they can be aggregated as text.
 DECODE = """
-select s.w, string_agg(v.bytes, '' order by s.p) as bytes, count(v.id) as known, count(*) as ids
-from stretches s left join vocabulary v on v.id = s.id group by s.w
+select s.w, string_agg(v.bytes, '' order by s.p) as bytes from tokens s join vocabulary v on v.id = s.id group by s.w
 """
 
 
@@ -100,6 +109,28 @@ def merge_rows(vocabulary: dict[bytes, int]) -> list[tuple[int, int, int, bool]]
     return [(a, b, merged, merged in opening) for a, b, merged in rows]
 
 
+class Memory(dict):
+    """What is known of some words, bounded."""
+
+    def __init__(self) -> None:
+        self.again: set[str] = set()
+
+    def unknown(self, wanted: set[str]) -> set[str]:
+        """The wanted words that have to be learnt; makes room for them."""
+        new = wanted.difference(self)
+        if len(self) + len(new) > KEPT:
+            kept = wanted - new
+            if len(self.again) < KEPT // 2:
+                kept |= self.again
+            kept = {w: self[w] for w in kept}
+            self.clear()
+            self.update(kept)
+            self.again = set()
+        else:
+            self.again |= wanted - new
+        return new
+
+
 class ByteBpe:
     """Encoder and decoder of one worker: DuckDB tables of merges and vocabulary, and what it remembers."""
 
@@ -107,18 +138,16 @@ class ByteBpe:
         self.ranks = ranks(path)
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "700MB", "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         merges = list(zip(*merge_rows(self.ranks), strict=True)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         columns = dict(zip(("a", "b", "merged", "alone"), (pa.array(c, k) for c, k in zip(merges, kinds, strict=True)), strict=True))
         self._load("merges", columns)
         texts = [token.decode("latin-1") for token in self.ranks]
         self._load("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(texts)})
-        self.opens = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
-        self.opens[[r for token, r in self.ranks.items() if token[:1] == b" "]] = True
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.stretches: dict[bytes, bytes] = {}
+        self.valid = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
+        self.valid[list(self.ranks.values())] = True
+        self.words, self.chunks = Memory(), Memory()
 
     @staticmethod
     @lru_cache(maxsize=2)
@@ -160,12 +189,10 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids per text as little-endian 32-bit numbers."""
-        if len(self.chunks) > KEPT or len(self.words) > KEPT:
-            self.chunks, self.words = {}, {}
         cut = [self._chunks(t) for t in texts]
-        new = [c for c in set().union(*cut) if c not in self.chunks]
+        new = list(self.chunks.unknown(set().union(*cut)))
         matches = [self.pattern.findall(c) for c in new]
-        self._learn([w for w in set().union(*matches) if w not in self.words])
+        self._learn(list(self.words.unknown(set().union(*matches))))
         for chunk, words in zip(new, matches, strict=True):
             self.chunks[chunk] = b"".join(map(self.words.__getitem__, words))
         return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
@@ -180,29 +207,23 @@ class ByteBpe:
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
-        if len(self.stretches) > KEPT:
-            self.stretches = {}
-        cut = []
-        for ids in lists:
-            ids = np.ascontiguousarray(ids, dtype="<i4")
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(self.opens)):
+        out = [b""] * len(lists)
+        low = 0
+        while low < len(lists):
+            high, total = low, 0
+            while high < len(lists) and (high == low or total + len(lists[high]) <= IDS):
+                total += len(lists[high])
+                high += 1
+            ids = np.concatenate([np.asarray(x, np.int64) for x in lists[low:high]])
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(self.valid) or not self.valid[ids].all()):
                 raise ValueError("an id is not in the vocabulary")
-            data = ids.tobytes()
-            bounds = [0, *(4 * np.flatnonzero(self.opens[ids[1:]]) + 4).tolist(), len(data)]
-            cut.append([data[low:high] for low, high in zip(bounds, bounds[1:], strict=False) if high > low])
-        new = [s for s in set().union(*cut) if s not in self.stretches]
-        for low in range(0, len(new), WORDS):
-            part = new[low : low + WORDS]
-            sizes = np.fromiter((len(s) // 4 for s in part), np.int64, len(part))
-            ids = np.frombuffer(b"".join(part), "<i4")
-            first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-            self._load("stretches", {"w": np.repeat(np.arange(len(part)), sizes), "p": np.arange(len(ids)) - first, "id": ids})
+            w = np.repeat(np.arange(low, high), [len(x) for x in lists[low:high]])
+            self._load("tokens", {"w": w, "p": np.arange(len(ids)), "id": ids.astype(np.int32)})
             found = self.db.sql(DECODE).to_arrow_table()
-            if found.column("known").to_pylist() != found.column("ids").to_pylist():
-                raise ValueError("an id is not in the vocabulary")
-            for w, text in zip(found.column("w").to_pylist(), found.column("bytes").to_pylist(), strict=True):
-                self.stretches[part[w]] = text.encode("latin-1")
-        return [b"".join(map(self.stretches.__getitem__, stretches)) for stretches in cut]
+            for n, text in zip(found.column("w").to_pylist(), found.column("bytes").to_pylist(), strict=True):
+                out[n] = text.encode("latin-1")
+            low = high
+        return out
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
