@@ -9,15 +9,17 @@ from pulseloom.operators.capture import current_snapshot, dedupe_latest, map_to_
 from pulseloom.schemas import MAPPINGS, VERSIONED_FACT, column_types
 from pulseloom.session import materialise
 
-_POINTERS = "table_name string, source_id int, batch_id bigint, path string, last_post_id bigint"
+_POINTERS = "table_name string, source_id int, run_id string, batch_id bigint, version bigint, path string, last_post_id bigint"
 
 
 class PostFact:
-    """Snapshots of ``fact_social_post``, one folder per source and batch.
+    """Snapshots of ``fact_social_post``, one folder per source, run and batch.
 
     A batch writes its full result beside the old one and then adds one pointer
-    row. Readers follow the newest pointer, so a batch that dies midway is never
-    seen, and replaying a batch id changes nothing.
+    row with the next version. Readers follow the newest version, so a batch that
+    dies midway is never seen. Batch ids count within a run: replaying one changes
+    nothing, one older than the run's last is an error, and another run's ids say
+    nothing about this one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -34,7 +36,7 @@ class PostFact:
 
     def _newest(self) -> list:
         """One pointer row per source: as many as there are declared sources."""
-        newest = F.max_by(F.struct("path", "batch_id", "last_post_id"), F.col("batch_id")).alias("p")
+        newest = F.max_by(F.struct("path", "version", "last_post_id"), F.col("version")).alias("p")
         return self._pointers().groupBy("source_id").agg(newest).select("source_id", "p.*").collect()
 
     def read(self, source_id: int | None = None) -> DataFrame:
@@ -43,23 +45,29 @@ class PostFact:
             return self.spark.createDataFrame([], VERSIONED_FACT)
         return self.spark.read.schema(VERSIONED_FACT).parquet(*paths)
 
-    def seen(self, source_id: int, batch_id: int) -> bool:
-        return any(r["source_id"] == source_id and r["batch_id"] >= batch_id for r in self._newest())
+    def seen(self, source_id: int, batch_id: int, run_id: str = "") -> bool:
+        """Whether the run has merged this batch; raises if it has merged a later one only."""
+        own = self._pointers().where((F.col("source_id") == source_id) & (F.col("run_id") == run_id))
+        last, here = own.agg(F.max("batch_id"), F.count_if(F.col("batch_id") == batch_id)).first()
+        if not here and last is not None and last > batch_id:
+            raise ValueError(f"batch {batch_id} of source {source_id} comes after batch {last} in run {run_id!r}")
+        return here > 0
 
-    def apply(self, staged: DataFrame, source_id: int, as_of: Column, batch_id: int) -> None:
+    def apply(self, staged: DataFrame, source_id: int, as_of: Column, batch_id: int, run_id: str = "") -> None:
         """Merge deduplicated rows of one source and publish the result."""
-        if self.seen(source_id, batch_id):
+        if self.seen(source_id, batch_id, run_id):
             return
         newest = self._newest()
         last_id = max([r["last_post_id"] for r in newest], default=0)
-        path = f"{self.root}/source_id={source_id}/batch={batch_id}"
+        version = max([r["version"] for r in newest], default=0) + 1
+        path = f"{self.root}/source_id={source_id}/run_id={run_id}/batch={batch_id}"
         after = scd2_apply(self.read(source_id), staged, as_of, last_id)
         after.select(*column_types(VERSIONED_FACT)).write.mode("overwrite").parquet(path)
         top = self.spark.read.schema(VERSIONED_FACT).parquet(path).agg(F.max("post_id")).first()[0]
-        pointer = [("fact_social_post", source_id, batch_id, path, max(last_id, top or 0))]
+        pointer = [("fact_social_post", source_id, run_id, batch_id, version, path, max(last_id, top or 0))]
         self.spark.createDataFrame(pointer, _POINTERS).coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
 
-    def transform_source(self, staging: DataFrame, table: str, as_of: Column, batch_id: int) -> DataFrame:
+    def transform_source(self, staging: DataFrame, table: str, as_of: Column, batch_id: int, run_id: str = "") -> DataFrame:
         """Map, deduplicate and merge one staging table; returns the summary row."""
         source_id = MAPPINGS[table][0]
         mapped = map_to_common(staging, table)
@@ -70,5 +78,5 @@ class PostFact:
         summary = scd2_summary(staging, staged, before).withColumn("source", F.lit(table))
         # Taken before the merge: the counts compare against the old snapshot.
         counted = self.spark.createDataFrame(summary.collect(), summary.schema)
-        self.apply(staged, source_id, as_of, batch_id)
+        self.apply(staged, source_id, as_of, batch_id, run_id)
         return counted

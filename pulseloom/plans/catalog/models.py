@@ -328,16 +328,40 @@ def confusion_matrix(spark, sf_dir):
     return metrics.confusion_matrix(view(spark, sf_dir, "reviews"), "label", "fixed_prediction", ["positive", "negative"])
 
 
-@query("persist_model")
+def prediction_checks():
+    """What must hold of every prediction: the label is the likeliest class, and chances add up to one."""
+    chances = [F.col(f"{n}_probability") for n in ("positive", "negative", "neutral")]
+    top = F.greatest(*chances)
+    own = F.when(F.col("sentiment_label") == "positive", chances[0]).when(F.col("sentiment_label") == "negative", chances[1])
+    total = chances[0] + chances[1] + chances[2]
+    return [
+        ((own == top) & (F.col("confidence") == top)).alias("is_most_likely"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+    ]
+
+
+@query("persist_model", "select doc_id, true as same_label, true as same_confidence from reviews")
 def persist_model(spark, sf_dir):
-    path = scratch_path(spark, "model")
-    models.save_model(sentiment_model(spark, sf_dir), path)
-    return models.score_text(models.load_model(path), view(spark, sf_dir, "reviews")).select("doc_id", "sentiment_label")
+    """The saved and reloaded model beside the one that was saved."""
+    path, model, reviews = scratch_path(spark, "model"), sentiment_model(spark, sf_dir), view(spark, sf_dir, "reviews")
+    models.save_model(model, path)
+    before = models.score_text(model, reviews.select("doc_id", "text"))
+    after = models.score_text(models.load_model(path), reviews.select("doc_id", "text"))
+    both = before.alias("b").join(after.alias("a"), "doc_id")
+    return both.select(
+        "doc_id",
+        (F.col("a.sentiment_label") == F.col("b.sentiment_label")).alias("same_label"),
+        (F.abs(F.col("a.confidence") - F.col("b.confidence")) < 1e-12).alias("same_confidence"),
+    )
 
 
-@query("score_text")
+@query(
+    "score_text",
+    "select doc_id, lang, source, n_chars, true as is_most_likely, true as sums_to_one from documents",
+)
 def score_text(spark, sf_dir):
-    return models.score_text(sentiment_model(spark, sf_dir), table(spark, sf_dir, "documents")).drop("text")
+    scored = models.score_text(sentiment_model(spark, sf_dir), table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "lang", "source", "n_chars", *prediction_checks())
 
 
 @query(
@@ -350,11 +374,18 @@ def score_resumable(spark, sf_dir):
     return models.score_candidates(posts, stored, 11, [2, 3])
 
 
-@query("score_resumed")
+@query(
+    "score_resumed",
+    """select (select max(prediction_id) from predictions) + row_number() over (order by post_id) as prediction_id, post_id,
+         cast(11 as int) as model_id, false as is_human_validated, true as is_most_likely, true as sums_to_one
+       from social_posts where source_id in (2, 3) and text_content is not null
+         and post_id not in (select post_id from predictions where model_id = 11)""",
+)
 def score_resumed(spark, sf_dir):
     stored = view(spark, sf_dir, "predictions")
     scored = models.score_text(sentiment_model(spark, sf_dir), score_resumable(spark, sf_dir), "text_content")
-    return models.append_predictions(stored, scored.drop("text_content"), 11)
+    added = models.append_predictions(stored, scored.drop("text_content"), 11)
+    return added.select("prediction_id", "post_id", "model_id", "is_human_validated", *prediction_checks())
 
 
 @query(
@@ -368,13 +399,18 @@ def score_refresh(spark, sf_dir):
     return kept.select("prediction_id", "post_id", "model_id", "sentiment_label")
 
 
-@query("score_external")
+@query(
+    "score_external",
+    "select doc_id, lang, source, n_chars, true as is_known_label, true as sums_to_one from documents",
+)
 def score_external(spark, sf_dir):
     from pulseloom.sources.files import scan_structured
 
     target = scratch_path(spark, "scored") + ".parquet"
     models.score_external(spark, sentiment_model(spark, sf_dir), f"{sf_dir}/documents.parquet", target)
-    return scan_structured(spark, target).drop("text")
+    total = F.col("positive_probability") + F.col("negative_probability")
+    checks = [F.col("sentiment_label").isin("positive", "negative").alias("is_known_label"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")]
+    return scan_structured(spark, target).select("doc_id", "lang", "source", "n_chars", *checks)
 
 
 _KEPT = "not (source_id = 3 and task_type = 'sentiment')"

@@ -8,7 +8,7 @@ from pulseloom.operators import behavior
 from pulseloom.operators.warehouse import PostFact
 from pulseloom.plans.bindings import table, view
 from pulseloom.plans.catalog.capture import STAGING
-from pulseloom.plans.catalog.models import sentiment_model
+from pulseloom.plans.catalog.models import prediction_checks, sentiment_model
 from pulseloom.plans.catalog.themes import post_themes
 from pulseloom.plans.registry import query
 from pulseloom.session import materialise, scratch_path
@@ -84,8 +84,14 @@ def stream_hourly_activity(spark, sf_dir):
     return behavior.zero_filled_hours(per_hour)
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    """select post_id, cast(11 as int) as model_id, true as is_most_likely, true as sums_to_one
+       from social_posts where text_content is not null""",
+)
 def stream_score(spark, sf_dir):
+    """The posts, each scored once, with what must hold of every prediction."""
     root = scratch_path(spark, "score")
     posts = view(spark, sf_dir, "social_posts", documents=table_stream(spark, sf_dir, "documents"))
-    return jobs.stream_score(posts, sentiment_model(spark, sf_dir), 11, f"{root}/checkpoint", f"{root}/predictions")
+    scored = jobs.stream_score(posts, sentiment_model(spark, sf_dir), 11, f"{root}/checkpoint", f"{root}/predictions")
+    return scored.select("post_id", "model_id", *prediction_checks())

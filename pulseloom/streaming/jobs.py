@@ -1,7 +1,9 @@
 """Incremental forms of the batch operators, run until the source is used up.
 
-Every sink is a folder per batch id, written over on a replay, so a batch that is
-run twice leaves one result.
+Batch ids count from 0 for each checkpoint, so they name a batch only together with the id that
+Spark keeps in the checkpoint, here called the run. Every sink is a folder per run and batch,
+written over on a replay. A lost checkpoint therefore starts a new run: it sees all input again,
+and what earlier runs have stored decides what of it is new.
 """
 
 from __future__ import annotations
@@ -13,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseloom.operators.capture import dedupe_latest, map_to_common
+from pulseloom.operators.kpi import kpi_daily
 from pulseloom.operators.models import score_text
 from pulseloom.operators.warehouse import PostFact
+from pulseloom.session import materialise
 from pulseloom.sources.files import file_fingerprints
 
-LEDGER = "file_hash string, path string, status string, batch_id bigint"
+LEDGER = "file_hash string, path string, status string, run_id string, batch_id bigint"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -29,10 +33,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process all that is available, batch by batch."""
+def run_to_end(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, str, int], None], mode: str = "append") -> None:
+    """Process all that is available: ``each`` gets a batch, its run and its id in that run."""
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        each(batch, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
+
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    writer.foreachBatch(each).start().awaitTermination()
+    writer.foreachBatch(one).start().awaitTermination()
 
 
 class StreamIngest:
@@ -40,7 +48,8 @@ class StreamIngest:
 
     The stream's checkpoint knows paths only. Each batch fingerprints its files
     and leaves out those whose bytes the ledger, or an earlier path of the same
-    batch, holds already.
+    batch, holds already. The ledger entry comes last and makes the rows of a
+    batch visible, so a batch that died midway is loaded again and seen once.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: str, max_files: int = 1000):
@@ -48,12 +57,16 @@ class StreamIngest:
 
     def rows(self) -> DataFrame:
         names = [part.split()[0] for part in self.schema.split(",")]
-        return read_or_empty(self.spark, f"{self.root}/rows", f"{self.schema}, source_file string").select(*names, "source_file")
+        stored = f"{self.schema}, source_file string, run_id string, batch_id bigint"
+        written = read_or_empty(self.spark, f"{self.root}/rows", stored)
+        # One row per batch.
+        seen = self.ledger().select("run_id", "batch_id").distinct()
+        return written.join(seen, ["run_id", "batch_id"], "left_semi").select(*names, "source_file")
 
     def ledger(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/ledger", LEDGER)
 
-    def _batch(self, batch: DataFrame, batch_id: int) -> None:
+    def _batch(self, batch: DataFrame, run_id: str, batch_id: int) -> None:
         batch = batch.persist()
         # As many paths as the stream may take per batch.
         paths = [r[0] for r in batch.select("source_path").distinct().collect()]
@@ -61,23 +74,22 @@ class StreamIngest:
             found = file_fingerprints(self.spark, paths).groupBy("file_hash").agg(
                 F.min("path").alias("first"), F.collect_list("path").alias("paths")
             )
-            earlier = self.ledger().where((F.col("batch_id") < batch_id) & (F.col("status") == "LOADED"))
-            known = earlier.select("file_hash", F.lit(True).alias("known"))
-            attempts = found.join(known, "file_hash", "left").select(
+            own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+            known = self.ledger().where(~own & (F.col("status") == "LOADED")).select("file_hash", F.lit(True).alias("known"))
+            attempts = found.join(known.distinct(), "file_hash", "left").select(
                 "file_hash", F.explode("paths").alias("path"), (F.col("known").isNull()).alias("new"), "first"
             )
             loaded = F.col("new") & (F.col("path") == F.col("first"))
             status = F.when(loaded, "LOADED").otherwise("SKIPPED_DUPLICATE")
-            entries = attempts.select("file_hash", "path", status.alias("status"), F.lit(batch_id).cast("long").alias("batch_id"))
-            target = f"{self.root}/ledger/batch={batch_id}"
-            entries.coalesce(1).write.mode("overwrite").parquet(target)
-            fresh = self.spark.read.schema(LEDGER).parquet(target).where("status = 'LOADED'")
+            entries = materialise(attempts.select("file_hash", "path", status.alias("status")), "attempts")
             # binaryFile and the file metadata spell the same path differently by the number of slashes.
             bare = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
-            keep = fresh.select(bare(F.col("path")).alias("_path")).distinct()
+            keep = entries.where("status = 'LOADED'").select(bare(F.col("path")).alias("_path")).distinct()
             rows = batch.withColumn("_path", bare(F.col("source_path"))).join(keep, "_path", "left_semi")
             rows = rows.drop("_path").withColumnRenamed("source_path", "source_file")
-            rows.write.mode("overwrite").parquet(f"{self.root}/rows/batch={batch_id}")
+            place = f"run_id={run_id}/batch_id={batch_id}"
+            rows.write.mode("overwrite").parquet(f"{self.root}/rows/{place}")
+            entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/{place}")
         batch.unpersist()
 
     def run(self, folder: str, checkpoint: str) -> None:
@@ -93,40 +105,34 @@ class StreamIngest:
 def stream_scd2(stream: DataFrame, fact: PostFact, mapping: tuple[int, int, list], checkpoint: str) -> None:
     """Merge each batch of staged rows into the versioned fact, dated by its newest row.
 
-    A batch id that the fact has already seen changes nothing.
+    A batch that the fact has already seen in this run changes nothing. A new run
+    brings all staged rows again; those that equal their current version change nothing.
     """
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, run_id: str, batch_id: int) -> None:
         staged = map_to_common(batch, mapping)
         staged = dedupe_latest(staged.where(F.col("external_post_id").isNotNull()))
         as_of = batch.agg(F.max("ingested_at").cast("string")).first()[0]
         if as_of is not None:
-            fact.apply(staged.drop("ingested_at"), mapping[0], F.lit(as_of), batch_id)
+            fact.apply(staged.drop("ingested_at"), mapping[0], F.lit(as_of), batch_id, run_id)
 
     run_to_end(stream, checkpoint, each)
 
 
-def _latest_only(path: str) -> Callable[[DataFrame, int], None]:
-    def each(batch: DataFrame, batch_id: int) -> None:
+def _latest_only(path: str) -> Callable[[DataFrame, str, int], None]:
+    def each(batch: DataFrame, run_id: str, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
     return each
 
 
-def stream_daily_kpi(posts: DataFrame, checkpoint: str, target: str, delay: str = "1 day") -> DataFrame:
-    """Daily KPIs kept current; complete mode, so days still open are there too.
+def stream_daily_kpi(posts: DataFrame, checkpoint: str, target: str) -> DataFrame:
+    """Daily KPIs kept current in complete mode.
 
-    The state has one row per day.
+    The state has one row per day and one for posts without a date; a late post
+    still counts for its day.
     """
-    stamped = posts.withColumn("_ts", F.col("published_at").cast("timestamp")).withWatermark("_ts", delay)
-    daily = stamped.groupBy(F.window("_ts", "1 day")).agg(
-        F.count(F.lit(1)).alias("post_count"),
-        F.sum("total_engagement").alias("total_engagement"),
-        F.avg("viral_coefficient").alias("average_viral_coefficient"),
-        F.avg("toxicity_score").alias("average_toxicity"),
-    )
-    shaped = daily.select(F.col("window.start").cast("date").alias("activity_date"), *daily.columns[1:])
-    run_to_end(shaped, checkpoint, _latest_only(target), "complete")
+    run_to_end(kpi_daily(posts), checkpoint, _latest_only(target), "complete")
     return posts.sparkSession.read.parquet(target)
 
 
@@ -140,24 +146,25 @@ def stream_hourly_activity(context: DataFrame, checkpoint: str, target: str, del
     return context.sparkSession.read.parquet(target)
 
 
-def stream_score(
-    posts: DataFrame, model: PipelineModel, model_id: int, checkpoint: str, target: str, delay: str = "7 days"
-) -> DataFrame:
-    """Score posts as they arrive, one prediction per post and model.
+def stream_score(posts: DataFrame, model: PipelineModel, model_id: int, checkpoint: str, target: str) -> DataFrame:
+    """Score posts as they arrive, however late: one prediction per post and model.
 
-    Repeats within the watermark are dropped in the stream. A later repeat finds
-    its post in an earlier batch's output and is dropped there.
+    Of the rows of a post in one batch the newest is scored. A post that any other
+    batch has scored with this model is left out.
     """
-    stamped = posts.where(F.col("text_content").isNotNull()).withColumn("_ts", F.col("published_at").cast("timestamp"))
-    once = stamped.withWatermark("_ts", delay).dropDuplicatesWithinWatermark(["post_id"])
-    scored = score_text(model, once.select("post_id", "text_content"), "text_content").drop("text_content")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in scored.schema) + ", model_id int"
     spark = posts.sparkSession
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        stored = read_or_empty(spark, target, f"{schema}, batch bigint").where(F.col("batch") < batch_id)
-        fresh = batch.withColumn("model_id", F.lit(model_id)).join(stored.select("post_id"), "post_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
-    run_to_end(scored, checkpoint, each)
-    return spark.read.parquet(target).drop("batch")
+    texts = posts.where(F.col("text_content").isNotNull()).select("post_id", "text_content", "published_at")
+    empty = score_text(model, spark.createDataFrame([], texts.schema).drop("published_at"), "text_content").drop("text_content")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema) + ", model_id int"
+
+    def each(batch: DataFrame, run_id: str, batch_id: int) -> None:
+        newest = F.max_by("text_content", F.struct("published_at", "text_content")).alias("text_content")
+        once = batch.groupBy("post_id").agg(newest).withColumn("model_id", F.lit(model_id))
+        own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+        stored = read_or_empty(spark, target, f"{schema}, run_id string, batch_id bigint").where(~own)
+        fresh = once.join(stored.select("post_id", "model_id"), ["post_id", "model_id"], "left_anti")
+        scored = score_text(model, fresh, "text_content").drop("text_content")
+        scored.write.mode("overwrite").parquet(f"{target}/run_id={run_id}/batch_id={batch_id}")
+
+    run_to_end(texts, checkpoint, each)
+    return read_or_empty(spark, target, schema).select(*[f.name for f in empty.schema], "model_id")
