@@ -20,6 +20,7 @@ Defined results
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 #: Labelled rows to fit on at most, about.
 FIT_ROWS = 20_000
-#: Words kept per worker, and words whose lattices are held at a time.
-KEPT_WORDS = 500_000
+#: Words kept per worker, beyond which those met in one batch only are forgotten; words whose
+#: lattices are held at a time.
+KEPT_WORDS = 800_000
 LATTICE_WORDS = 20_000
 #: Longer words are worked on one at a time.
 LONG_WORD = 64
@@ -69,30 +71,30 @@ class Lattice:
     """All ways to cut some words into pieces: edges sorted by their end."""
 
     def __init__(self, words: list[str], numbers: dict[str, int], unknown: int) -> None:
-        word, start, end, piece = [], [], [], []
+        # An edge is one number: word, start, end and piece in a mixed base.
+        edges: list[int] = []
+        append, get = edges.append, numbers.get
+        span, count = max(map(len, words), default=0) + 2, unknown + 1
         for w, text in enumerate(words):
             text = _MARK + text
-            for i in range(len(text)):
-                single = True
-                for j in range(i + 1, len(text) + 1):
-                    n = numbers.get(text[i:j])
-                    if n is None:
-                        break
-                    if n >= 0:
-                        single = single and j > i + 1
-                        word.append(w)
-                        start.append(i)
-                        end.append(j)
-                        piece.append(n)
-                if single:  # this letter is no piece of its own
-                    word.append(w)
-                    start.append(i)
-                    end.append(i + 1)
-                    piece.append(unknown)
+            size = len(text)
+            for i in range(size):
+                base = (w * span + i) * span
+                end, n = i + 1, get(text[i])
+                # A letter that is no piece of its own is the unknown one.
+                append((base + end) * count + (unknown if n is None or n < 0 else n))
+                while n is not None and end < size:
+                    end += 1
+                    n = get(text[i:end])
+                    if n is not None and n >= 0:
+                        append((base + end) * count + n)
         self.words = len(words)
         self.sizes = np.array([len(w) + 1 for w in words])
-        order = np.argsort(np.array(end), kind="stable")
-        self.word, self.start, self.end, self.piece = (np.array(x, np.int64)[order] for x in (word, start, end, piece))
+        places, self.piece = np.divmod(np.array(edges, np.int64), count)
+        places, self.end = np.divmod(places, span)
+        self.word, self.start = np.divmod(places, span)
+        order = np.argsort(self.end, kind="stable")
+        self.word, self.start, self.end, self.piece = (x[order] for x in (self.word, self.start, self.end, self.piece))
 
     def forward(self, log_p: np.ndarray) -> np.ndarray:
         """(words, positions, languages): log of the summed probability up to each position."""
@@ -152,6 +154,12 @@ class LanguageModel:
     log_prior: np.ndarray
     vocabulary: str
 
+    @property
+    def name(self) -> str:
+        """Tells models apart by what they hold."""
+        parts = (repr(self.languages).encode(), self.vocabulary.encode(), self.log_p.tobytes(), self.log_prior.tobytes())
+        return hashlib.blake2b(b"|".join(parts)).hexdigest()
+
 
 def piece_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """lang, piece, expected: expected counts of pieces over the words of labelled texts."""
@@ -212,24 +220,48 @@ def fit(docs: DataFrame, vocabulary: str, fit_rows: int = FIT_ROWS) -> LanguageM
 class WordScores:
     """Log probabilities of words per language, with a bounded memory that changes no result."""
 
+    _last: tuple[str, WordScores] | None = None
+
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.numbers, self.size = pieces(model.vocabulary)
         self.places: dict[str, int] = {}
-        self.rows = np.empty((0, len(model.languages)))
+        self.again: set[str] = set()
+        self.rows = np.empty((1024, len(model.languages)))
+
+    @classmethod
+    def shared(cls, model: LanguageModel) -> WordScores:
+        """What the worker process remembers of the model that it used last."""
+        if cls._last is None or cls._last[0] != model.name:
+            cls._last = (model.name, cls(model))
+        return cls._last[1]
+
+    def _keep(self, words: list[str]) -> None:
+        rows = self.rows[[self.places[w] for w in words]]
+        self.places = {w: n for n, w in enumerate(words)}
+        self.rows[: len(words)] = rows
+
+    def _add(self, words: list[str], totals: np.ndarray) -> None:
+        n = len(self.places)
+        if n + len(words) > len(self.rows):
+            grown = np.empty((2 * (n + len(words)), self.rows.shape[1]))
+            grown[:n] = self.rows[:n]
+            self.rows = grown
+        self.rows[n : n + len(words)] = totals
+        self.places.update(zip(words, range(n, n + len(words)), strict=True))
 
     def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Per text, the sum over its words."""
-        if len(self.places) > KEPT_WORDS:
-            self.places, self.rows = {}, self.rows[:0]
-        new = [w for w in set().union(*texts) if w not in self.places]
-        if new:
-            found = []
-            for group, lattice in _lattices(new, self.numbers, self.size - 1):
-                for w in group:
-                    self.places[w] = len(self.places)
-                found.append(lattice.totals(self.model.log_p))
-            self.rows = np.concatenate([self.rows, *found])
+        wanted = set().union(*texts)
+        new = wanted.difference(self.places)
+        if len(self.places) + len(new) > KEPT_WORDS:
+            known = wanted - new
+            self._keep(list(known | self.again if len(self.again) < KEPT_WORDS // 2 else known))
+            self.again = set()
+            new = wanted.difference(self.places)
+        self.again |= wanted - new
+        for group, lattice in _lattices(list(new), self.numbers, self.size - 1):
+            self._add(group, lattice.totals(self.model.log_p))
         return [self.rows[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))].sum(axis=0) for words in texts]
 
 
@@ -237,7 +269,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score per row."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(model) if model.languages else None
+        scores = WordScores.shared(model) if model.languages else None
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
