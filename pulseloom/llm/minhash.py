@@ -293,25 +293,38 @@ def open_classes(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def open_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components whose sets, by 32-bit names, allow a link."""
+    """Links (a, b) within buckets between components, confirmed on full sets.
+
+    A unit stops at one link between two components, so it gives fewer links than it has rows.
+    """
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique((shingle_set(t, width) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(t, width).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.binary())], ["class", "names"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, ranges in _units(batches, ("bucket", "i", "j")):
             if not ranges:
                 continue
-            rows, sets = _open_rows(table), [np.frombuffer(x, np.uint32) for x in table.column("names").to_pylist()]
+            rows, sets = _open_rows(table), [np.frombuffer(x, np.uint64) for x in table.column("names").to_pylist()]
             a, b = [], []
             for low, high in ranges:
+                joined: dict[int, int] = {}
+
+                def root(label: int, joined: dict[int, int] = joined) -> int:
+                    while label in joined:
+                        label = joined[label]
+                    return label
+
                 for x, others in _sides(rows, low, high):
                     for y in _open_partners(rows, x, others, percent).tolist():
+                        one, other = root(int(rows["label"][x])), root(int(rows["label"][y]))
+                        if one == other:
+                            continue
                         common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                        # Few names of a pair of sets can coincide in 32 bits; the full sets decide later.
-                        if 100 * (common + 8) >= percent * (int(rows["n"][x] + rows["n"][y]) - common - 8):
+                        if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                            joined[one] = other
                             a.append(min(rows["class"][x], rows["class"][y]))
                             b.append(max(rows["class"][x], rows["class"][y]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -346,7 +359,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = members_of_buckets(classes)
     links = confirmed(medoid_pairs(members, classes, percent), classes, docs, width, percent)
     labels = materialise(components(links), "labels")
-    more = confirmed(open_links(members, labels, classes, docs, width, percent), classes, docs, width, percent)
+    more = materialise(open_links(members, labels, classes, docs, width, percent), "links")
     # Components so far are stars, which keep what the first links say.
     joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     labels = materialise(components(joined), "labels")
