@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from pulseloom.functions.ordering import global_rank
 from pulseloom.schemas import COMMON_FIELDS, MAPPINGS, VERSIONED_FACT, column_types
 
+# The fields whose change makes a new version.
 TRACKED_FIELDS = ["text_content", "likes", "comments", "shares", "views"]
 _TYPES = column_types(VERSIONED_FACT)
 
@@ -126,8 +127,16 @@ def assign_surrogate_key(df: DataFrame, order: list[Column], alias: str, start:
 
 
 def insert_if_absent(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """``existing`` plus the rows whose key it lacks. Running it twice adds nothing."""
-    return existing.unionByName(rows.join(existing.select(key), key, "left_anti").select(*existing.columns))
+    """``existing`` plus one row per key that it lacks. Running it twice adds nothing.
+
+    Of several new rows with one key the one that sorts first by its other columns
+    goes in. NULL is a key like any other.
+    """
+    rest = [c for c in existing.columns if c != key]
+    one = rows.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*") if rest else rows.select(key).distinct()
+    known = existing.select(F.col(key).alias("_known")).distinct()
+    new = one.join(known, one[key].eqNullSafe(known["_known"]), "left_anti")
+    return existing.unionByName(new.select(*existing.columns))
 
 
 def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

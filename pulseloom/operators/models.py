@@ -28,15 +28,16 @@ from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.ordering import global_rank
 from pulseloom.functions.quantiles import exact_quantiles
 from pulseloom.functions.text import WORD, tokens, unigrams_and_bigrams
 from pulseloom.operators.splits import balanced_weights
-from pulseloom.session import materialise, spread
+from pulseloom.session import materialise
 
+# The features, and the settings of the forests and of the text fit.
 NUMERIC_FEATURES = [
     "followers", "account_age_days", "verified", "content_length", "num_hashtags", "sentiment_positive",
     "sentiment_negative", "sentiment_neutral", "hours_since_post",
@@ -106,13 +107,19 @@ def fit_on_features(estimator: Estimator, train: DataFrame, preprocessor: Pipeli
     """Fit preprocessing and model as one pipeline."""
     prepared = preprocessor or fit_preprocessor(train)
     columns = {"features", estimator.getLabelCol(), "weight"}
-    data = spread(train).transform(prepared.transform)
+    data = train.transform(prepared.transform)
     return PipelineModel(stages=[*prepared.stages, estimator.fit(data.select(*[c for c in data.columns if c in columns]))])
 
 
-def ridge(target: str, rows: int, alpha: float = 1.0) -> LinearRegression:
-    """A penalty of ``alpha`` on the summed squares is alpha/n on Spark's mean loss."""
-    return LinearRegression(labelCol=target, elasticNetParam=0.0, regParam=alpha / rows, standardization=False)
+def ridge(target: str, train: DataFrame, alpha: float = 1.0) -> LinearRegression:
+    """A penalty of ``alpha`` on the summed squares.
+
+    Spark's loss is a mean, and it scales the target to unit deviation before it
+    applies the penalty, so both are undone here.
+    """
+    rows, deviation = train.agg(F.count(target), F.stddev_pop(target)).first()
+    penalty = alpha * (deviation or 0.0) / max(1, rows)
+    return LinearRegression(labelCol=target, elasticNetParam=0.0, regParam=penalty, standardization=False)
 
 
 def forest_regressor(target: str, trees: int = TREES, depth: int = DEPTH) -> RandomForestRegressor:
@@ -158,7 +165,7 @@ class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        @F.udf(VectorUDT())
+        @F.udf(VectorUDT(), useArrow=True)
         def damp(v: SparseVector) -> SparseVector:
             return SparseVector(v.size, v.indices, 1.0 + np.log(v.values))
 
@@ -167,11 +174,11 @@ class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
 def _with_input(df: DataFrame, text: str) -> DataFrame:
     """The column the fitted text pipeline reads; a NULL text is the empty text."""
-    return spread(df).withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return df.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def fit_text_features(
-    train: DataFrame, vocabulary: int = VOCABULARY, min_documents: float = MIN_DOCUMENTS
+    train: DataFrame, vocabulary: int, min_documents: float = MIN_DOCUMENTS
 ) -> PipelineModel:
     """Word 1-2-grams, sublinear counts, smoothed inverse document frequency plus one, unit length.
 
@@ -226,10 +233,11 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     """A saved pipeline; a missing one is an error of its own kind."""
-    try:
-        return PipelineModel.load(path)
-    except Exception as error:
-        raise FileNotFoundError(f"no saved model at {path}") from error
+    from pulseloom.sources.files import path_exists
+
+    if not path_exists(SparkSession.active(), f"{path}/metadata"):
+        raise FileNotFoundError(f"no saved model at {path}")
+    return PipelineModel.load(path)
 
 
 def predict_labels(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:
@@ -267,8 +275,8 @@ def score_candidates(
 ) -> DataFrame:
     """Posts with text that still lack a prediction by this model, first ids first.
 
-    ``max_rows`` counts per source. All versions are scored unless
-    ``current_only`` is set.
+    ``max_rows`` times the number of sources is one limit over all of them. All
+    versions are scored unless ``current_only`` is set.
     """
     rows = posts.where(F.col("source_id").isin(source_ids) & F.col("text_content").isNotNull())
     if current_only:
@@ -318,21 +326,19 @@ def discover_themes(df: DataFrame, clusters: int, text: str = "text", **features
 # --- the same text features as a table -------------------------------------------------
 
 
-def term_table(df: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(term, corpus_frequency, document_frequency, idf) of the vocabulary.
+def term_table(df: DataFrame, key: str, text: str, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """(term, corpus_frequency, document_frequency, idf) of every term that enough documents hold."""
+    return _terms(term_counts(df, key, text), df, min_documents)
 
-    Terms are counted per document first. The most frequent terms that enough
-    documents hold are kept; a tie goes to the term that sorts first.
-    """
-    documents = df.agg(F.count(F.lit(1)).alias("_docs"))
+
+def _terms(counts: DataFrame, df: DataFrame, min_documents: int) -> DataFrame:
     totals = (
-        term_counts(df, key, text)
-        .groupBy("term")
+        counts.groupBy("term")
         .agg(F.sum("term_count").alias("corpus_frequency"), F.count(F.lit(1)).alias("document_frequency"))
         .where(F.col("document_frequency") >= min_documents)
-        .orderBy(F.col("corpus_frequency").desc(), "term")
-        .limit(vocabulary)
     )
+    # One row.
+    documents = df.agg(F.count(F.lit(1)).alias("_docs"))
     idf = F.log((F.lit(1) + F.col("_docs")) / (F.lit(1) + F.col("document_frequency"))) + F.lit(1)
     return totals.crossJoin(F.broadcast(documents)).withColumn("idf", idf).drop("_docs")
 
@@ -341,22 +347,21 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, term_count) over words and neighbouring pairs.
 
     Texts are placed by key before they are taken apart. Counting per (key, term)
-    and any later sum per key then need no further shuffle, and the shuffled text
-    is smaller than its terms.
+    then needs no further shuffle, and the shuffled text is smaller than its terms.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.select(key, text).repartition(parts, key)
-    found = placed.withColumn("_t", tokens(F.coalesce(F.col(text), F.lit(""))))
+    found = df.select(key, text).repartition(key).withColumn("_t", tokens(F.coalesce(F.col(text), F.lit(""))))
     exploded = found.select(key, F.explode(unigrams_and_bigrams(F.col("_t"))).alias("term"))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("term_count"))
 
 
-def tfidf_features(df: DataFrame, key: str, text: str, vocabulary: int = VOCABULARY, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(key, term, tfidf): (1 + ln count) * idf at unit length per document."""
-    terms = term_table(df, key, text, vocabulary, min_documents).select("term", "idf")
-    # At most ``vocabulary`` rows.
-    weighted = term_counts(df, key, text).join(F.broadcast(terms), "term")
-    weighted = weighted.withColumn("_w", (F.lit(1) + F.log("term_count")) * F.col("idf"))
-    # One document's terms per window, and they are together already.
+def tfidf_features(df: DataFrame, key: str, text: str, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """(key, term, tfidf): (1 + ln count) * idf at unit length per document.
+
+    Counted once, into a written table; the terms meet it again by a join.
+    """
+    counts = materialise(term_counts(df, key, text), "terms")
+    terms = _terms(counts, df, min_documents).select("term", "idf")
+    weighted = counts.join(terms, "term").withColumn("_w", (F.lit(1) + F.log("term_count")) * F.col("idf"))
+    # One document's terms per window.
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("_w") / norm).alias("tfidf"))

@@ -79,8 +79,9 @@ class _RowCount(Check):
 
 
 def duplicate_check(columns: list[str]) -> Check:
-    # Over a struct: count_distinct of several columns would drop rows with a NULL.
-    extra = F.count(F.lit(1)) - F.count_distinct(F.struct(*columns))
+    # Digests of whole rows, NULL fields kept: rows themselves, texts included, are not shuffled.
+    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    extra = F.count(F.lit(1)) - F.count_distinct(F.sha2(whole, 256))
     return Check("duplicate_rate", extra, DUPLICATE_LIMIT, strict=True)
 
 
@@ -127,17 +128,21 @@ def run_checks(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
 def profile_columns(df: DataFrame) -> DataFrame:
     """Per column: NULL share, distinct count, a sample cut to 40 characters, a flag.
 
-    The frame is unpivoted to (column, text) and counted, so only two narrow
-    columns are shuffled and repeated values collapse before it. The sample is
-    the smallest value, which does not depend on the row order.
+    The frame is unpivoted to (column, digest of the text, its first 40 characters)
+    and counted, so texts are not shuffled and repeated values collapse before it.
+    The sample is the beginning of the smallest value, which does not depend on the
+    row order.
     """
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_v")) for c in df.columns]
-    values = df.select(F.inline(F.array(*entries))).groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    text = {c: F.col(c).cast("string") for c in df.columns}
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.sha2(v, 256).alias("_v"), F.substring(v, 1, 40).alias("_s")) for c, v in text.items()
+    ]
+    values = df.select(F.inline(F.array(*entries))).groupBy("column_name", "_v", "_s").agg(F.count(F.lit(1)).alias("_n"))
     per_column = values.groupBy("column_name").agg(
         F.sum("_n").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"),
         F.count("_v").alias("distinct_count"),
-        F.substring(F.min("_v"), 1, 40).alias("sample_value"),
+        F.min("_s").alias("sample_value"),
     )
     percent = F.col("null_count") * F.lit(100).cast("double") / F.col("row_count")
     return per_column.withColumn("null_percent", percent).withColumn("mostly_null", F.col("null_percent") > 50)
@@ -198,16 +203,14 @@ def audit_files(spark, folder: str, datasets: dict[str, dict]) -> dict[str, Data
     ``datasets`` maps a file name to the options of ``scan_delimited`` and its
     ``date_columns``.
     """
-    from pulseloom.sources.files import scan_delimited
+    from pulseloom.sources.files import path_exists, scan_delimited
 
     result: dict[str, DataFrame | None] = {}
     for name, options in datasets.items():
         options = dict(options)
         dates = options.pop("date_columns", [])
         path = f"{folder.rstrip('/')}/{name}"
-        try:
-            spark.read.format("binaryFile").load(path)
-        except Exception:
+        if not path_exists(spark, path):
             result[name] = None
             continue
         result[name] = audit_dataset(scan_delimited(spark, path, **options), dates)

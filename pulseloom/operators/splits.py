@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,6 +116,7 @@ def stratified_sample(df: DataFrame, key: str, label: str, max_rows: int, seed:
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.8, seed: int = SEED) -> DataFrame:
     """Add ``is_train``: true on floor(share * n) rows of each label."""
-    percent = int(round(share * 100))
-    quotas = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(percent) / F.lit(100)).alias("_quota"))
+    exact = Fraction(repr(share)).limit_denominator(1_000_000)
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
+    quotas = counts.select(label, F.expr(f"_c * {exact.numerator} div {exact.denominator}").alias("_quota"))
     return flag_by_quota(df, F.col(key), [label], quotas, "is_train", seed)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.text import contains_term, fold, fold_literal, is_single_word, words
-from pulseloom.session import spread
 
 COVERAGE_WARNING = 70.0
 
@@ -68,7 +67,7 @@ def keyword_hits(df: DataFrame, text: str, taxonomy: Taxonomy) -> DataFrame:
 
     Whole words, case ignored, any script. A NULL text has no hit.
     """
-    folded = spread(df).withColumn("_folded", fold(F.coalesce(F.col(text), F.lit(""))))
+    folded = df.withColumn("_folded", fold(F.coalesce(F.col(text), F.lit(""))))
     found = folded.withColumn("_found", _found_terms(F.col("_folded"), taxonomy)).drop("_folded")
     entries = [
         F.struct(F.lit(name).alias("theme"), F.lit(-i).alias("priority"), _theme_hits("_found", terms).alias("keywords"))

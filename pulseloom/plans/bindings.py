@@ -186,6 +186,11 @@ def view(spark: SparkSession, sf_dir: str, name: str, **instead: DataFrame) -> D
     return tune(spark).sql(marked, **frames)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The tables are single files: one task each, until they are dealt over all cores for dear per-row work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def check_view(name: str) -> str:
     """The same view for the checking engine."""
     return VIEWS[name].format(**_CHECK)

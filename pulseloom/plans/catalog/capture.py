@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pulseloom.operators import capture
-from pulseloom.plans.bindings import table, view
+from pulseloom.plans.bindings import TABLES, table, view
 from pulseloom.plans.registry import query
 from pulseloom.schemas import VERSIONED_FACT
 from pulseloom.session import materialise
@@ -105,10 +105,12 @@ def assign_surrogate_key(spark, sf_dir):
        union all select doc_id, source from documents where doc_id not in (select doc_id from labels)""",
 )
 def insert_if_absent(spark, sf_dir):
+    """All documents come twice, in two spellings; each absent one is inserted once."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source")
     labelled = documents.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
     existing = labelled.select("doc_id", F.concat("source", F.lit(" (labelled)")).alias("source"))
-    return capture.insert_if_absent(existing, documents, "doc_id")
+    twice = documents.unionByName(documents.select("doc_id", F.concat("source", F.lit(" (again)")).alias("source")))
+    return capture.insert_if_absent(existing, twice, "doc_id")
 
 
 @query(
@@ -140,12 +142,9 @@ def evolve_schema(spark, sf_dir):
     return capture.evolve_schema(customers, StructType([*customers.schema.fields, *added]))
 
 
-_STATUS = ["orders", "lineitem", "events", "documents", "pages", "labels", "conversations"]
-
-
 @query(
     "table_status",
-    " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in _STATUS),
+    " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES),
 )
 def table_status_query(spark, sf_dir):
-    return table_status({t: table(spark, sf_dir, t) for t in _STATUS})
+    return table_status({t: table(spark, sf_dir, t) for t in TABLES})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseloom.operators import metrics, models, splits
-from pulseloom.plans.bindings import table, view
+from pulseloom.plans.bindings import dealt, table, view
 from pulseloom.plans.registry import query
 from pulseloom.session import materialise, scratch_path
 
@@ -83,16 +83,61 @@ def _evaluated(model, test, target="target"):
     return metrics.regression_metrics(predicted, target, "prediction")
 
 
-@query("ridge_regression")
-def ridge_regression(spark, sf_dir):
+def _beats(found, baseline, smaller: bool):
+    """One row: whether a model's metric is at least as good as its baseline's."""
+    ours, theirs = found.select(F.col(found.columns[0]).alias("_a")), baseline.select(F.col(baseline.columns[0]).alias("_b"))
+    better = F.col("_a") <= F.col("_b") if smaller else F.col("_a") >= F.col("_b")
+    return ours.crossJoin(F.broadcast(theirs)).select(better.alias("beats_baseline"))
+
+
+def _regression_checks(estimator, spark, sf_dir):
+    """Test posts with a finite prediction each, and whether their error is below that of the median."""
     train, test = _train_test(split_posts(spark, sf_dir))
-    return _evaluated(models.fit_on_features(models.ridge("target", train.count()), train), test)
+    predicted = models.fit_on_features(estimator(train), train).transform(test).select("post_id", "target", "prediction")
+    predicted = materialise(predicted, "predicted")
+    median = splits.baseline_regressor(train, "target", predicted.select("post_id", "target"))
+    error = lambda df: metrics.regression_metrics(df, "target", "prediction").select("rmse")
+    finite = ~F.isnan("prediction") & (F.abs("prediction") < F.lit(1e6))
+    checked = predicted.select("post_id", finite.alias("is_finite"))
+    return checked.crossJoin(F.broadcast(_beats(error(predicted), error(median), smaller=True)))
+
+
+_TESTED = "select post_id, true as is_finite, {} as beats_baseline from split where not is_train and total_engagement is not null"
+
+
+@query("ridge_regression", "select cast(0 as bigint) as wrong_slopes, true as is_linear, true as intercept_is_mean")
+def ridge_regression(spark, sf_dir):
+    """The conditions of the optimum: sum of residual x feature equals the penalty times the coefficient."""
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = _train_test(split_posts(spark, sf_dir))
+    fitted = models.fit_on_features(models.ridge("target", train), train)
+    rows = materialise(
+        fitted.transform(train).select(
+            (F.col("target") - F.col("prediction")).alias("r"), "prediction", vector_to_array("features").alias("x")
+        ),
+        "residuals",
+    )
+    linear = fitted.stages[-1]
+    known = spark.createDataFrame([(i, float(w)) for i, w in enumerate(linear.coefficients)], "i int, w double")
+    # One row per feature.
+    sums = rows.select("r", F.posexplode("x").alias("i", "v")).groupBy("i").agg(
+        F.sum(F.col("r") * F.col("v")).alias("slope"), F.sum(F.abs(F.col("r") * F.col("v"))).alias("size")
+    )
+    off = F.abs(F.col("slope") - F.col("w")) > 1e-6 * (F.col("size") + 1)
+    slopes = sums.join(F.broadcast(known), "i").agg(F.count_if(off).alias("wrong_slopes"))
+    weights = F.array(*[F.lit(float(w)) for w in linear.coefficients])
+    products = F.zip_with("x", weights, lambda a, b: a * b)
+    line = F.aggregate(products, F.lit(float(linear.intercept)), lambda s, v: s + v)
+    others = rows.agg(
+        (F.max(F.abs(line - F.col("prediction"))) < 1e-6).alias("is_linear"), (F.abs(F.avg("r")) < 1e-6).alias("intercept_is_mean")
+    )
+    return slopes.crossJoin(F.broadcast(others))
 
 
-@query("forest_regressor")
+@query("forest_regressor", _TESTED.format("true"))
 def forest_regressor(spark, sf_dir):
-    train, test = _train_test(split_posts(spark, sf_dir))
-    return _evaluated(models.fit_on_features(models.forest_regressor("target"), train), test)
+    return _regression_checks(lambda train: models.forest_regressor("target"), spark, sf_dir)
 
 
 _Y, _P = "round(ln(1 + total_engagement), 6)", "round(ln(1 + views) / 2, 6)"
@@ -135,28 +180,33 @@ def baseline_classifier(spark, sf_dir):
     return splits.baseline_classifier(viral_posts(spark, sf_dir).where("is_train"), "viral")
 
 
-def _viral_metrics(model, test):
+def _classifier_checks(model, test):
+    """Test posts: the prediction is the likelier class, and chances add up to one."""
     from pyspark.ml.functions import vector_to_array
 
-    predicted = model.transform(test).withColumn("score", vector_to_array("probability")[1])
-    predicted = materialise(predicted.select("viral", "prediction", "score"), "predicted")
-    # Two frames of one row.
-    return metrics.binary_metrics(predicted, "viral", "prediction").crossJoin(
-        F.broadcast(metrics.average_precision(predicted, "viral", "score"))
+    predicted = model.transform(test).withColumn("p", vector_to_array("probability"))
+    likelier = F.when(F.col("p")[1] > F.col("p")[0], 1.0).otherwise(0.0)
+    return predicted.select(
+        "post_id",
+        ((F.col("prediction") == likelier) | (F.col("p")[0] == F.col("p")[1])).alias("is_most_likely"),
+        (F.abs(F.col("p")[0] + F.col("p")[1] - 1) < 1e-9).alias("sums_to_one"),
     )
 
 
-@query("logistic_balanced")
+_CLASSIFIED = "select post_id, true as is_most_likely, true as sums_to_one from split where not is_train"
+
+
+@query("logistic_balanced", _CLASSIFIED)
 def logistic_balanced(spark, sf_dir):
     posts = viral_posts(spark, sf_dir)
-    return _viral_metrics(models.fit_balanced(models.logistic, posts.where("is_train"), "viral"), posts.where("not is_train"))
+    return _classifier_checks(models.fit_balanced(models.logistic, posts.where("is_train"), "viral"), posts.where("not is_train"))
 
 
-@query("forest_classifier")
+@query("forest_classifier", _CLASSIFIED)
 def forest_classifier(spark, sf_dir):
     posts = viral_posts(spark, sf_dir)
     model = models.fit_balanced(lambda label, rows: models.forest_classifier(label), posts.where("is_train"), "viral")
-    return _viral_metrics(model, posts.where("not is_train"))
+    return _classifier_checks(model, posts.where("not is_train"))
 
 
 def _fixed_binary(spark, sf_dir):
@@ -246,7 +296,7 @@ _TERMS = f"""select doc_id, unnest(list_concat(t, list_transform(range(1, len(t)
 _COUNTS = f"select doc_id, term, count(*) as c from ({_TERMS}) group by 1, 2"
 _VOCABULARY = f"""select term, cast(sum(c) as bigint) as corpus_frequency, count(*) as document_frequency,
   ln((1.0::double + (select count(*) from documents)) / (1 + count(*))) + 1 as idf
-  from ({_COUNTS}) group by term having count(*) >= 3 order by sum(c) desc, term limit 80000"""
+  from ({_COUNTS}) group by term having count(*) >= 3"""
 
 
 @query("term_table", f"select term, corpus_frequency, document_frequency, round(idf, 6) as idf from ({_VOCABULARY})")
@@ -269,24 +319,33 @@ def split_reviews(spark, sf_dir):
 
 
 def sentiment_model(spark, sf_dir):
-    return models.fit_text_model(lambda label, n: models.logistic(label, n, max_iter=300), split_reviews(spark, sf_dir)[0])
+    return models.fit_text_model(
+        lambda label, n: models.logistic(label, n, max_iter=300), split_reviews(spark, sf_dir)[0], vocabulary=models.VOCABULARY
+    )
 
 
-def _text_metrics(model, test):
-    predicted = materialise(models.predict_labels(model, test).select("label", "predicted_label"), "predicted")
-    return metrics.macro_metrics(predicted, "label", "predicted_label")
+def _text_checks(make, spark, sf_dir):
+    """Test documents: their class is a known one, and training documents are mostly told right."""
+    train, test = split_reviews(spark, sf_dir)
+    model = models.fit_text_model(make, train, vocabulary=models.VOCABULARY)
+    known = F.col("predicted_label").isin("positive", "negative").alias("is_known_label")
+    fitted = models.predict_labels(model, train).agg((F.avg((F.col("label") == F.col("predicted_label")).cast("int")) > 0.9).alias("fits"))
+    return models.predict_labels(model, test).select("doc_id", "label", known).crossJoin(F.broadcast(fitted))
+
+
+_TEXT_TESTED = f"""select doc_id, label, true as is_known_label, true as fits from (select doc_id, label,
+  row_number() over (partition by label order by {_HASH}) <= count(*) over (partition by label) * 80 // 100 as is_train
+  from reviews) where not is_train"""
 
 
-@query("text_logistic")
+@query("text_logistic", _TEXT_TESTED)
 def text_logistic(spark, sf_dir):
-    train, test = split_reviews(spark, sf_dir)
-    return _text_metrics(models.fit_text_model(lambda label, n: models.logistic(label, n, max_iter=300), train), test)
+    return _text_checks(lambda label, n: models.logistic(label, n, max_iter=300), spark, sf_dir)
 
 
-@query("text_linear_svm")
+@query("text_linear_svm", _TEXT_TESTED)
 def text_linear_svm(spark, sf_dir):
-    train, test = split_reviews(spark, sf_dir)
-    return _text_metrics(models.fit_text_model(models.linear_svm, train), test)
+    return _text_checks(models.linear_svm, spark, sf_dir)
 
 
 def _macro_sql(group: str) -> str:
@@ -360,7 +419,7 @@ def persist_model(spark, sf_dir):
     "select doc_id, lang, source, n_chars, true as is_most_likely, true as sums_to_one from documents",
 )
 def score_text(spark, sf_dir):
-    scored = models.score_text(sentiment_model(spark, sf_dir), table(spark, sf_dir, "documents"))
+    scored = models.score_text(sentiment_model(spark, sf_dir), dealt(table(spark, sf_dir, "documents")))
     return scored.select("doc_id", "lang", "source", "n_chars", *prediction_checks())
 
 
@@ -447,6 +506,10 @@ def track_run_metrics(spark, sf_dir):
     return _tracked(spark, sf_dir)[1].drop("class_label")
 
 
-@query("discover_themes")
+@query("discover_themes", "select doc_id, true as in_range, cast(6 as bigint) as used_clusters from documents")
 def discover_themes(spark, sf_dir):
-    return models.discover_themes(table(spark, sf_dir, "documents").select("doc_id", "text"), 6).select("doc_id", "cluster")
+    """Each document has one of the clusters, and none is left empty."""
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = materialise(models.discover_themes(docs, 6, vocabulary=models.VOCABULARY).select("doc_id", "cluster"), "clusters")
+    used = found.agg(F.count_distinct("cluster").alias("used_clusters"))
+    return found.select("doc_id", F.col("cluster").between(0, 5).alias("in_range")).crossJoin(F.broadcast(used))

@@ -59,13 +59,11 @@ def dq_row_count(spark, sf_dir):
     return quality.run_checks(view(spark, sf_dir, "posts"), "posts", [quality.row_count_check()])
 
 
-_EVENT_COLUMNS = ["user_id", "event_type", "props"]
-
-
-@query("dq_duplicate_rate", _duplicate_row("events", _EVENT_COLUMNS, "events"))
+@query("dq_duplicate_rate", _duplicate_row("staging", ["*"], "(select * exclude (ingested_at) from staging_v1)"))
 def dq_duplicate_rate(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return quality.run_checks(events, "events", [quality.duplicate_check(_EVENT_COLUMNS)])
+    """Over all columns but the technical one: most rows are staged twice."""
+    staged = view(spark, sf_dir, "staging_v1").drop("ingested_at")
+    return quality.run_checks(staged, "staging", [quality.duplicate_check(staged.columns)])
 
 
 @query("dq_null_rate", _all(_null_rows("posts", POST_KEYS, "posts")))
@@ -118,8 +116,9 @@ def dq_suite(spark, sf_dir):
     return suite(spark, sf_dir)
 
 
-_PROFILED = ["id_commentaire", "id_publication", "pseudo_auteur", "texte", "langue", "type_contenu", "ecole", "likes",
-             "partages", "texte_publication"]
+_PROFILED = ["plateforme", "id_commentaire", "id_publication", "pseudo_auteur", "texte", "date_commentaire", "langue",
+             "texte_publication", "date_publication", "type_contenu", "ecole", "likes", "partages", "vues",
+             "nb_commentaires"]
 
 
 @query(
@@ -135,7 +134,7 @@ _PROFILED = ["id_commentaire", "id_publication", "pseudo_auteur", "texte", "lang
     ),
 )
 def profile_columns(spark, sf_dir):
-    return quality.profile_columns(view(spark, sf_dir, "comments").select(*_PROFILED))
+    return quality.profile_columns(view(spark, sf_dir, "comments"))
 
 
 @query(
@@ -157,7 +156,7 @@ def diagnose_wrong_names(spark, sf_dir):
     return quality.diagnose_empty_columns(view(spark, sf_dir, "staging_v1").select("comment_id", *missing))
 
 
-_AUDITED = ["id_commentaire", "texte", "pseudo_auteur", "date_commentaire", "date_publication"]
+_AUDITED = _PROFILED
 
 
 @query(
@@ -173,8 +172,7 @@ _AUDITED = ["id_commentaire", "texte", "pseudo_auteur", "date_commentaire", "dat
     ),
 )
 def audit_dataset(spark, sf_dir):
-    comments = view(spark, sf_dir, "comments").select(*_AUDITED)
-    return quality.audit_dataset(comments, ["date_commentaire", "date_publication"])
+    return quality.audit_dataset(view(spark, sf_dir, "comments"), ["date_commentaire", "date_publication"])
 
 
 @query("dq_result_counts", f"select check_result, count(*) as check_count from ({_SUITE}) group by check_result")

@@ -19,8 +19,7 @@ _RECOMMENDED = """select row_number() over (order by platform_name) as recommend
   post_count as evidence_posts, round(median_engagement, 6) as evidence_median,
   round(average_engagement_rate, 6) as evidence_rate, round(average_engagement_rate, 6) as score,
   timestamp '2024-01-02 00:00:00' as generated_at from kpis"""
-# The bound posts are far below the usual threshold of 50, so the check uses one in their range.
-_THRESHOLD = 49.0
+_THRESHOLD = 50.0
 _ALERTED = f"""select row_number() over (order by platform_name) as alert_id, platform_name, 'high_toxicity' as alert_type,
   concat('Surveiller la toxicite moyenne sur ', platform_name, '.') as alert_text, 'HIGH' as severity,
   round(average_toxicity, 6) as evidence_toxicity, timestamp '2024-01-02 00:00:00' as generated_at

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseloom.operators import themes
-from pulseloom.plans.bindings import TAXONOMY, view
+from pulseloom.plans.bindings import dealt, TAXONOMY, view
 from pulseloom.plans.registry import query
 
 
@@ -30,7 +30,7 @@ def posts_from_comments(spark, sf_dir):
          array_to_string(k_generique, ', ') as generique, array_to_string(k_francais, ', ') as francais from labelled""",
 )
 def keyword_hits(spark, sf_dir):
-    hits = themes.keyword_hits(view(spark, sf_dir, "publications"), "texte_publication", TAXONOMY)
+    hits = themes.keyword_hits(dealt(view(spark, sf_dir, "publications")), "texte_publication", TAXONOMY)
     names = [F.array_join(F.col("hits")[i]["keywords"], ", ").alias(n) for i, n in enumerate(TAXONOMY.themes)]
     return hits.select("id_publication", *names)
 
@@ -40,7 +40,7 @@ def keyword_hits(spark, sf_dir):
     "select id_publication, theme, matched_keywords, cast(best as int) as match_count from labelled",
 )
 def classify_theme(spark, sf_dir):
-    labelled = themes.classify_theme(view(spark, sf_dir, "publications"), "texte_publication", TAXONOMY)
+    labelled = themes.classify_theme(dealt(view(spark, sf_dir, "publications")), "texte_publication", TAXONOMY)
     return labelled.select(
         "id_publication", "theme", F.array_join("matched_keywords", ", ").alias("matched_keywords"), "match_count"
     )

@@ -65,18 +65,3 @@ def materialise(df: DataFrame, label: str = "frame") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Put a small frame on all cores before costly per-row work.
-
-    One small file is one task, however dear its rows are. The size is Catalyst's
-    estimate, so nothing runs to find it; above the bound the frame stays as it is.
-    """
-    if df.isStreaming:
-        return df
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < SMALL_INPUT_BYTES else df

@@ -6,12 +6,11 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-# Files up to this size are hashed inside the JVM; larger ones are streamed in blocks.
-NATIVE_HASH_BYTES = 256 * 1024 * 1024
 _READ_BLOCK = 4 * 1024 * 1024
 
 
@@ -95,15 +94,28 @@ def sink_structured(df: DataFrame, path: str) -> None:
         writer.options(header=True, quote='"', escape='"', quoteAll=False).csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; other errors of the listing are raised."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def file_fingerprints(spark: SparkSession, path: str | list[str], native_bytes: int = NATIVE_HASH_BYTES) -> DataFrame:
+def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=None) -> DataFrame:
     """SHA-256 of each file's bytes: (path, length, file_hash).
 
-    Small files go through the binary source. Content of large files is never
-    one row: their bytes are streamed where the task runs.
+    Files are streamed in blocks where the task runs, whatever their size.
+    ``filesystem`` is the Arrow file system to read them with, for stores that
+    need credentials; by default the scheme decides (``s3a`` and ``s3n`` are
+    ``s3``), and a scheme that Arrow does not know raises.
     """
 
     def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,7 +126,11 @@ def file_fingerprints(spark: SparkSession, path: str | list[str], native_bytes:
         for batch in batches:
             digests = []
             for uri in batch["path"]:
-                system, location = fs.FileSystem.from_uri(uri)
+                scheme, _, rest = uri.partition(":")
+                if filesystem is not None:
+                    system, location = filesystem, rest.lstrip("/") if scheme != "file" else "/" + rest.lstrip("/")
+                else:
+                    system, location = fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri)
                 digest = hashlib.sha256()
                 with system.open_input_stream(location) as stream:
                     while block := stream.read(_READ_BLOCK):
@@ -122,13 +138,6 @@ def file_fingerprints(spark: SparkSession, path: str | list[str], native_bytes:
                 digests.append(digest.hexdigest())
             yield batch.assign(file_hash=digests)[["path", "length", "file_hash"]]
 
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= native_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("file_hash")
-    )
-    large = files.where(F.col("length") > native_bytes).select("path", "length")
-    if large.isEmpty():
-        return small
     # Listing puts many files in one task; spread them, as each is read whole.
-    hashed = large.repartition("path").mapInPandas(hash_blocks, "path string, length bigint, file_hash string")
-    return small.unionByName(hashed)
+    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition("path")
+    return files.mapInPandas(hash_blocks, "path string, length bigint, file_hash string")

@@ -13,7 +13,7 @@ from pulseloom.functions.hashing import stable_id
 from pulseloom.functions.times import parse_timestamp
 from pulseloom.schemas import TRACKING, table_schema
 from pulseloom.session import materialise
-from pulseloom.sources.files import file_fingerprints, rename_columns, scan_delimited
+from pulseloom.sources.files import file_fingerprints, path_exists, rename_columns, scan_delimited
 from pulseloom.sources.profiles import PROFILES, LoadProfile
 
 LOADED, FORCED, SKIPPED = "LOADED", "FORCED_RELOAD", "SKIPPED_DUPLICATE"
@@ -147,7 +147,7 @@ class StagingArea:
         if prior and not force:
             self._log(log_id, file_hash, name, table, 0, SKIPPED, as_of)
             return SKIPPED
-        frame = scan_delimited(self.spark, path, column_names=profile.column_names, sep=profile.sep)
+        frame = scan_delimited(self.spark, path, column_names=profile.column_names, sep=profile.sep, multi_line=profile.multi_line)
         if profile.rename_columns:
             frame = rename_columns(frame, profile.rename_columns)
         if profile.generate_id:
@@ -177,12 +177,8 @@ class StagingArea:
                 continue
             path = f"{folder.rstrip('/')}/{profile.file}"
             try:
-                self.spark.read.format("binaryFile").load(path)
-            except Exception:
-                summary[table] = MISSING
-                continue
-            try:
-                summary[table] = self.load(path, table, as_of, force)
+                found = path_exists(self.spark, path)
+                summary[table] = self.load(path, table, as_of, force) if found else MISSING
             except Exception as error:
                 self.notes.append(f"{table}: {type(error).__name__}: {error}")
                 summary[table] = FAILED

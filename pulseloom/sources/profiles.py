@@ -14,6 +14,8 @@ class LoadProfile:
     column_names: list[str] | None = None
     rename_columns: dict[str, str] | None = None
     generate_id: list[str] | None = None
+    #: Quoted line breaks need it; without them a large file can be split over tasks.
+    multi_line: bool = True
 
     def override(self, **explicit) -> "LoadProfile":
         """The profile with every argument that was given put in place."""

@@ -18,7 +18,7 @@ def test_text_vectors_equal_the_term_table(spark, texts):
     from pyspark.ml.functions import vector_to_array
 
     prepared = texts.withColumn("_text", F.col("text"))
-    pipeline = models.fit_text_features(prepared, min_documents=3)
+    pipeline = models.fit_text_features(prepared, vocabulary=1000, min_documents=3)
     names = next(s for s in pipeline.stages if hasattr(s, "vocabulary")).vocabulary
     vectors = pipeline.transform(prepared).select("id", vector_to_array("features").alias("v")).collect()
     table = {(r["id"], r["term"]): r["tfidf"] for r in models.tfidf_features(texts, "id", "text", min_documents=3).collect()}
@@ -30,7 +30,7 @@ def test_text_vectors_equal_the_term_table(spark, texts):
 
 
 def test_sentiment_model_is_saved_and_scores_by_class_name(spark, texts, tmp_path):
-    fitted = models.fit_text_model(lambda label, n: models.logistic(label, n, 50), texts, min_documents=2)
+    fitted = models.fit_text_model(lambda label, n: models.logistic(label, n, 50), texts, vocabulary=1000, min_documents=2)
     with pytest.raises(FileNotFoundError):
         models.load_model(str(tmp_path / "none"))
     models.save_model(fitted, str(tmp_path / "m"))
@@ -47,7 +47,7 @@ def test_sentiment_model_is_saved_and_scores_by_class_name(spark, texts, tmp_pat
 
 
 def test_svm_separates(spark, texts):
-    fitted = models.fit_text_model(models.linear_svm, texts, min_documents=2)
+    fitted = models.fit_text_model(models.linear_svm, texts, vocabulary=1000, min_documents=2)
     predicted = models.predict_labels(fitted, texts)
     assert metrics.macro_metrics(predicted, "label", "predicted_label").first()["f1_macro"] > 0.9
 
@@ -72,7 +72,7 @@ def test_models_beat_their_baseline_and_take_unseen_categories(spark):
     train, test = spark.createDataFrame(rows(300, "a"), schema), spark.createDataFrame(rows(60, "unseen"), schema)
     base = splits.baseline_regressor(train, "target", test)
     floor = metrics.regression_metrics(base, "target", "prediction").first()["mae"]
-    for estimator in (models.ridge("target", 300), models.forest_regressor("target", trees=5, depth=6)):
+    for estimator in (models.ridge("target", train), models.forest_regressor("target", trees=5, depth=6)):
         predicted = models.fit_on_features(estimator, train).transform(test)
         assert metrics.regression_metrics(predicted, "target", "prediction").first()["mae"] < floor
     labelled = train.withColumn("viral", (F.col("target") > 80).cast("int"))
