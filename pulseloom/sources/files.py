@@ -18,18 +18,17 @@ def _suffix(path: str) -> str:
     return os.path.splitext(path.rstrip("/"))[1].lower()
 
 
-def detect_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """utf-8 or latin-1 per path.
+def detect_encodings(spark: SparkSession, path: str) -> dict[str, str]:
+    """utf-8 or latin-1 per file below a path.
 
-    Spark never fails on bad UTF-8, so bytes are checked line by line: a newline
-    byte is never part of a longer UTF-8 sequence. latin-1 accepts every byte,
-    hence no later fallback can be reached.
+    Spark never fails on bad UTF-8, so bytes are checked line by line, in one
+    pass: a newline byte is never part of a longer UTF-8 sequence. latin-1
+    accepts every byte, hence no later fallback can be reached. Empty files are
+    not listed.
     """
-    found = {}
-    for path in paths:
-        bad = spark.read.text(path).where(~F.is_valid_utf8(F.col("value"))).limit(1).count()
-        found[path] = "latin-1" if bad else "utf-8"
-    return found
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (~F.is_valid_utf8("value")).alias("bad"))
+    # One row per file, as the readers need their paths.
+    return {r["file"]: "latin-1" if r["bad"] else "utf-8" for r in lines.groupBy("file").agg(F.bool_or("bad").alias("bad")).collect()}
 
 
 def scan_delimited(
@@ -46,19 +45,18 @@ def scan_delimited(
     Columns come from the header, or from ``column_names`` for a headerless file.
     Values are text unless a schema is given; nothing is inferred. Quoted line
     breaks need ``multi_line``; switch it off where there are none, since only
-    then can one file be split over tasks.
+    then can one file be split over tasks. Without an ``encoding`` each file of a
+    folder is read in its own.
     """
     kind = _suffix(path)
     if kind not in (".csv", ".tsv"):
         raise ValueError(f"unsupported format: {kind}")
-    encoding = encoding or detect_encodings(spark, [path])[path]
     separator = "\t" if kind == ".tsv" else (sep or ",")
     reader = spark.read.options(
         sep=separator,
         quote='"',
         escape='"',
         multiLine=multi_line,
-        encoding="ISO-8859-1" if encoding == "latin-1" else "UTF-8",
         header=not column_names,
         mode="PERMISSIVE",
     )
@@ -67,7 +65,18 @@ def scan_delimited(
     if schema is not None:
         # A header may order columns differently from the schema.
         reader = reader.schema(schema).option("enforceSchema", bool(column_names))
-    return reader.csv(path)
+
+    def read(where: str | list[str], kind: str) -> DataFrame:
+        return reader.option("encoding", "ISO-8859-1" if kind == "latin-1" else "UTF-8").csv(where)
+
+    if encoding:
+        return read(path, encoding)
+    found = detect_encodings(spark, path)
+    kinds = sorted(set(found.values())) or ["utf-8"]
+    if len(kinds) == 1:
+        return read(path, kinds[0])
+    by_kind = [read([f for f, own in found.items() if own == k], k) for k in kinds]
+    return by_kind[0].unionByName(by_kind[1], allowMissingColumns=True)
 
 
 def scan_structured(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -52,7 +52,7 @@ def test_load_all_statuses_and_truncate(area, tmp_path):
 
 def test_latin_1_quotes_and_line_breaks(area, spark, tmp_path):
     path = put(tmp_path, "l.csv", HEADER + 'r1,fr,"café, ""trop""\ncher",5,2024-01-01\n', "latin-1")
-    assert files.detect_encodings(spark, [path]) == {path: "latin-1"}
+    assert list(files.detect_encodings(spark, path).values()) == ["latin-1"]
     area.load(path, "raw_reddit", AS_OF)
     assert area.table("raw_reddit").first()["text"] == 'café, "trop"\ncher'
 
@@ -142,3 +142,23 @@ def test_stream_skips_known_content(spark, tmp_path):
     ingest.run(str(drop), str(tmp_path / "cp"))
     assert sorted((r["id"], r["text"]) for r in ingest.rows().collect()) == [(1, "x"), (2, "y")]
     assert sorted(r["status"] for r in ingest.ledger().collect()) == ["LOADED", "LOADED", "SKIPPED_DUPLICATE", "SKIPPED_DUPLICATE"]
+
+
+def test_each_file_of_a_folder_has_its_own_encoding(spark, tmp_path):
+    folder = tmp_path / "mixed.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("id,note\n1,café\n".encode())
+    (folder / "b.csv").write_bytes("id,note\n2,café\n".encode("latin-1"))
+    found = files.scan_delimited(spark, str(folder)).collect()
+    assert sorted((r["id"], r["note"]) for r in found) == [("1", "café"), ("2", "café")]
+
+
+def test_new_rows_come_once_per_key_and_null_is_a_key(spark):
+    from pulseloom.operators.capture import insert_if_absent
+
+    old = spark.createDataFrame([(1, "old")], "k int, v string")
+    new = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (None, "z"), (None, "y")], "k int, v string")
+    once = insert_if_absent(old, new, "k")
+    want = [(1, "old"), (2, "a"), (None, "y")]
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, insert_if_absent(once, new, "k").collect()), key=str) == sorted(want, key=str)
