@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that a worker remembers of a kind; beyond that, those met in one batch only are forgotten.
-KEPT = 300_000
+KEPT = 420_000
 #: Bytes of a word for the first query; words and, about, ids per query.
 SHORT_BYTES = 48
 WORDS = 20_000
