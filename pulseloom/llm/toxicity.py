@@ -1,6 +1,7 @@
 """Toxicity scores by weak supervision.
 
-1. Lexicon: word beginnings that stand out in toxic texts of a bounded sample of labelled rows.
+1. Lexicon: all word beginnings that stand out in toxic texts of a bounded sample of labelled rows.
+   A text counts once, however many copies of it are labelled.
 2. Voters: groups of these stems, and patterns (shouting, bursts of marks, masked words, many
    hits). Each votes for toxic or abstains.
 3. Label model: a generative model of the votes given the class, with each voter's accuracy and
@@ -12,7 +13,8 @@
 
 The counts of step 3 cover all rows given. The bounds are those of the model and of the samples:
 ``FIT_ROWS`` labelled rows for the lexicon and as many rows for the classifier, drawn evenly by a
-hash, ``STEMS`` stems, and at most 2^16 patterns of 16 voters.
+hash, and at most 2^16 patterns of 16 voters. Stems have no bound of their own: each is in so many
+toxic texts of the sample that few can be. Hits are kept sparse.
 
 Defined results
 ---------------
@@ -22,6 +24,8 @@ Defined results
 * Without labels the stems are those of ``SEED_STEMS`` and the label model learns from
   agreement alone.
 * Rows that repeat a document are scored each.
+* Texts that differ in white space only are one text to the lexicon, toxic if half of its labelled
+  rows are.
 """
 
 from __future__ import annotations
@@ -42,7 +46,6 @@ from pulseloom.session import materialise
 
 #: Bounds of the samples and of the model.
 FIT_ROWS = 20_000
-STEMS = 64
 LEXICON_VOTERS = 12
 #: Lengths of a word's beginning that can become a stem.
 STEM_CHARS = range(4, 9)
@@ -79,11 +82,16 @@ def stem_counts(labelled: DataFrame) -> DataFrame:
 
 
 def choose_stems(counts: list[tuple[str, int, int]]) -> list[str]:
-    """The strongest stems, none of which begins another; of equal ones the longest."""
+    """The stems by strength, none of which begins another; of equal ones the longest."""
     chosen: list[str] = []
+    begun: set[str] = set()
+    ended: set[str] = set()
     for stem, _, _ in sorted(counts, key=lambda c: (-c[1], -len(c[0]), c[0])):
-        if len(chosen) < STEMS and not any(stem.startswith(s) or s.startswith(stem) for s in chosen):
+        starts = {stem[:n] for n in range(1, len(stem) + 1)}
+        if stem not in begun and not starts & ended:
             chosen.append(stem)
+            begun |= starts
+            ended.add(stem)
     return chosen
 
 
@@ -98,9 +106,9 @@ class Reader:
         if stems:
             self.finder.make_automaton()
 
-    def counts(self, text: str) -> np.ndarray:
+    def counts(self, text: str) -> Counter[int]:
         """Hits per stem, at the beginning of words only."""
-        found = np.zeros(len(self.stems))
+        found: Counter[int] = Counter()
         if self.stems:
             lower = text.lower()
             for end, (n, size) in self.finder.iter(lower):
@@ -109,39 +117,63 @@ class Reader:
                     found[n] += 1
         return found
 
-    def read(self, text: str) -> tuple[int, np.ndarray]:
-        """The votes as bits, and the classifier's features."""
+    def read(self, text: str) -> tuple[int, Counter[int]]:
+        """The votes as bits, and the hits per stem."""
         hits = self.counts(text)
-        patterns = [
-            bool(SHOUT.search(text)),
-            "!!" in text or "?!" in text,
-            bool(MASKED.search(text)),
-            int((hits > 0).sum()) >= 3,
-        ]
+        patterns = [bool(SHOUT.search(text)), "!!" in text or "?!" in text, bool(MASKED.search(text)), len(hits) >= 3]
         votes = 0
-        for n in np.flatnonzero(hits):
-            votes |= 1 << (int(n) % LEXICON_VOTERS)
+        for n in hits:
+            votes |= 1 << (n % LEXICON_VOTERS)
         for n, on in enumerate(patterns):
             votes |= on << (LEXICON_VOTERS + n)
-        return votes, np.concatenate([np.log1p(hits), [np.log1p(hits.sum())], np.array(patterns, float)])
+        return votes, hits
 
 
 VOTERS = LEXICON_VOTERS + len(PATTERNS)
 
 
-def votes_and_features(docs: DataFrame, stems: list[str]) -> DataFrame:
-    """doc_id, votes and features per row."""
+def votes_and_hits(docs: DataFrame, stems: list[str]) -> DataFrame:
+    """doc_id, votes, and the stems found with their hits per row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(stems)
         for batch in batches:
             found = [reader.read(t or "") for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), pa.array([v for v, _ in found], pa.int32())]
-            columns.append(pa.array([f.astype(np.float32) for _, f in found], pa.list_(pa.float32())))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "votes", "features"])
+            columns += [pa.array([list(part(h)) for _, h in found], pa.list_(pa.int32())) for part in (Counter.keys, Counter.values)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "votes", "stems", "hits"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(read, "doc_id long, votes int, features array<float>")
+    return source.mapInArrow(read, "doc_id long, votes int, stems array<int>, hits array<int>")
+
+
+@dataclass(frozen=True)
+class Sparse:
+    """A matrix by its entries other than 0."""
+
+    rows: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * vector[self.columns], self.shape[0])
+
+    def turned_times(self, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.columns, self.values * vector[self.rows], self.shape[1])
+
+
+def features(votes: list[int], stems: list[np.ndarray], hits: list[np.ndarray], n_stems: int) -> Sparse:
+    """Log counts per stem and in all, the patterns, and a constant 1."""
+    sizes = np.array([len(s) for s in stems], int)
+    every = np.arange(len(votes))
+    row = np.repeat(every, sizes)
+    count = np.concatenate([np.zeros(0), *hits])
+    on, pattern = np.nonzero((np.array(votes, int)[:, None] >> (LEXICON_VOTERS + np.arange(len(PATTERNS)))) & 1)
+    width = n_stems + 2 + len(PATTERNS)
+    columns = [np.concatenate([np.zeros(0, int), *stems]), np.full(len(every), n_stems), n_stems + 1 + pattern, np.full(len(every), width - 1)]
+    values = [np.log1p(count), np.log1p(np.bincount(row, count, len(every))), np.ones(len(on)), np.ones(len(every))]
+    return Sparse(np.concatenate([row, every, on, every]), np.concatenate(columns).astype(int), np.concatenate(values), (len(every), width))
 
 
 @dataclass(frozen=True)
@@ -207,20 +239,45 @@ def fit_label_model(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray
     return model
 
 
-def fit_linear(features: np.ndarray, targets: np.ndarray, penalty: float = 0.05) -> np.ndarray:
-    """Weights and intercept of a logistic regression on soft targets, by Newton's method."""
-    x = np.c_[features, np.ones(len(features))]
-    ridge = np.diag([penalty] * features.shape[1] + [1e-3])
+def fit_linear(features: np.ndarray | Sparse, targets: np.ndarray, penalty: float = 0.05) -> np.ndarray:
+    """Weights and intercept of a logistic regression on soft targets, by Newton's method.
+
+    A ``Sparse`` matrix has the constant as its last column already. Steps are found by conjugate
+    gradients, so no square matrix of the stems is made.
+    """
+    x = features
+    if not isinstance(x, Sparse):
+        full = np.c_[x, np.ones(len(x))]
+        x = Sparse(*np.nonzero(full), full[np.nonzero(full)], full.shape)
+    squares = Sparse(x.rows, x.columns, x.values**2, x.shape)
+    ridge = np.array([penalty] * (x.shape[1] - 1) + [1e-3])
     weights = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
-        z = x @ w
-        return float((np.logaddexp(0, z) - targets * z).sum() + w @ ridge @ w / 2)
+        z = x.times(w)
+        return float((np.logaddexp(0, z) - targets * z).sum() + w @ (ridge * w) / 2)
+
+    def solve(bend: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        scale = squares.turned_times(bend) + ridge
+        found, left = np.zeros(len(slope)), slope.copy()
+        along = ahead = left / scale
+        size = left @ ahead
+        least = 1e-16 * size
+        for _ in range(10 * len(slope)):
+            if size <= least:
+                break
+            bent = x.turned_times(bend * x.times(along)) + ridge * along
+            step = size / (along @ bent)
+            found, left = found + step * along, left - step * bent
+            ahead = left / scale
+            before, size = size, left @ ahead
+            along = ahead + size / before * along
+        return found
 
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
-        slope = x.T @ (p - targets) + ridge @ weights
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, slope)
+        p = 1 / (1 + np.exp(-np.clip(x.times(weights), -40, 40)))
+        slope = x.turned_times(p - targets) + ridge * weights
+        step = solve(p * (1 - p), slope)
         size = 1.0
         while size > 1e-4 and loss(weights - size * step) > loss(weights):
             size /= 2
@@ -249,28 +306,32 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     # About fit_rows labels: a bounded side, so that texts need no shuffle.
     sample = known.where(_drawn(F.col("doc_id"), min(1.0, fit_rows / max(1, known.count()))))
     labelled = texts.join(F.broadcast(sample), "doc_id")
-    totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    plain = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
+    distinct = labelled.groupBy(plain.alias("text")).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    distinct = materialise(distinct, "toxic-texts")
+    totals = {r["toxic"]: r["count"] for r in distinct.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     strong = (F.col("toxic") + 0.5) / (toxic + 1) >= LEAST_ODDS * (F.col("clean") + 0.5) / (clean + 1)
     frequent = F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)
     # Each text has so many beginnings at most, so few are in that share of the toxic ones.
-    counts = stem_counts(labelled).where(strong & frequent).orderBy(F.desc("toxic"), F.desc(F.length("stem")), "stem").limit(50 * STEMS)
+    counts = stem_counts(distinct).where(strong & frequent)
     stems = choose_stems([tuple(r) for r in counts.select("stem", "toxic", "clean").collect()]) or SEED_STEMS
 
-    rows = materialise(votes_and_features(texts, stems).join(known, "doc_id", "left"), "votes")
+    rows = materialise(votes_and_hits(texts, stems).join(known, "doc_id", "left"), "votes")
     rows = rows.withColumn("toxic", F.coalesce("toxic", F.lit(-1)))
     patterns = rows.groupBy("votes", "toxic").count().toPandas()  # 2^VOTERS x 3 at most
     model = fit_label_model(patterns["votes"].to_numpy(int), patterns["toxic"].to_numpy(int), patterns["count"].to_numpy(float))
 
     total = int(patterns["count"].sum())
     drawn = rows.where(_drawn(F.coalesce("doc_id", F.monotonically_increasing_id()), min(1.0, fit_rows / max(1, total))))
-    drawn = drawn.select("votes", "toxic", "features").toPandas()
+    drawn = drawn.select("votes", "toxic", "stems", "hits").toPandas()
     if not len(drawn):
         return ToxicityModel(stems, model, np.zeros(len(stems) + 2 + len(PATTERNS)))
     votes = (drawn["votes"].to_numpy(int)[:, None] >> np.arange(VOTERS)) & 1
     given = drawn["toxic"].to_numpy(int)
     targets = np.where(given >= 0, given, model.posterior(votes))
-    return ToxicityModel(stems, model, fit_linear(np.stack(drawn["features"].to_numpy()).astype(float), targets))
+    read = features(drawn["votes"].tolist(), drawn["stems"].tolist(), drawn["hits"].tolist(), len(stems))
+    return ToxicityModel(stems, model, fit_linear(read, targets))
 
 
 def score(model: ToxicityModel, text: Column) -> Column:
@@ -280,7 +341,9 @@ def score(model: ToxicityModel, text: Column) -> Column:
     def chance(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(model.stems)
         for texts in batches:
-            sums = [float(reader.read(t or "")[1] @ model.weights[:-1] + model.weights[-1]) for t in texts]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, float), -40, 40))))
+            found = [reader.read(t or "") for t in texts]
+            arrays = [[np.fromiter(part(h), int) for _, h in found] for part in (Counter.keys, Counter.values)]
+            sums = features([v for v, _ in found], *arrays, len(model.stems)).times(model.weights)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -40, 40))))
 
     return chance(F.coalesce(text.cast("string"), F.lit("")))

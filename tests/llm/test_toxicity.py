@@ -106,3 +106,19 @@ def test_stems_stand_at_the_beginning_of_words():
 def test_no_stem_begins_another():
     chosen = toxicity.choose_stems([("lose", 9, 0), ("loser", 9, 0), ("losers", 5, 0), ("scum", 7, 0)])
     assert chosen == ["loser", "scum"]
+
+
+def test_copies_push_no_stem_out(spark):
+    """Many labelled copies of one toxic text, full of words of its own, beside more than 64 insults."""
+    rng = random.Random(3)
+    letters = "bcdfghjklmnpqrstvwxz"
+    insults = [f"{a}u{b}o" for a in letters[:10] for b in letters[:8]]
+    odd = " ".join(f"{a}e{b}i{c}" for a in letters[:10] for b in letters[:8] for c in "yw")
+    clean = [" ".join(rng.choice(["ther", "and", "ofing", "tion", "enou"]) for _ in range(12)) for _ in range(900)]
+    toxic = [f"ther and {w} tion ofing {other}" for w in insults for other in ("ther", "and", "tion", "enou")]
+    spaced = [odd.replace(" ", " " * (1 + i % 3)) for i in range(40)]
+    rows = [(i, t, y) for i, (t, y) in enumerate([(t, 0) for t in clean] + [(t, 1) for t in toxic + spaced])]
+    model = toxicity.fit(docs(spark, rows), labels(spark, rows))
+    assert set(model.stems) == set(insults)
+    found = scores(spark, [(i, f"enou {w} and tion") for i, w in enumerate(insults)] + [(-1, "enou and tion")], model)
+    assert all((s >= 0.5) == (i >= 0) for i, s in found)
