@@ -105,3 +105,34 @@ def test_no_rows(docs_of):
 def test_digest_of_no_spans(docs_of):
     found = scan.scan(docs_of([(1, None)])).select(F.sha2(scan.span_text(F.col("base")), 256).alias("h")).first()
     assert found.h == hashlib.sha256(b"").hexdigest()
+
+
+def pairwise(text):
+    """The link rule pair by pair, with the lengths of the parts taken off."""
+    strong = scan.strong_parts(text)
+    parts = [(k, a, b, max(a, b - scan.TAIL)) for k, a, b in strong + scan.weak_parts(text, strong)]
+    block = lambda at: len([m for m in scan.BLANK_LINE.finditer(text) if m.start() < at])
+    near = lambda p, q: max(p[1] - q[3], q[1] - p[3]) <= scan.REACH and block(p[1]) == block(q[1])
+    fits = lambda p, q: scan.ROLES[q[0]] in scan.COMPLEMENTS[scan.ROLES[p[0]]]
+    kept = [p for p in parts if p[0] in scan.KINDS[: scan.STRONG] or any(fits(p, q) and near(p, q) for q in parts)]
+    return sorted([p[:3] for p in kept], key=lambda p: (p[1], scan.KINDS.index(p[0])))
+
+
+@pytest.mark.parametrize("size", [450, 2_001, 30_000])
+def test_long_parts_are_linked_to_what_follows_them(docs_of, size):
+    token = ("Zx9" * size)[:size]
+    texts = [f"{token}\nhttps://db.example.org/x", f"password={'k' * size}\nuser: bob", f"https://db.example.org/{'p' * size} {OPAQUE}"]
+    found = scan.scan(docs_of(list(enumerate(texts)))).collect()
+    kinds = {r.doc_id: [s.kind for s in r.spans] for r in found}
+    assert kinds == {0: ["opaque", "endpoint"], 1: ["assign", "user"], 2: ["endpoint", "opaque"]}
+
+
+def test_parts_of_any_length_match_pairs(docs_of):
+    rng = random.Random(2)
+    make = [
+        lambda n: ("Zx9" * n)[: max(20, n)], lambda n: "https://db.example.org/" + "p" * n, lambda n: "user: bob" + "b" * n,
+        lambda n: "password=abcdefgh" + "a" * n, lambda n: "x " * (n // 2), lambda n: "\n\n", lambda n: "y " * 150,
+    ]
+    rows = [(i, " ".join(rng.choice(make)(rng.choice([5, 70, 390, 800, 2500])) for _ in range(rng.randint(2, 9)))) for i in range(200)]
+    found = scan.scan(docs_of(rows)).collect()
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found} == {i: pairwise(t) for i, t in rows}
