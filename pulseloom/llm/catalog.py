@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseloom.llm import byte_bpe, exact_dedup, language, minhash, packing, prefix_forest, secret_scan, sharding, toxicity, warc
+from pulseloom.llm import (
+    alignment,
+    byte_bpe,
+    exact_dedup,
+    importance,
+    language,
+    minhash,
+    packing,
+    prefix_forest,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from pulseloom.llm.vocabulary import public_pattern, vocabulary_path
 from pulseloom.plans.bindings import table
 from pulseloom.session import scratch_path, tune
@@ -157,3 +171,28 @@ def op10_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_batched_importance")
+def op11_batched_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn, name = importance.resample(docs, target, keep=["doc_id"])
+    return drawn.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(name(c)).alias(c) for c in ("n_features", "weight", "score", "rank")])
+
+
+@query("op12_diagonal_alignment")
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.summarise(docs, vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@query("op13_suffix_family")
+def op13_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, names = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col(names["n_bytes"]).alias("n_bytes"),
+        F.col(names["n_removed"]).alias("n_removed"),
+        F.size(names["spans"]).cast("long").alias("n_spans"),
+        F.sha2(F.col(names["kept"]), 256).alias("kept_sha256"),
+    )
