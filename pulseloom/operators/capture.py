@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from pulseloom.functions.ordering import global_rank
 from pulseloom.schemas import COMMON_FIELDS, MAPPINGS, VERSIONED_FACT, column_types
+from pulseloom.session import materialise
 
 # The fields whose change makes a new version.
 TRACKED_FIELDS = ["text_content", "likes", "comments", "shares", "views"]
@@ -63,50 +64,81 @@ def _differs(old: str, new: str) -> Column:
     return reduce(lambda a, b: a | b, [_text(F.col(f"{old}.{f}")) != _text(F.col(f"{new}.{f}")) for f in TRACKED_FIELDS])
 
 
+def _tracked_digest() -> Column:
+    """Stands for the tracked fields; lengths keep neighbours apart. NULL counts as the empty text."""
+    parts = [F.concat(F.length(_text(F.col(f))).cast("string"), F.lit(":"), _text(F.col(f))) for f in TRACKED_FIELDS]
+    return F.sha2(F.concat(*parts), 256)
+
+
 def detect_changes(staged: DataFrame, current: DataFrame) -> DataFrame:
     """Staged rows that are new (``is_update`` false) or changed (true).
 
+    Of the current versions only the key and a digest of the tracked fields travel.
     Both sides have one row per key, so no key is hot here.
     """
-    same_key = (F.col("s.source_id") == F.col("c.source_id")) & (
-        F.col("s.external_post_id") == F.col("c.external_post_id")
-    )
-    joined = staged.alias("s").join(current.alias("c"), same_key, "left")
-    known = F.col("c.external_post_id").isNotNull()
-    return joined.where(~known | _differs("c", "s")).select("s.*", known.alias("is_update"))
+    versions = current.select("source_id", "external_post_id", _tracked_digest().alias("_known"))
+    joined = staged.withColumn("_own", _tracked_digest()).join(versions, ["source_id", "external_post_id"], "left")
+    known = F.col("_known").isNotNull()
+    changed = joined.where(~known | (F.col("_known") != F.col("_own")))
+    return changed.select(*[F.col(f"`{c}`") for c in staged.columns], known.alias("is_update"))
+
+
+def merge_versions(fact: DataFrame, staged: DataFrame, starts: Column, tasks: int | None = None) -> DataFrame:
+    """The versions that stay, some of them expired, and the new ones, still without a key.
+
+    ``starts`` says when a staged row begins to hold; it may be a column of the staged
+    rows, such as their source time. A staged row makes a version if its key is new, or
+    if it differs from the current version and begins after it. One that begins no later
+    is a replay, or came too late to be told from one, and changes nothing.
+
+    One full join of the current versions with the batch gives all of this, dealt by
+    the key to ``tasks`` tasks if given; closed versions are not shuffled. ``_fresh``
+    marks new versions, ``_update`` those that replace another.
+    """
+    fact = fact.select(*[F.col(name).cast(kind) for name, kind in _TYPES.items()])
+    rows, current = staged.withColumn("_starts", starts.cast("timestamp_ntz")), fact.where("is_current")
+    if tasks:
+        rows, current = (df.repartition(tasks, "source_id", "external_post_id") for df in (rows, current))
+    same_key = (F.col("s.source_id") == F.col("c.source_id")) & (F.col("s.external_post_id") == F.col("c.external_post_id"))
+    joined = current.alias("c").join(rows.alias("s"), same_key, "full")
+    known, given = F.col("c.external_post_id").isNotNull(), F.col("s.external_post_id").isNotNull()
+    later = F.coalesce(F.col("s._starts") > F.col("c.effective_date"), F.col("c.effective_date").isNull())
+    update = given & known & _differs("c", "s") & later
+    fresh = (given & ~known) | update
+    old = {name: F.col(f"c.{name}") for name in _TYPES}
+    old |= {"is_current": ~update, "expiration_date": F.when(update, F.col("s._starts")).otherwise(F.col("c.expiration_date"))}
+    born = {name: F.col(f"s.{name}") if name in staged.columns else F.lit(None) for name in _TYPES}
+    born |= {"post_id": F.lit(None), "load_date": F.col("s._starts"), "effective_date": F.col("s._starts")}
+    born |= {"expiration_date": F.lit(None), "is_current": F.lit(True)}
+
+    def row(values: dict[str, Column], *marks: Column) -> Column:
+        fields = [values[name].cast(kind).alias(name) for name, kind in _TYPES.items()]
+        return F.struct(*fields, *[m.alias(n) for m, n in zip(marks, ("_fresh", "_update"), strict=True)])
+
+    no = F.lit(False)
+    both = F.array(F.when(known, row(old, no, no)), F.when(fresh, row(born, F.lit(True), F.coalesce(update, no))))
+    merged = joined.select(F.inline(F.filter(both, lambda v: v.isNotNull())))
+    closed = fact.where(~F.col("is_current")).withColumns({"_fresh": no, "_update": no})
+    return merged.unionByName(closed)
+
+
+def number_versions(fresh: DataFrame, last_id: int) -> DataFrame:
+    """New versions with their keys after ``last_id``, in the order of the natural key: a rerun gives the same."""
+    bare = fresh.drop("post_id", "_fresh", "_update")
+    numbered = global_rank(bare, [F.col("source_id"), F.col("external_post_id")], "post_id", last_id)
+    extra = [c for c in bare.columns if c not in _TYPES]
+    return numbered.select(*_TYPES, *extra)
 
 
 def scd2_apply(fact: DataFrame, staged: DataFrame, as_of: Column, last_id: int = 0) -> DataFrame:
     """All versions after a batch of deduplicated rows.
 
-    The changed rows are found and numbered once, in a written table. The fact is
-    then read in one pass against their keys: current versions that were replaced
-    expire at ``as_of``, and the new versions are appended. Surrogate keys after
-    ``last_id`` follow the natural key, so a rerun gives the same keys.
+    The fact is shuffled once, see ``merge_versions``; its result is written, as the
+    keys of the new versions need their order.
     """
-    version = [F.col(name).cast(kind) for name, kind in _TYPES.items()]
-    fact = fact.select(*version)
-    stamp = as_of.cast("timestamp_ntz")
-    key = ["source_id", "external_post_id"]
-    changes = detect_changes(staged, fact.where("is_current"))
-    numbered = global_rank(changes, [F.col(c) for c in key], "post_id", last_id)
-    replaced = numbered.where("is_update").select(*key, F.lit(True).alias("is_current"), F.lit(True).alias("_replaced"))
-    known = fact.join(replaced, [*key, "is_current"], "left").withColumn("_hit", F.coalesce("_replaced", F.lit(False)))
-    kept = known.withColumns(
-        {
-            "is_current": F.col("is_current") & ~F.col("_hit"),
-            "expiration_date": F.when(F.col("_hit"), stamp).otherwise(F.col("expiration_date")),
-        }
-    ).select(*_TYPES)
-    fresh = numbered.withColumns(
-        {
-            "load_date": stamp,
-            "effective_date": stamp,
-            "expiration_date": F.lit(None).cast("timestamp_ntz"),
-            "is_current": F.lit(True),
-        }
-    ).select(*version)
-    return kept.unionByName(fresh)
+    merged = materialise(merge_versions(fact, staged, as_of), "versions")
+    kept = merged.where(~F.col("_fresh")).select(*_TYPES)
+    return kept.unionByName(number_versions(merged.where("_fresh"), last_id))
 
 
 def scd2_summary(staging: DataFrame, staged: DataFrame, current: DataFrame) -> DataFrame:

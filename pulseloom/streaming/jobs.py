@@ -8,36 +8,44 @@ and what earlier runs have stored decides what of it is new.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pulseloom.operators.capture import dedupe_latest, map_to_common
 from pulseloom.operators.kpi import kpi_daily
 from pulseloom.operators.models import score_text
-from pulseloom.operators.warehouse import PostFact
+from pulseloom.operators.warehouse import PostFact, read_or_empty
 from pulseloom.session import materialise
 from pulseloom.sources.files import file_fingerprints
 
 LEDGER = "file_hash string, path string, status string, run_id string, batch_id bigint"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to, kept in its folder; a new folder gets a new one."""
+    place = f"{checkpoint.rstrip('/')}/run"
+    held = read_or_empty(spark, place, "run_id string").first()
+    if held is None:
+        # Read again: what is stored counts.
+        spark.createDataFrame([(uuid.uuid4().hex,)], "run_id string").coalesce(1).write.mode("overwrite").parquet(place)
+        held = read_or_empty(spark, place, "run_id string").first()
+    if held is None or not held[0]:
+        raise RuntimeError(f"no run is named in {place}")
+    return held[0]
 
 
 def run_to_end(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, str, int], None], mode: str = "append") -> None:
     """Process all that is available: ``each`` gets a batch, its run and its id in that run."""
+    run_id = run_of(stream.sparkSession, checkpoint)
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        each(batch, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
+        each(batch, run_id, batch_id)
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     writer.foreachBatch(one).start().awaitTermination()
@@ -103,18 +111,20 @@ class StreamIngest:
 
 
 def stream_scd2(stream: DataFrame, fact: PostFact, mapping: tuple[int, int, list], checkpoint: str) -> None:
-    """Merge each batch of staged rows into the versioned fact, dated by its newest row.
+    """Merge each batch of staged rows into the versioned fact; a version begins at its row's ``ingested_at``.
 
     A batch that the fact has already seen in this run changes nothing. A new run
-    brings all staged rows again; those that equal their current version change nothing.
+    brings all staged rows again: none of them is later than the current version of
+    its key, so they change nothing either. Rows without a key or without a time are
+    left out.
     """
 
     def each(batch: DataFrame, run_id: str, batch_id: int) -> None:
-        staged = map_to_common(batch, mapping)
-        staged = dedupe_latest(staged.where(F.col("external_post_id").isNotNull()))
-        as_of = batch.agg(F.max("ingested_at").cast("string")).first()[0]
-        if as_of is not None:
-            fact.apply(staged.drop("ingested_at"), mapping[0], F.lit(as_of), batch_id, run_id)
+        usable = F.col("external_post_id").isNotNull() & F.col("ingested_at").isNotNull()
+        # Written once: the merge looks at the keys first, then at the rows.
+        staged = materialise(dedupe_latest(map_to_common(batch, mapping).where(usable)), "staged")
+        if not staged.isEmpty():
+            fact.apply(staged, mapping[0], F.col("ingested_at"), batch_id, run_id)
 
     run_to_end(stream, checkpoint, each)
 
@@ -146,25 +156,64 @@ def stream_hourly_activity(context: DataFrame, checkpoint: str, target: str, del
     return context.sparkSession.read.parquet(target)
 
 
-def stream_score(posts: DataFrame, model: PipelineModel, model_id: int, checkpoint: str, target: str) -> DataFrame:
+def first_rows(posts: DataFrame) -> DataFrame:
+    """Of each post the newest row of the first batch that holds it; later rows of it are dropped.
+
+    The state has one flag per post and is looked up by key, so the work of a batch
+    depends on its own rows, however many posts have come before.
+    """
+    order, columns = ["published_at", "text_content"], posts.columns
+
+    def once(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            return
+        best = None
+        # A post may come in several frames: the best row so far goes with the next.
+        for frame in frames:
+            rows = frame if best is None else pd.concat([best, frame])
+            best = rows.sort_values(order, na_position="first", kind="stable").tail(1)
+        state.update((True,))
+        if best is not None:
+            yield best[columns]
+
+    seen = "seen boolean"
+    return posts.groupBy("post_id").applyInPandasWithState(once, posts.schema, seen, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_score(posts: DataFrame, model: PipelineModel, model_id: int, checkpoint: str, target: str, buckets: int = 64) -> DataFrame:
     """Score posts as they arrive, however late: one prediction per post and model.
 
-    Of the rows of a post in one batch the newest is scored. A post that any other
-    batch has scored with this model is left out.
+    Of the rows of a post in one batch the newest is scored. Keyed state leaves out the
+    posts that an earlier batch of the run has scored. Predictions of earlier runs, after
+    a lost checkpoint or a first load, lie in folders by a hash of the post: a batch reads
+    the folders of its own posts only, and none where no other run has stored any.
     """
     spark = posts.sparkSession
     texts = posts.where(F.col("text_content").isNotNull()).select("post_id", "text_content", "published_at")
     empty = score_text(model, spark.createDataFrame([], texts.schema).drop("published_at"), "text_content").drop("text_content")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema) + ", model_id int"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema)
+    bucket = F.pmod(F.xxhash64("post_id"), F.lit(buckets)).cast("int")
+    mine, run = f"{target}/model_id={model_id}", run_of(spark, checkpoint)
+    stored = read_or_empty(spark, mine, f"{schema}, bucket int, run_id string, batch_id bigint")
+    # Asked once: while this run goes on, no other one writes here.
+    others = stored.where(F.col("run_id") != run)
+    repeats = not others.isEmpty()
 
     def each(batch: DataFrame, run_id: str, batch_id: int) -> None:
-        newest = F.max_by("text_content", F.struct("published_at", "text_content")).alias("text_content")
-        once = batch.groupBy("post_id").agg(newest).withColumn("model_id", F.lit(model_id))
-        own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-        stored = read_or_empty(spark, target, f"{schema}, run_id string, batch_id bigint").where(~own)
-        fresh = once.join(stored.select("post_id", "model_id"), ["post_id", "model_id"], "left_anti")
+        fresh = batch.drop("published_at").withColumn("bucket", bucket)
+        if repeats:
+            fresh = materialise(fresh, "fresh")
+            # At most ``buckets`` of them: they prune the folders.
+            held = [r[0] for r in fresh.select("bucket").distinct().collect()]
+            known = others.where(F.col("bucket").isin(held)).select("post_id")
+            fresh = fresh.join(known, "post_id", "left_anti")
         scored = score_text(model, fresh, "text_content").drop("text_content")
-        scored.write.mode("overwrite").parquet(f"{target}/run_id={run_id}/batch_id={batch_id}")
-
-    run_to_end(texts, checkpoint, each)
-    return read_or_empty(spark, target, schema).select(*[f.name for f in empty.schema], "model_id")
+        # One folder per bucket, run and batch: a replay writes over its own.
+        place = {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)}
+        scored.withColumns(place).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "bucket", "run_id", "batch_id"
+        ).parquet(mine)
+
+    run_to_end(first_rows(texts), checkpoint, each)
+    done = read_or_empty(spark, target, f"{schema}, model_id int, bucket int, run_id string, batch_id bigint")
+    return done.select(*[f.name for f in empty.schema], "model_id")

@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 from pulseloom import schemas
 from pulseloom.operators import capture
 from pulseloom.operators.warehouse import PostFact
+from pulseloom.session import materialise
 
 REDDIT = "comment_id string, subreddit string, text string, score int, created_at timestamp_ntz, ingested_at timestamp_ntz"
 
@@ -41,6 +42,73 @@ def test_insert_change_and_rerun(spark, tmp_path):
     assert fact.read(5).count() == before, "a batch id that was seen changes nothing"
 
 
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    fact = PostFact(spark, str(tmp_path), buckets=8)
+    rows = [(f"k{i}", "t", i, "2024-01-01") for i in range(60)]
+    assert summary(fact.transform_source(staging(spark, rows), "raw_reddit", F.lit("2024-01-01"), 1)) == (60, 60, 60, 0, 0)
+    before = fact.bucket_paths(5)
+    assert len(before) == 8
+    # One changed row, one new one, and rows of all buckets that stay as they are.
+    batch = [*rows[1:], ("k0", "t", 99, "2024-01-02"), ("new", "t", 1, "2024-01-02")]
+    assert summary(fact.transform_source(staging(spark, batch), "raw_reddit", F.lit("2024-01-02"), 2)) == (61, 61, 1, 1, 59)
+    after = PostFact(spark, str(tmp_path), buckets=3)
+    assert after.buckets == 8, "a store keeps its number of buckets"
+    assert 1 <= sum(before[b] != p for b, p in after.bucket_paths(5).items()) <= 2
+    found = after.read(5)
+    assert found.count() == 62 and found.where("is_current").count() == 61
+    assert found.select("post_id").distinct().count() == 62 and found.agg(F.max("post_id")).first()[0] == 62
+
+
+def test_a_batch_that_dies_before_its_pointers_is_not_seen(spark, tmp_path, monkeypatch):
+    from pulseloom.operators import warehouse
+
+    fact = PostFact(spark, str(tmp_path), buckets=4)
+    fact.transform_source(staging(spark, [("a", "old", 1, "2024-01-01")]), "raw_reddit", F.lit("2024-01-01"), 1)
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    later = staging(spark, [("a", "new", 2, "2024-01-02"), ("b", "x", 2, "2024-01-02")])
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "number_versions", dies)
+        try:
+            fact.transform_source(later, "raw_reddit", F.lit("2024-01-02"), 2)
+        except RuntimeError:
+            pass
+    assert [(r["external_post_id"], r["is_current"]) for r in fact.read(5).collect()] == [("a", True)]
+    assert summary(fact.transform_source(later, "raw_reddit", F.lit("2024-01-02"), 2)) == (2, 2, 1, 1, 0)
+    assert fact.read(5).count() == 3
+
+
+def test_versions_follow_source_time(spark):
+    """Rows dated no later than the version they would replace change nothing, whatever they say."""
+    types = "source_id int, platform_id int, external_post_id string, text_content string, published_at timestamp_ntz, likes long, comments long, shares long, views long, ingested_at timestamp_ntz"
+    batch = lambda *rows: spark.createDataFrame([(5, 4, k, t, None, n, None, None, None, None) for k, t, n, _ in rows], types.replace("ingested_at timestamp_ntz", "x string")).drop("x").join(
+        spark.createDataFrame([(k, a) for k, _, _, a in rows], "external_post_id string, a string"), "external_post_id"
+    ).withColumn("ingested_at", F.col("a").cast("timestamp_ntz")).drop("a")
+    fact = spark.createDataFrame([], schemas.VERSIONED_FACT)
+    stamp = F.col("ingested_at")
+    fact = capture.scd2_apply(fact, batch(("a", "old", 1, "2024-01-01"), ("z", "z", 1, "2024-01-05")), stamp)
+    fact = capture.scd2_apply(fact, batch(("a", "new", 2, "2024-01-02")), stamp, 2)
+    # Older than the version of z, but later than nothing of a: only a's turn counts.
+    fact = capture.scd2_apply(fact, batch(("a", "old", 1, "2024-01-01"), ("z", "late", 3, "2024-01-04")), stamp, 3)
+    found = sorted((r["external_post_id"], r["text_content"], str(r["effective_date"])[:10], str(r["expiration_date"])[:10], r["is_current"]) for r in fact.collect())
+    assert found == [
+        ("a", "new", "2024-01-02", "None", True), ("a", "old", "2024-01-01", "2024-01-02", False), ("z", "z", "2024-01-05", "None", True),
+    ]
+
+
+def test_the_fact_is_shuffled_once(spark, tmp_path):
+    fact = spark.createDataFrame([], schemas.VERSIONED_FACT)
+    fact.write.parquet(str(tmp_path / "f"))
+    stored = spark.read.schema(schemas.VERSIONED_FACT).parquet(str(tmp_path / "f"))
+    staged = capture.dedupe_latest(capture.map_to_common(staging(spark, [("a", "t", 1, "2024-01-01")]), "raw_reddit"))
+    merged = capture.merge_versions(stored, materialise(staged), F.lit("2024-01-02"), 8)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # One for the current versions, one for the batch.
+    assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
+
+
 def test_sources_do_not_touch_each_other(spark, tmp_path):
     fact = PostFact(spark, str(tmp_path))
     fact.transform_source(staging(spark, [("x", "a", 1, "2024-01-01")]), "raw_reddit", F.lit("2024-01-01"), 1)

@@ -98,6 +98,43 @@ def test_versions_after_a_lost_checkpoint(spark, tmp_path):
     assert fact.read().count() == 4 and fact.read().select("post_id").distinct().count() == 4
 
 
+def test_a_replay_leaves_history_as_it_is(spark, tmp_path):
+    """Old and new text arrive, then both come again after the checkpoint is lost, even in one batch."""
+    folder, fact = str(tmp_path / "staged"), PostFact(spark, str(tmp_path))
+    jobs.stream_scd2(staged(spark, folder, ("a", "old", 1, "2024-01-01")), fact, STAGING, str(tmp_path / "c1"))
+    stream = staged(spark, folder, ("a", "new", 1, "2024-01-02"))
+    jobs.stream_scd2(stream, fact, STAGING, str(tmp_path / "c1"))
+    history = lambda: sorted(
+        (r.post_id, r.text_content, str(r.effective_date)[:10], str(r.expiration_date)[:10], r.is_current) for r in fact.read().collect()
+    )
+    expected = [(1, "old", "2024-01-01", "2024-01-02", False), (2, "new", "2024-01-02", "None", True)]
+    assert history() == expected
+    jobs.stream_scd2(stream, fact, STAGING, str(tmp_path / "c2"))
+    one_by_one = spark.readStream.schema(STAGED).option("maxFilesPerTrigger", 1).parquet(folder)
+    jobs.stream_scd2(one_by_one, fact, STAGING, str(tmp_path / "c3"))
+    assert history() == expected
+
+
+def test_a_run_is_named_in_its_checkpoint(spark, tmp_path):
+    first, again = (jobs.run_of(spark, str(tmp_path / "c1")) for _ in range(2))
+    assert first == again and len(first) == 32
+    assert jobs.run_of(spark, str(tmp_path / "c2")) != first
+
+
+def test_a_batch_reads_no_predictions_of_its_own_run(spark, tmp_path, scored, monkeypatch):
+    folder, target = str(tmp_path / "posts"), str(tmp_path / "out")
+    jobs.stream_score(posts(spark, folder, (1, "a", "2024-02-01"), (2, "b", "2024-02-01")), FakeModel(), 1, str(tmp_path / "c1"), target)
+    stream = posts(spark, folder, (1, "later", "2024-02-05"), (3, "c", "2024-02-05"), (None, "no id", "2024-02-05"))
+    asked = []
+    real = jobs.materialise
+    monkeypatch.setattr(jobs, "materialise", lambda df, label="x": asked.append(label) or real(df, label))
+    found = jobs.stream_score(stream, FakeModel(), 1, str(tmp_path / "c1"), target)
+    assert "fresh" not in asked, "only the predictions of other runs are looked up"
+    assert sorted((r.post_id or 0, r.confidence) for r in found.collect()) == [(0, 5.0), (1, 1.0), (2, 1.0), (3, 1.0)]
+    found = jobs.stream_score(stream, FakeModel(), 1, str(tmp_path / "c2"), target)
+    assert asked.count("fresh") == 1 and found.where("post_id is not null").count() == 3
+
+
 def test_batches_of_one_run_stay_in_order(spark, tmp_path):
     fact = PostFact(spark, str(tmp_path))
     rows = spark.createDataFrame(
