@@ -78,8 +78,19 @@ def summarise(
     count = F.sum(F.col(weight)).cast("long") if weight else F.count(F.lit(1))
     partials = [c for m in measures for c in m.partial]
     grain = df.groupBy(*groups, F.col(value).cast("double").alias("_v")).agg(count.alias("_n"), *partials)
-    grain = materialise(grain, "quantile")
+    return from_grain(materialise(grain, "quantile"), groups, quantiles, measures, limit)
 
+
+def from_grain(
+    grain: DataFrame, groups: list[str], quantiles: dict[str, float], measures: list[Measure] | None = None, max_buffered: int | None = None
+) -> DataFrame:
+    """``summarise`` from rows already counted per (group, value): ``_v`` is the value, ``_n`` its count.
+
+    Rows without a value take part in the measures only. ``grain`` is read several
+    times, so it should be a written table.
+    """
+    measures = measures or []
+    limit = MAX_BUFFERED_VALUES if max_buffered is None else max_buffered
     keys = groups or ["_all"]
     keyed = grain if groups else grain.withColumn("_all", F.lit(0))
     hot = keyed.groupBy(*keys).agg(F.count("_v").alias("_distinct")).where(F.col("_distinct") > limit).select(*keys)

@@ -51,3 +51,15 @@ def timestamp_to_iso(ts: Column) -> Column:
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
         F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
     )
+
+
+def to_iso(value: Column, kind: str) -> Column:
+    """ISO text of a value of a Spark type name: numbers are epoch seconds in UTC, times and dates are written out, text stays."""
+    if kind in ("byte", "short", "integer", "long", "float", "double") or kind.startswith("decimal"):
+        return epoch_to_iso(value)
+    if kind in ("timestamp", "timestamp_ntz"):
+        written = timestamp_to_iso(value)
+        return F.concat(written, F.lit("+00:00")) if kind == "timestamp" else written
+    if kind == "date":
+        return F.date_format(value, "yyyy-MM-dd")
+    return value.cast("string")

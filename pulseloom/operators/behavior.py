@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseloom.functions.quantiles import exact_quantiles, largest, least, mean, rows, rows_where, summarise, total
 from pulseloom.functions.joins import null_safe_join
+from pulseloom.functions.quantiles import Measure, exact_quantiles, from_grain, largest, least, mean, rows, rows_where, summarise, total
 from pulseloom.functions.times import hours_between
+from pulseloom.session import materialise
 
 FALLBACK_THEME = "non_classe"
 # Bounds and names of the author segments, in rising intensity.
@@ -92,30 +93,59 @@ def author_segment(count: Column) -> Column:
     return result
 
 
-def author_profile(context: DataFrame, **options) -> DataFrame:
-    """One row per named author over comments with a valid delay."""
-    rows = valid_delay(context).where(F.col("author_pseudo").isNotNull())
-    rows = rows.withColumn("_day", F.col("commented_at").cast("date"))
-    # Author, post, day and theme repeat together; counting that grain first keeps
-    # the distinct counts below from multiplying every comment.
-    grain = rows.groupBy("author_pseudo", "external_post_id", "theme", "page_name", "_day").agg(
-        F.count(F.lit(1)).alias("_c"),
+def _grain(rows: DataFrame, groups: list[str], counted: dict[str, Column]) -> DataFrame:
+    """Rows per (group, kind, value), written: the distinct values of each kind, and the delays, in one shuffle.
+
+    Every comment gives one entry per counted column and one for its delay (``kind``
+    NULL, value ``_v``). They are counted on the map side, so repeated values collapse
+    before the shuffle, and an author or page with very many comments is dealt over all
+    tasks by its values.
+    """
+    none = F.lit(None)
+    entries = [F.struct(F.lit(k).alias("_kind"), c.cast("string").alias("_s"), none.cast("double").alias("_v")) for k, c in counted.items()]
+    entries.append(F.struct(none.cast("string").alias("_kind"), none.cast("string").alias("_s"), F.col(_DELAY).cast("double").alias("_v")))
+    each = rows.select(*groups, "comment_length", "commented_at", F.explode(F.array(*entries)).alias("_e"))
+    counts = each.groupBy(*groups, F.col("_e._kind").alias("_kind"), F.col("_e._s").alias("_s"), F.col("_e._v").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"),
         F.sum("comment_length").alias("_len"),
         F.min("commented_at").alias("_first"),
         F.max("commented_at").alias("_last"),
     )
-    profile = grain.groupBy("author_pseudo").agg(
-        F.sum("_c").alias("comment_count"),
-        F.count_distinct("external_post_id").alias("distinct_posts"),
-        F.count_distinct("theme").alias("distinct_themes"),
-        F.count_distinct("page_name").alias("distinct_pages"),
-        (F.sum("_len") / F.sum("_c")).alias("avg_comment_length"),
-        F.min("_first").alias("first_seen_at"),
-        F.max("_last").alias("last_seen_at"),
-        F.count_distinct("_day").alias("active_days"),
-    )
-    delays = exact_quantiles(rows, ["author_pseudo"], "reaction_delay_hours", {"median_delay_hours": 0.5}, **options)
-    return profile.join(delays, "author_pseudo", "left").withColumn("segment", author_segment(F.col("comment_count")))
+    return materialise(counts, "grain")
+
+
+def _final(alias: str, column: Column) -> Measure:
+    """A measure over the rows of a grain, which hold its parts already."""
+    return Measure(alias, [], column.alias(alias))
+
+
+def _comment_measures() -> list[Measure]:
+    delays = F.col("_kind").isNull()
+    n = F.sum(F.when(delays, F.col("_n")))
+    return [_final("comment_count", n), _final("avg_comment_length", F.sum(F.when(delays, F.col("_len"))) / n)]
+
+
+def _distinct(alias: str, kind: str) -> Measure:
+    """Distinct values of a kind; NULL is none."""
+    return _final(alias, F.count_if((F.col("_kind") == kind) & F.col("_s").isNotNull()))
+
+
+def author_profile(context: DataFrame, **options) -> DataFrame:
+    """One row per named author over comments with a valid delay."""
+    rows = valid_delay(context).where(F.col("author_pseudo").isNotNull())
+    counted = {"post": F.col("external_post_id"), "theme": F.col("theme"), "page": F.col("page_name"), "day": F.col("commented_at").cast("date")}
+    grain = _grain(rows, ["author_pseudo"], counted)
+    measures = [
+        *_comment_measures(),
+        _distinct("distinct_posts", "post"),
+        _distinct("distinct_themes", "theme"),
+        _distinct("distinct_pages", "page"),
+        _distinct("active_days", "day"),
+        _final("first_seen_at", F.min("_first")),
+        _final("last_seen_at", F.max("_last")),
+    ]
+    profile = from_grain(grain, ["author_pseudo"], {"median_delay_hours": 0.5}, measures, **options)
+    return profile.withColumn("segment", author_segment(F.col("comment_count")))
 
 
 def unnamed_authors(context: DataFrame) -> DataFrame:
@@ -165,27 +195,20 @@ def segment_report(profile: DataFrame, **options) -> DataFrame:
 def theme_reaction(context: DataFrame, themes: DataFrame, **options) -> DataFrame:
     """Reaction per theme and page.
 
-    The median of post likes counts a post once per comment. Comments are counted
-    per post first and the likes joined to that, weighted by the count.
+    The median of post likes counts a post once per comment. The comments are counted
+    once, per (theme, page, kind, value); the likes are joined to the rows of posts
+    there, one per post, and weigh as many comments as it has.
     """
-    rows = valid_delay(context)
     keys = ["theme", "page_name"]
-    per_post = rows.groupBy(*keys, "external_post_id").agg(
-        F.count(F.lit(1)).alias("_c"), F.sum("comment_length").alias("_len")
-    )
-    volumes = per_post.groupBy(*keys).agg(
-        F.count("external_post_id").alias("post_count"),
-        F.sum("_c").alias("comment_count"),
-        (F.sum("_len") / F.sum("_c")).alias("avg_comment_length"),
-    )
-    volumes = volumes.withColumn("comments_per_post", _ratio(F.col("comment_count"), F.col("post_count")))
-    authors = rows.groupBy(*keys).agg(F.count_distinct("author_pseudo").alias("distinct_authors"))
-    delays = exact_quantiles(rows, keys, "reaction_delay_hours", {"median_delay_hours": 0.5}, **options)
+    counted = {"post": F.col("external_post_id"), "author": F.col("author_pseudo")}
+    grain = _grain(valid_delay(context), keys, counted)
+    measures = [*_comment_measures(), _distinct("post_count", "post"), _distinct("distinct_authors", "author")]
+    figures = from_grain(grain, keys, {"median_delay_hours": 0.5}, measures, **options)
+    per_post = grain.where((F.col("_kind") == "post") & F.col("_s").isNotNull()).select(*keys, F.col("_s").alias("external_post_id"), "_n")
     liked = per_post.join(themes.select("external_post_id", "post_likes"), "external_post_id")
-    likes = exact_quantiles(liked, keys, "post_likes", {"median_post_likes": 0.5}, weight="_c", **options)
-    result = null_safe_join(volumes, authors, keys)
-    result = null_safe_join(result, delays, keys, "left")
-    return null_safe_join(result, likes, keys, "left")
+    likes = exact_quantiles(liked, keys, "post_likes", {"median_post_likes": 0.5}, weight="_n", **options)
+    result = null_safe_join(figures, likes, keys, "left")
+    return result.withColumn("comments_per_post", _ratio(F.col("comment_count"), F.col("post_count")))
 
 
 _DELAY = "reaction_delay_hours"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from pulseloom.functions.ordering import global_rank
 from pulseloom.schemas import COMMON_FIELDS, MAPPINGS, VERSIONED_FACT, column_types
@@ -212,6 +213,37 @@ def schema_diff(spark: SparkSession, declared: dict[str, StructType], actual: di
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, action string")
 
 
+def stored_schemas(spark: SparkSession, paths: dict[str, str]) -> dict[str, StructType]:
+    """The schemas of Parquet tables as their files have them, old and new ones merged; tables not there are left out."""
+    found = {}
+    for table, path in paths.items():
+        try:
+            found[table] = spark.read.option("mergeSchema", True).parquet(path).schema
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return found
+
+
+def migrate(spark: SparkSession, declared: dict[str, StructType], paths: dict[str, str], dry_run: bool = True) -> DataFrame:
+    """Bring stored tables up to their declared schemas; returns the changes, (table_name, column_name, data_type, action).
+
+    A missing table becomes an empty one. A missing column comes with one more file that
+    has the column and no rows, so no stored row is written again; readers merge the
+    schemas and find NULL. Nothing is ever dropped, retyped or renamed. With ``dry_run``
+    the changes are reported only.
+    """
+    actual = stored_schemas(spark, paths)
+    report = schema_diff(spark, declared, actual)
+    if not dry_run:
+        # As many as there are declared tables.
+        for table in {r["table_name"] for r in report.select("table_name").distinct().collect()}:
+            fields = {f.name: f for f in actual.get(table, StructType())} | {f.name: f for f in declared[table] if f.name not in actual.get(table, StructType()).names}
+            whole = StructType([StructField(f.name, f.dataType, True) for f in fields.values()])
+            spark.createDataFrame([], whole).coalesce(1).write.mode("append").parquet(paths[table])
+    return report
+
+
 def evolve_schema(df: DataFrame, declared: StructType) -> DataFrame:
     """Add declared columns the frame lacks, as NULL. Never drops, retypes or renames."""
     added = [F.lit(None).cast(f.dataType).alias(f.name) for f in declared if f.name not in df.columns]

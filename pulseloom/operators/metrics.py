@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.joins import null_safe_join
@@ -86,7 +85,11 @@ def macro_metrics(df: DataFrame, label: str, prediction: str, group: list[str] |
     Balanced accuracy averages the recall of classes that occur in the labels.
     """
     group = group or []
-    per = _per_class(confusion_counts(df, label, prediction, group), group)
+    return _macro(_per_class(confusion_counts(df, label, prediction, group), group), group)
+
+
+def _macro(per: DataFrame, group: list[str]) -> DataFrame:
+    """Averages over the classes."""
     recall = _or_zero(F.col("tp"), F.col("actual"))
     precision = _or_zero(F.col("tp"), F.col("predicted"))
     f1 = _or_zero(F.col("tp") * 2, F.col("actual") + F.col("predicted"))
@@ -103,6 +106,24 @@ def metrics_by_language(df: DataFrame, label: str, prediction: str, language: st
     return macro_metrics(df, label, prediction, [language]).select(language, "f1_macro", "balanced_accuracy")
 
 
+def stacked_metrics(df: DataFrame, label: str, prediction: str, model: str = "model", language: str = "language") -> DataFrame:
+    """All class metrics of several models at once: per model, and per model and language.
+
+    ``df`` has one row per model and document. One pass counts (model, language, label,
+    prediction); grouping sets add the rows of a model as a whole, whose language is NULL
+    and whose ``scope`` is 'all'. A NULL language is left out of the rows per language.
+    """
+    counts = confusion_counts(df, label, prediction, [model, language])
+    sums = counts.groupingSets(
+        [[model, "label", "prediction"], [model, language, "label", "prediction"]], model, language, "label", "prediction"
+    ).agg(F.sum("n").alias("n"), F.grouping(language).alias("_whole"))
+    scope = F.when(F.col("_whole") == 1, "all").otherwise("language").alias("scope")
+    cells = sums.where((F.col("_whole") == 1) | F.col(language).isNotNull()).select(model, scope, language, "label", "prediction", "n")
+    group = [model, "scope", language]
+    per = _per_class(cells, group)
+    return _macro(per, group)
+
+
 def confusion_matrix(df: DataFrame, label: str, prediction: str, labels: list[str]) -> DataFrame:
     """One row per label, one column ``predicted_<label>`` each, in sorted order, 0 filled."""
     names = sorted(labels)
@@ -144,6 +165,24 @@ def run_row(spark, run_id: int, model_id: int, source_id: int, task: str, train:
     )
 
 
+def language_metric_rows(found: DataFrame, runs: dict[str, int], first_id: int = 1) -> DataFrame:
+    """Metrics of ``stacked_metrics`` as rows of ``model_metric``: those of a language are named ``<metric>_<language>``.
+
+    ``runs`` gives the run of each model; ids follow run and name. A handful of rows.
+    """
+    spark = found.sparkSession
+    known = spark.createDataFrame(list(runs.items()), "model string, run_id long")
+    names = ["f1_macro", "balanced_accuracy", "precision_macro", "recall_macro"]
+    entries = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("metric_value")) for n in names]
+    long = found.join(F.broadcast(known), "model").select("run_id", "scope", "language", F.inline(F.array(*entries)))
+    # A language's rows have the two metrics that are compared between languages.
+    wanted = (F.col("scope") == "all") | F.col("metric").isin("f1_macro", "balanced_accuracy")
+    name = F.when(F.col("scope") == "all", F.col("metric")).otherwise(F.concat_ws("_", "metric", "language"))
+    rows = long.where(wanted).select("run_id", name.alias("metric_name"), "metric_value", F.lit(None).cast("string").alias("class_label"))
+    number = F.row_number().over(Window.orderBy("run_id", "metric_name"))
+    return rows.withColumn("metric_id", (number + F.lit(first_id - 1)).cast("long"))
+
+
 def metric_rows(metrics: DataFrame, run_id: int, first_id: int = 1) -> DataFrame:
     """One-row metric frame to (metric_id, run_id, metric_name, metric_value, class_label)."""
     entries = [

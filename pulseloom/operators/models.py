@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (
-    IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     IndexToString,
     NGram,
@@ -45,6 +47,7 @@ NUMERIC_FEATURES = [
 CATEGORICAL_FEATURES = ["platform", "topic", "language", "media_type"]
 TREES, DEPTH, SEED = 80, 16, 42
 VOCABULARY, MIN_DOCUMENTS = 80_000, 3
+CLUSTERS = (6, 8, 10)
 TOLERANCE = 1e-4
 # Deep forests grow many nodes: more memory per pass means fewer passes over the data,
 # and remembered node ids spare each pass the walk from the root.
@@ -177,6 +180,40 @@ def _with_input(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+def _term_totals(prepared: DataFrame) -> DataFrame:
+    """(term, corpus_frequency, document_frequency) of the ``_terms`` lists, in one shuffle."""
+    ordered = prepared.select(F.sort_array("_terms").alias("t"))
+    # In a sorted list the first of equal terms stands for the document.
+    marked = F.transform("t", lambda x, i: F.struct(x.alias("term"), ((i == 0) | (F.col("t")[F.greatest(i - 1, F.lit(0))] != x)).alias("first")))
+    each = ordered.select(F.inline(marked))
+    return each.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_frequency"), F.count_if("first").alias("document_frequency"))
+
+
+def choose_vocabulary(totals: DataFrame, size: int, min_documents: float = MIN_DOCUMENTS) -> list[tuple[str, int]]:
+    """The ``size`` most frequent terms that enough documents hold, with their document frequencies.
+
+    Of equally frequent terms the first by name come in. A histogram of frequencies
+    finds the frequency at which the list is full: all terms above it are taken, and
+    only those of that frequency are put in order. At most ``size`` terms come to the
+    driver.
+    """
+    enough = materialise(totals.where(F.col("document_frequency") >= min_documents), "terms")
+    histogram = enough.groupBy("corpus_frequency").agg(F.count(F.lit(1)).alias("n"))
+    # One row per distinct frequency, few at the top, where the list fills up.
+    running = F.sum("n").over(Window.orderBy(F.col("corpus_frequency").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    full = histogram.withColumn("upto", running).where(F.col("upto") >= size).agg(F.max_by(F.struct("corpus_frequency", "n", "upto"), "corpus_frequency")).first()[0]
+    columns = ("term", "document_frequency", "corpus_frequency")
+    if full is None:
+        taken = enough.select(*columns).collect()
+    else:
+        above = enough.where(F.col("corpus_frequency") > full["corpus_frequency"]).select(*columns).collect()
+        room = size - (full["upto"] - full["n"])
+        level = enough.where(F.col("corpus_frequency") == full["corpus_frequency"])
+        taken = above + level.select(*columns).orderBy("term").limit(room).collect()
+    taken.sort(key=lambda r: (-r["corpus_frequency"], r["term"]))
+    return [(r["term"], r["document_frequency"]) for r in taken]
+
+
 def fit_text_features(
     train: DataFrame, vocabulary: int, min_documents: float = MIN_DOCUMENTS
 ) -> PipelineModel:
@@ -185,19 +222,23 @@ def fit_text_features(
     Only the vocabulary and its document frequencies, at most ``vocabulary``
     entries, come to the driver.
     """
-    stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_words", gaps=False, pattern=f"[{WORD}]{{2,}}", toLowercase=True),
-        NGram(n=2, inputCol="_words", outputCol="_pairs"),
-        SQLTransformer(statement="select *, concat(_words, _pairs) as _terms from __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=vocabulary, minDF=float(min_documents)),
-    ]
-    counted = Pipeline(stages=stages).fit(train)
-    # The inverse document frequency looks at presence only, so plain counts do.
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted.transform(train).select("_counts"))
-    scale = Vectors.dense(idf.idf.toArray() + 1.0)
+    splitting = PipelineModel(
+        stages=[
+            RegexTokenizer(inputCol="_text", outputCol="_words", gaps=False, pattern=f"[{WORD}]{{2,}}", toLowercase=True),
+            NGram(n=2, inputCol="_words", outputCol="_pairs"),
+            SQLTransformer(statement="select *, concat(_words, _pairs) as _terms from __THIS__"),
+        ]
+    )
+    terms = choose_vocabulary(_term_totals(splitting.transform(train.select("_text"))), vocabulary, min_documents)
+    if not terms:
+        raise ValueError(f"no term is in {min_documents} documents")
+    documents = train.count()
+    counts = CountVectorizerModel.from_vocabulary([t for t, _ in terms], inputCol="_terms", outputCol="_counts")
+    scale = Vectors.dense([math.log((1 + documents) / (1 + n)) + 1 for _, n in terms])
     return PipelineModel(
         stages=[
-            *counted.stages,
+            *splitting.stages,
+            counts,
             SublinearTf(inputCol="_counts", outputCol="_damped"),
             ElementwiseProduct(scalingVec=scale, inputCol="_damped", outputCol="_weighted"),
             Normalizer(p=2.0, inputCol="_weighted", outputCol="features"),
@@ -272,6 +313,7 @@ def score_candidates(
     resume: bool = True,
     max_rows: int | None = None,
     current_only: bool = False,
+    keep: tuple[str, ...] | list[str] = ("post_id", "text_content"),
 ) -> DataFrame:
     """Posts with text that still lack a prediction by this model, first ids first.
 
@@ -284,7 +326,7 @@ def score_candidates(
     if resume:
         done = predictions.where(F.col("model_id") == model_id).select("post_id")
         rows = rows.join(done, "post_id", "left_anti")
-    rows = rows.select("post_id", "text_content")
+    rows = rows.select(*keep)
     return rows if max_rows is None else rows.orderBy("post_id").limit(max_rows * len(source_ids))
 
 
@@ -323,6 +365,35 @@ def discover_themes(df: DataFrame, clusters: int, text: str = "text", **features
     return model.transform(data).drop("features")
 
 
+def theme_search(
+    df: DataFrame, key: str, ks: tuple[int, ...] = CLUSTERS, text: str = "text", terms: int = 10, **features
+) -> tuple[DataFrame, DataFrame]:
+    """k-means for each number of clusters over one feature table.
+
+    Returns (key, k, cluster, silhouette) per text and number, the silhouette being that
+    of the whole clustering by cosine distance, and (k, cluster, place, term, weight)
+    with the heaviest terms of each centre.
+    """
+    spark, prepared = df.sparkSession, _with_input(df.select(key, text), text)
+    pipeline = fit_text_features(prepared, **features)
+    names = next(s for s in pipeline.stages if isinstance(s, CountVectorizerModel)).vocabulary
+    data = materialise(pipeline.transform(prepared).select(key, "features"), "features")
+    found, centres = [], []
+    for k in ks:
+        model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="cluster").fit(data)
+        clustered = materialise(model.transform(data).select(key, "features", "cluster"), "clusters")
+        judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="cosine")
+        # One cluster, or none with texts, has no silhouette.
+        several = clustered.select("cluster").distinct().count() > 1
+        silhouette = F.lit(judge.evaluate(clustered) if several else None).cast("double")
+        found.append(clustered.select(key, F.lit(k).alias("k"), "cluster", silhouette.alias("silhouette")))
+        for cluster, centre in enumerate(model.clusterCenters()):
+            heaviest = sorted(range(len(names)), key=lambda i: (-centre[i], names[i]))[:terms]
+            centres += [(k, cluster, place + 1, names[i], float(centre[i])) for place, i in enumerate(heaviest)]
+    schema = "k int, cluster int, place int, term string, weight double"
+    return reduce(DataFrame.unionByName, found), spark.createDataFrame(centres, schema)
+
+
 # --- the same text features as a table -------------------------------------------------
 
 

@@ -217,6 +217,23 @@ def audit_files(spark, folder: str, datasets: dict[str, dict]) -> dict[str, Data
     return result
 
 
+def audit_report(spark, folder: str, datasets: dict[str, dict]) -> DataFrame:
+    """All expected files in one frame: (file_name, status, column_name, ...); a missing file is one row of status MISSING."""
+    found = audit_files(spark, folder, datasets)
+    names = "column_name string, row_count bigint, column_count int, missing_count bigint, first_date timestamp_ntz, last_date timestamp_ntz"
+    declared = spark.createDataFrame([(n, "MISSING" if d is None else "PRESENT") for n, d in found.items()], "file_name string, status string")
+    audits = [d.select(F.lit(n).alias("file_name"), "*") for n, d in found.items() if d is not None]
+    columns = reduce(DataFrame.unionByName, audits, spark.createDataFrame([], f"file_name string, {names}"))
+    # One row per declared file on the left.
+    return declared.join(columns, "file_name", "left")
+
+
+def quality_of_tables(tables: dict[str, DataFrame], keys: dict[str, list[str]], main_corpus: str | None = None) -> DataFrame:
+    """The suite of each table with its declared key columns, one below the other."""
+    suites = [quality_suite(df, name, keys.get(name, []), name == main_corpus) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, suites)
+
+
 def dq_result_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("check_result").agg(F.count(F.lit(1)).alias("check_count"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pulseloom.functions.hashing import flag_by_quota
@@ -25,6 +25,47 @@ def chronological_split(posts: DataFrame, ts: str = "published_at", tiebreak: st
     return ranked.withColumn("is_train", F.col("time_rank") <= int(rows * share))
 
 
+def nth_row(df: DataFrame, ts: str, tiebreak: str, place: int) -> Row | None:
+    """Time and tiebreak of the row at a place (from 1) in time order, NULL times first.
+
+    Counts per day tell the day, counts per moment within that day the moment, and
+    only the rows of that moment are put in order. No frame is sorted as a whole.
+    """
+    day = F.col(ts).cast("date")
+    upto = Window.orderBy(F.col("at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def holding(rows: DataFrame, key: Column, place: int) -> Row | None:
+        # One row per day, or per moment of one day.
+        counts = rows.groupBy(key.alias("at")).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(upto))
+        return counts.where(F.col("upto") >= place).orderBy("upto").first()
+
+    on = holding(df, day, place)
+    if on is None:
+        return None
+    rows, place = df.where(day.eqNullSafe(F.lit(on["at"]))), place - (on["upto"] - on["n"])
+    moment = holding(rows, F.col(ts), place)
+    rows, place = rows.where(F.col(ts).eqNullSafe(F.lit(moment["at"]).cast(df.schema[ts].dataType))), place - (moment["upto"] - moment["n"])
+    return global_rank(rows.select(ts, tiebreak), [F.col(tiebreak)], "_at").where(F.col("_at") == place).select(ts, tiebreak).first()
+
+
+def chronological_cut(posts: DataFrame, ts: str = "published_at", tiebreak: str = "post_id", share: float = 0.8) -> Column:
+    """The condition that holds on the first ``int(n * share)`` rows in time order, as ``chronological_split`` marks them.
+
+    It is a plain filter, so the posts themselves are neither sorted nor written.
+    """
+    narrow = posts.select(ts, tiebreak)
+    rows = narrow.count()
+    if rows < MIN_ROWS:
+        raise ValueError(f"the corpus has {rows} rows; a reliable benchmark needs {MIN_ROWS}")
+    last = nth_row(narrow, ts, tiebreak, int(rows * share))
+    if last is None:
+        return F.lit(False)
+    moment = F.lit(last[ts]).cast(posts.schema[ts].dataType)
+    same = F.col(ts).eqNullSafe(moment) & (F.col(tiebreak).isNull() | (F.col(tiebreak) <= F.lit(last[tiebreak])))
+    earlier = F.col(ts).isNull() & moment.isNotNull() | F.coalesce(F.col(ts) < moment, F.lit(False))
+    return earlier | F.coalesce(same, F.lit(False))
+
+
 def log_engagement(value: Column) -> Column:
     """log1p of the value clipped at 0; NULL stays NULL."""
     return F.when(value.isNotNull(), F.log1p(F.greatest(value, F.lit(0)).cast("double")))

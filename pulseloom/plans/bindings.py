@@ -153,6 +153,17 @@ select l_orderkey, 'end', max(l_shipdate), cast(null as string),
 from lineitem group by l_orderkey
 """
 
+# Six corpora as they are staged; the other two are the posts and the comments above.
+STAGED = {
+    "raw_sentiment140": "select doc_id as tweet_id, text, cast(n_chars % 5 as int) as polarity from documents",
+    "raw_twitter_fr": "select doc_id as tweet_id, case when doc_id % 9 = 0 then null else text end as text, lang as sentiment from documents",
+    "raw_allocine": "select cast(doc_id as string) as review_id, lang as text, quality * 1e0 as rating from labels join documents using (doc_id)",
+    "raw_reddit": """select cast(event_id as string) as comment_id, case when event_id % 30 = 0 then null else props end as text,
+        cast(user_id % 7 - 3 as int) as score from events""",
+    "raw_youtube_comments": "select cast(event_id as string) as comment_id, props as text, cast(event_id % 9 - 1 as int) as likes from events",
+    "raw_amazon_reviews": "select cast(l_orderkey as string) as review_id, l_returnflag as text, l_linenumber % 2 as star_rating from lineitem",
+}
+
 _SPARK = {"ntz": "timestamp_ntz", "hours": "make_interval(0, 0, 0, 0, cast(d.doc_id * 7 % 240 as int), 0, 0)"}
 _CHECK = {"ntz": "timestamp", "hours": "to_hours(cast(d.doc_id * 7 % 240 as int))"}
 
@@ -169,6 +180,7 @@ VIEWS = {
     "predictions": PREDICTIONS,
     "social_posts": SOCIAL_POSTS,
     "run_events": RUN_EVENTS,
+    **{f"staged_{name}": text for name, text in STAGED.items()},
 }
 
 

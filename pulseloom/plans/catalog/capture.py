@@ -9,7 +9,7 @@ from pulseloom.operators import capture
 from pulseloom.plans.bindings import TABLES, table, view
 from pulseloom.plans.registry import query
 from pulseloom.schemas import VERSIONED_FACT
-from pulseloom.session import materialise
+from pulseloom.session import materialise, scratch_path
 from pulseloom.sources.ledger import table_status
 
 # score becomes likes, and there are no other counters.
@@ -142,6 +142,49 @@ def evolve_schema(spark, sf_dir):
     return capture.evolve_schema(customers, StructType([*customers.schema.fields, *added]))
 
 
+# What the stored tables should have: new columns of one, a table of its own, and one that is complete.
+_DECLARED = {
+    "customer": "c_custkey bigint, c_name string, loyalty_tier string, referrals bigint",
+    "region": "r_regionkey bigint, r_name string",
+    "loyalty_card": "card_id bigint, c_custkey bigint",
+}
+_DECLARED_ROWS = ", ".join(
+    f"('{t}', '{part.split()[0]}', '{part.split()[1]}')" for t, ddl in _DECLARED.items() for part in ddl.split(", ")
+)
+
+
+def _stored(spark, sf_dir):
+    return {t: f"{sf_dir}/{t}.parquet" for t in _DECLARED}
+
+
+@query(
+    "schema_diff",
+    f"""select d.table_name, d.column_name, d.data_type,
+          case when d.table_name in (select table_name from information_schema.columns) then 'add_column' else 'create_table' end as action
+        from (values {_DECLARED_ROWS}) d(table_name, column_name, data_type)
+        where not exists (select 1 from information_schema.columns c where c.table_name = d.table_name and c.column_name = d.column_name)""",
+)
+def schema_diff(spark, sf_dir):
+    """Declared tables against the files there are: a table with missing columns, a missing one, and one with nothing to do."""
+    declared = {t: StructType.fromDDL(ddl) for t, ddl in _DECLARED.items()}
+    return capture.migrate(spark, declared, _stored(spark, sf_dir))
+
+
+@query(
+    "migrate_tables",
+    "select c_custkey, c_name, cast(null as varchar) as loyalty_tier, cast(null as bigint) as referrals, c_nationkey from customer",
+)
+def migrate_tables(spark, sf_dir):
+    """The customers after their table got its missing columns, read from the files."""
+    path = scratch_path(spark, "migrate")
+    paths = {t: f"{path}/{t}" for t in _DECLARED}
+    for t in ("customer", "region"):
+        table(spark, sf_dir, t).write.parquet(paths[t])
+    capture.migrate(spark, {t: StructType.fromDDL(ddl) for t, ddl in _DECLARED.items()}, paths, dry_run=False)
+    customers = spark.read.option("mergeSchema", True).parquet(paths["customer"])
+    return customers.select("c_custkey", "c_name", "loyalty_tier", "referrals", "c_nationkey")
+
+
 @query(
     "table_status",
     " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES),

@@ -7,8 +7,8 @@ import datetime
 from pyspark.sql import functions as F
 
 from pulseloom.functions.hashing import stable_id
-from pulseloom.functions.times import epoch_to_iso, parse_timestamp
-from pulseloom.plans.bindings import table, view
+from pulseloom.functions.times import epoch_to_iso, parse_timestamp, to_iso
+from pulseloom.plans.bindings import TABLES, table, view
 from pulseloom.plans.registry import query
 from pulseloom.schemas import table_schema
 from pulseloom.session import scratch_path
@@ -176,12 +176,35 @@ def file_fingerprint(spark, sf_dir):
     folder = scratch_path(spark, "texts")
     line = F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("line")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 7).alias("part"), line)
-    sorted_rows = orders.repartition(1).sortWithinPartitions("part", "o_orderkey")
+    # One file per part, as each part is in one task.
+    sorted_rows = orders.repartition("part").sortWithinPartitions("part", "o_orderkey")
     sorted_rows.select("part", "line").write.partitionBy("part").text(folder)
     found = files.file_fingerprints(spark, f"{folder}/*/*.txt")
     return found.select(F.element_at(F.split("path", "/"), -2).alias("file_name"), "length", "file_hash")
 
 
+@query("fingerprint_tables")
+def fingerprint_tables(spark, sf_dir):
+    """The files of the given tables by their bytes."""
+    found = files.file_fingerprints(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "file_hash")
+
+
+@query(
+    "value_to_iso",
+    """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') as stamp, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' as zoned,
+         strftime(ts, '%Y-%m-%d') as day, event_type as kept,
+         strftime(make_timestamp((1600000000 + event_id) * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' as number from events""",
+)
+def value_to_iso(spark, sf_dir):
+    """Times with and without a zone, days, text that is kept, and epoch seconds."""
+    seconds = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    values = {"stamp": seconds.cast("timestamp_ntz"), "zoned": seconds, "day": F.col("ts").cast("date"), "kept": F.col("event_type")}
+    events = table(spark, sf_dir, "events").select("event_id", *[c.alias(n) for n, c in values.items()], (F.col("event_id") + 1_600_000_000).alias("number"))
+    kinds = {f.name: f.dataType.typeName() for f in events.schema}
+    return events.select("event_id", *[to_iso(F.col(c), kinds[c]).alias(c) for c in (*values, "number")])
+
+
 @query(
     "ingestion_ledger",
     """select log_id, file_hash, table_name, case when log_id = min(log_id) over (partition by file_hash, table_name)

@@ -5,16 +5,40 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseloom.operators import metrics, models, splits
+from pulseloom.operators.predictions import PredictionStore
 from pulseloom.plans.bindings import dealt, table, view
 from pulseloom.plans.registry import query
-from pulseloom.session import materialise, scratch_path
+from pulseloom.session import materialise, scratch_path, shared_dir
 
 _LABEL = "label"
 
 
+def inputs_digest(spark, sf_dir, tables):
+    """Stands for the files of some tables: their names, times and lengths, nothing of their content."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in tables]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    found = files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("h"), F.count(F.lit(1)).alias("n")).first()
+    return f"{found['n']}-{(found['h'] or 0) & 0xFFFFFFFFFFFFFFFF:016x}"
+
+
+def fitted_once(spark, sf_dir, name, tables, fit):
+    """The model of this name over these tables: loaded if one is saved in the shared folder, else fitted and saved."""
+    path = f"{shared_dir(spark)}/models/{name}-{inputs_digest(spark, sf_dir, tables)}"
+    try:
+        return models.load_model(path)
+    except FileNotFoundError:
+        models.save_model(fit(), path)
+        # Every key scores with the model as it is saved.
+        return models.load_model(path)
+
+
+_POST_TABLES = ["orders", "customer", "nation", "region", "lineitem"]
+
+
 def split_posts(spark, sf_dir):
     """The main corpus with its chronological split and log target."""
-    split = splits.chronological_split(view(spark, sf_dir, "posts"))
+    posts = view(spark, sf_dir, "posts")
+    split = posts.withColumn("is_train", splits.chronological_cut(posts))
     return split.withColumn("target", splits.log_engagement(F.col("total_engagement")))
 
 
@@ -73,14 +97,23 @@ def log_engagement(spark, sf_dir):
          where is_train and total_engagement is not null), 6) as prediction from split where not is_train""",
 )
 def baseline_regressor(spark, sf_dir):
-    split = materialise(split_posts(spark, sf_dir), "split")
+    split = split_posts(spark, sf_dir).select("post_id", "target", "is_train")
     rows = split.where(~F.col("is_train")).select("post_id")
     return splits.baseline_regressor(split.where("is_train"), "target", rows)
 
 
-def _evaluated(model, test, target="target"):
-    predicted = model.transform(test)
-    return metrics.regression_metrics(predicted, target, "prediction")
+def _regressor(spark, sf_dir, name):
+    """A saved engagement model, its training and its test posts."""
+    train, test = _train_test(split_posts(spark, sf_dir))
+    make = {"ridge": lambda: models.ridge("target", train), "forest": lambda: models.forest_regressor("target")}[name]
+    return fitted_once(spark, sf_dir, f"engagement-{name}", _POST_TABLES, lambda: models.fit_on_features(make(), train)), train, test
+
+
+def _regressed(spark, sf_dir, name):
+    """The test posts with the model's prediction beside that of the median."""
+    model, train, test = _regressor(spark, sf_dir, name)
+    predicted = model.transform(test).select("post_id", "target", "prediction")
+    return splits.baseline_regressor(train, "target", predicted, "baseline")
 
 
 def _beats(found, baseline, smaller: bool):
@@ -90,28 +123,49 @@ def _beats(found, baseline, smaller: bool):
     return ours.crossJoin(F.broadcast(theirs)).select(better.alias("beats_baseline"))
 
 
-def _regression_checks(estimator, spark, sf_dir):
+def _regression_checks(spark, sf_dir, name):
     """Test posts with a finite prediction each, and whether their error is below that of the median."""
-    train, test = _train_test(split_posts(spark, sf_dir))
-    predicted = models.fit_on_features(estimator(train), train).transform(test).select("post_id", "target", "prediction")
-    predicted = materialise(predicted, "predicted")
-    median = splits.baseline_regressor(train, "target", predicted.select("post_id", "target"))
-    error = lambda df: metrics.regression_metrics(df, "target", "prediction").select("rmse")
+    predicted = materialise(_regressed(spark, sf_dir, name), "predicted")
+    error = lambda column: metrics.regression_metrics(predicted, "target", column).select("rmse")
     finite = ~F.isnan("prediction") & (F.abs("prediction") < F.lit(1e6))
     checked = predicted.select("post_id", finite.alias("is_finite"))
-    return checked.crossJoin(F.broadcast(_beats(error(predicted), error(median), smaller=True)))
+    return checked.crossJoin(F.broadcast(_beats(error("prediction"), error("baseline"), smaller=True)))
 
 
 _TESTED = "select post_id, true as is_finite, {} as beats_baseline from split where not is_train and total_engagement is not null"
 
 
-@query("ridge_regression", "select cast(0 as bigint) as wrong_slopes, true as is_linear, true as intercept_is_mean")
+@query("ridge_regression")
 def ridge_regression(spark, sf_dir):
+    """Test posts: log engagement, the prediction, and that of the train median."""
+    return _regressed(spark, sf_dir, "ridge")
+
+
+@query("forest_regressor")
+def forest_regressor(spark, sf_dir):
+    return _regressed(spark, sf_dir, "forest")
+
+
+@query("engagement_metrics")
+def engagement_metrics(spark, sf_dir):
+    """MAE, RMSE and R2 on the test posts per model, the dummy's included."""
+    ridge = _regressed(spark, sf_dir, "ridge")
+    forest = _regressed(spark, sf_dir, "forest").select("post_id", "target", "prediction")
+    rows = [
+        ridge.select("target", F.lit("ridge").alias("model"), "prediction"),
+        ridge.select("target", F.lit("dummy").alias("model"), F.col("baseline").alias("prediction")),
+        forest.select("target", F.lit("forest").alias("model"), "prediction"),
+    ]
+    stacked = materialise(rows[0].unionByName(rows[1]).unionByName(rows[2]), "stacked")
+    return metrics.regression_metrics(stacked, "target", "prediction", ["model"])
+
+
+@query("ridge_optimum", "select cast(0 as bigint) as wrong_slopes, true as is_linear, true as intercept_is_mean")
+def ridge_optimum(spark, sf_dir):
     """The conditions of the optimum: sum of residual x feature equals the penalty times the coefficient."""
     from pyspark.ml.functions import vector_to_array
 
-    train, _ = _train_test(split_posts(spark, sf_dir))
-    fitted = models.fit_on_features(models.ridge("target", train), train)
+    fitted, train, _ = _regressor(spark, sf_dir, "ridge")
     rows = materialise(
         fitted.transform(train).select(
             (F.col("target") - F.col("prediction")).alias("r"), "prediction", vector_to_array("features").alias("x")
@@ -135,9 +189,9 @@ def ridge_regression(spark, sf_dir):
     return slopes.crossJoin(F.broadcast(others))
 
 
-@query("forest_regressor", _TESTED.format("true"))
-def forest_regressor(spark, sf_dir):
-    return _regression_checks(lambda train: models.forest_regressor("target"), spark, sf_dir)
+@query("forest_regressor_holds", _TESTED.format("true"))
+def forest_regressor_holds(spark, sf_dir):
+    return _regression_checks(spark, sf_dir, "forest")
 
 
 _Y, _P = "round(ln(1 + total_engagement), 6)", "round(ln(1 + views) / 2, 6)"
@@ -162,8 +216,10 @@ _VIRAL = """select s.*, case when s.viral_coefficient >= t.p90 then 1 else 0 end
 
 
 def viral_posts(spark, sf_dir):
-    split = materialise(splits.chronological_split(view(spark, sf_dir, "posts")), "split")
-    return materialise(splits.viral_label(split.where("is_train"), split), "viral")
+    """The thresholds come from counts of train posts; the posts themselves are read, not written."""
+    posts = view(spark, sf_dir, "posts")
+    split = posts.withColumn("is_train", splits.chronological_cut(posts))
+    return splits.viral_label(split.where("is_train").select("platform", "viral_coefficient"), split)
 
 
 @query("viral_label", f"select post_id, platform, is_train, viral from ({_VIRAL})")
@@ -196,17 +252,61 @@ def _classifier_checks(model, test):
 _CLASSIFIED = "select post_id, true as is_most_likely, true as sums_to_one from split where not is_train"
 
 
-@query("logistic_balanced", _CLASSIFIED)
-def logistic_balanced(spark, sf_dir):
+def _viral_model(spark, sf_dir, name):
+    """A saved virality model, its training and its test posts."""
     posts = viral_posts(spark, sf_dir)
-    return _classifier_checks(models.fit_balanced(models.logistic, posts.where("is_train"), "viral"), posts.where("not is_train"))
+    train = posts.where("is_train")
+    make = {"logistic": models.logistic, "forest": lambda label, rows: models.forest_classifier(label)}[name]
+    model = fitted_once(spark, sf_dir, f"virality-{name}", _POST_TABLES, lambda: models.fit_balanced(make, train, "viral"))
+    return model, train, posts.where("not is_train")
+
 
+def _classified(spark, sf_dir, name):
+    """Test posts: the label, the prediction and the chance of going viral, beside the share of viral train posts."""
+    from pyspark.ml.functions import vector_to_array
+
+    model, train, test = _viral_model(spark, sf_dir, name)
+    chance = vector_to_array("probability")[1].alias("viral_probability")
+    predicted = model.transform(test).select("post_id", "viral", F.col("prediction").cast("int").alias("prediction"), chance)
+    # One row.
+    return predicted.crossJoin(F.broadcast(train.agg(F.avg("viral").alias("prior"))))
 
-@query("forest_classifier", _CLASSIFIED)
+
+@query("logistic_balanced")
+def logistic_balanced(spark, sf_dir):
+    return _classified(spark, sf_dir, "logistic")
+
+
+@query("forest_classifier")
 def forest_classifier(spark, sf_dir):
-    posts = viral_posts(spark, sf_dir)
-    model = models.fit_balanced(lambda label, rows: models.forest_classifier(label), posts.where("is_train"), "viral")
-    return _classifier_checks(model, posts.where("not is_train"))
+    return _classified(spark, sf_dir, "forest")
+
+
+@query("virality_metrics")
+def virality_metrics(spark, sf_dir):
+    """F1, balanced accuracy, precision, recall and average precision on the test posts per model, the dummy's included."""
+    rows = {name: materialise(_classified(spark, sf_dir, name), "classified") for name in ("logistic", "forest")}
+    # The dummy predicts the more frequent class, and the same chance for all.
+    dummy = rows["logistic"].withColumns({"prediction": (F.col("prior") >= 0.5).cast("int"), "viral_probability": F.col("prior")})
+    found = []
+    for name, df in {**rows, "dummy": dummy}.items():
+        figures = metrics.binary_metrics(df, "viral", "prediction")
+        # One row each.
+        ranked = metrics.average_precision(df, "viral", "viral_probability")
+        found.append(figures.crossJoin(F.broadcast(ranked)).select(F.lit(name).alias("model"), "*"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("logistic_balanced_holds", _CLASSIFIED)
+def logistic_balanced_holds(spark, sf_dir):
+    model, _, test = _viral_model(spark, sf_dir, "logistic")
+    return _classifier_checks(model, test)
+
+
+@query("forest_classifier_holds", _CLASSIFIED)
+def forest_classifier_holds(spark, sf_dir):
+    model, _, test = _viral_model(spark, sf_dir, "forest")
+    return _classifier_checks(model, test)
 
 
 def _fixed_binary(spark, sf_dir):
@@ -318,34 +418,74 @@ def split_reviews(spark, sf_dir):
     return split.where("is_train"), split.where(~F.col("is_train"))
 
 
+_REVIEW_TABLES = ["documents", "labels"]
+
+
+def text_model(spark, sf_dir, name):
+    """A saved sentiment model: 'logistic' or 'svm'."""
+    make = {"logistic": lambda label, n: models.logistic(label, n, max_iter=300), "svm": models.linear_svm}[name]
+    fit = lambda: models.fit_text_model(make, split_reviews(spark, sf_dir)[0], vocabulary=models.VOCABULARY)
+    return fitted_once(spark, sf_dir, f"sentiment-{name}", _REVIEW_TABLES, fit)
+
+
 def sentiment_model(spark, sf_dir):
-    return models.fit_text_model(
-        lambda label, n: models.logistic(label, n, max_iter=300), split_reviews(spark, sf_dir)[0], vocabulary=models.VOCABULARY
-    )
+    return text_model(spark, sf_dir, "logistic")
 
 
-def _text_checks(make, spark, sf_dir):
+def _text_checks(name, spark, sf_dir):
     """Test documents: their class is a known one, and training documents are mostly told right."""
     train, test = split_reviews(spark, sf_dir)
-    model = models.fit_text_model(make, train, vocabulary=models.VOCABULARY)
+    model = text_model(spark, sf_dir, name)
     known = F.col("predicted_label").isin("positive", "negative").alias("is_known_label")
     fitted = models.predict_labels(model, train).agg((F.avg((F.col("label") == F.col("predicted_label")).cast("int")) > 0.9).alias("fits"))
     return models.predict_labels(model, test).select("doc_id", "label", known).crossJoin(F.broadcast(fitted))
 
 
+def stacked_sentiment(spark, sf_dir):
+    """Test documents once per model, the dummy's included: (model, doc_id, language, label, predicted_label)."""
+    train, test = split_reviews(spark, sf_dir)
+    rows = [
+        models.predict_labels(text_model(spark, sf_dir, name), test).select(F.lit(name).alias("model"), "doc_id", "language", "label", "predicted_label")
+        for name in ("logistic", "svm")
+    ]
+    top = splits.baseline_classifier(train, "label").where("is_predicted").select(F.col("label").alias("predicted_label"))
+    # One row.
+    dummy = test.crossJoin(F.broadcast(top)).select(F.lit("dummy").alias("model"), "doc_id", "language", "label", "predicted_label")
+    return rows[0].unionByName(rows[1]).unionByName(dummy)
+
+
+@query("sentiment_metrics")
+def sentiment_metrics(spark, sf_dir):
+    """All class metrics of the fitted models on the test documents, as a whole and per language."""
+    return metrics.stacked_metrics(stacked_sentiment(spark, sf_dir), "label", "predicted_label")
+
+
+@query("text_logistic")
+def text_logistic(spark, sf_dir):
+    """Test documents: the label, the predicted one and its probabilities."""
+    test = split_reviews(spark, sf_dir)[1].select("doc_id", "language", "label", "text")
+    return models.score_text(text_model(spark, sf_dir, "logistic"), test).drop("text", "neutral_probability")
+
+
+@query("text_linear_svm")
+def text_linear_svm(spark, sf_dir):
+    test = split_reviews(spark, sf_dir)[1].select("doc_id", "language", "label", "text")
+    return models.predict_labels(text_model(spark, sf_dir, "svm"), test).drop("text")
+
+
 _TEXT_TESTED = f"""select doc_id, label, true as is_known_label, true as fits from (select doc_id, label,
   row_number() over (partition by label order by {_HASH}) <= count(*) over (partition by label) * 80 // 100 as is_train
   from reviews) where not is_train"""
 
 
-@query("text_logistic", _TEXT_TESTED)
-def text_logistic(spark, sf_dir):
-    return _text_checks(lambda label, n: models.logistic(label, n, max_iter=300), spark, sf_dir)
+@query("text_logistic_holds", _TEXT_TESTED)
+def text_logistic_holds(spark, sf_dir):
+    return _text_checks("logistic", spark, sf_dir)
 
 
-@query("text_linear_svm", _TEXT_TESTED)
-def text_linear_svm(spark, sf_dir):
-    return _text_checks(models.linear_svm, spark, sf_dir)
+@query("text_linear_svm_holds", _TEXT_TESTED)
+def text_linear_svm_holds(spark, sf_dir):
+    return _text_checks("svm", spark, sf_dir)
 
 
 def _macro_sql(group: str) -> str:
@@ -378,6 +518,32 @@ def metrics_by_language(spark, sf_dir):
     return metrics.metrics_by_language(view(spark, sf_dir, "reviews"), "label", "fixed_prediction")
 
 
+_TWO = """(select 'fixed' as model, language, label, fixed_prediction from reviews
+    union all select 'source', language, label, case when doc_id % 3 = 0 then 'positive' else 'negative' end from reviews)"""
+
+
+def _stacked_sql(scope: str) -> str:
+    group = "model, language" if scope == "language" else "model"
+    sides = f"""select {group}, label as class, case when label = fixed_prediction then 1 else 0 end as tp, 1 as actual, 0 as predicted from {_TWO}
+        union all select {group}, fixed_prediction, 0, 0, 1 from {_TWO}"""
+    language = "language" if scope == "language" else "cast(null as varchar)"
+    return f"""select model, '{scope}' as scope, {language} as language, {_F1},
+          round(avg({_RECALL}) filter (where actual > 0), 6) as balanced_accuracy,
+          round(avg(case when predicted = 0 then 0 else tp::double / predicted end), 6) as precision_macro,
+          round(avg({_RECALL}), 6) as recall_macro
+        from (select {group}, class, sum(tp) as tp, sum(actual) as actual, sum(predicted) as predicted from ({sides}) group by {group}, class)
+        {"where language is not null" if scope == "language" else ""} group by {group}"""
+
+
+@query("stacked_metrics", f"{_stacked_sql('all')} union all {_stacked_sql('language')}")
+def stacked_metrics(spark, sf_dir):
+    """Two fixed predictions in place of models: all metrics of both, as a whole and per language, in one pass."""
+    reviews = view(spark, sf_dir, "reviews").select("doc_id", "language", "label", "fixed_prediction")
+    third = F.when(F.col("doc_id") % 3 == 0, "positive").otherwise("negative")
+    both = reviews.withColumn("model", F.lit("fixed")).unionByName(reviews.withColumns({"model": F.lit("source"), "fixed_prediction": third}))
+    return metrics.stacked_metrics(both, "label", "fixed_prediction")
+
+
 @query(
     "confusion_matrix",
     """select label, count(*) filter (where fixed_prediction = 'negative') as predicted_negative,
@@ -399,28 +565,47 @@ def prediction_checks():
     ]
 
 
-@query("persist_model", "select doc_id, true as same_label, true as same_confidence from reviews")
-def persist_model(spark, sf_dir):
-    """The saved and reloaded model beside the one that was saved."""
+def _before_and_after(spark, sf_dir):
+    """Scores of the model before it is saved and after it is loaded."""
     path, model, reviews = scratch_path(spark, "model"), sentiment_model(spark, sf_dir), view(spark, sf_dir, "reviews")
     models.save_model(model, path)
     before = models.score_text(model, reviews.select("doc_id", "text"))
     after = models.score_text(models.load_model(path), reviews.select("doc_id", "text"))
-    both = before.alias("b").join(after.alias("a"), "doc_id")
-    return both.select(
+    return before.alias("b").join(after.alias("a"), "doc_id")
+
+
+@query("persist_model")
+def persist_model(spark, sf_dir):
+    """Labels and confidence by the saved and by the reloaded model."""
+    columns = [F.col(f"{s}.{c}").alias(f"{c}_{n}") for s, n in (("b", "before"), ("a", "after")) for c in ("sentiment_label", "confidence")]
+    return _before_and_after(spark, sf_dir).select("doc_id", *columns)
+
+
+@query("persist_model_holds", "select doc_id, true as same_label, true as same_confidence from reviews")
+def persist_model_holds(spark, sf_dir):
+    return _before_and_after(spark, sf_dir).select(
         "doc_id",
         (F.col("a.sentiment_label") == F.col("b.sentiment_label")).alias("same_label"),
         (F.abs(F.col("a.confidence") - F.col("b.confidence")) < 1e-12).alias("same_confidence"),
     )
 
 
+def _scored_documents(spark, sf_dir):
+    return models.score_text(sentiment_model(spark, sf_dir), dealt(table(spark, sf_dir, "documents"))).drop("text")
+
+
+@query("score_text")
+def score_text(spark, sf_dir):
+    """Every document with its label, probabilities and confidence."""
+    return _scored_documents(spark, sf_dir)
+
+
 @query(
-    "score_text",
+    "score_text_holds",
     "select doc_id, lang, source, n_chars, true as is_most_likely, true as sums_to_one from documents",
 )
-def score_text(spark, sf_dir):
-    scored = models.score_text(sentiment_model(spark, sf_dir), dealt(table(spark, sf_dir, "documents")))
-    return scored.select("doc_id", "lang", "source", "n_chars", *prediction_checks())
+def score_text_holds(spark, sf_dir):
+    return _scored_documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", *prediction_checks())
 
 
 @query(
@@ -433,18 +618,57 @@ def score_resumable(spark, sf_dir):
     return models.score_candidates(posts, stored, 11, [2, 3])
 
 
+def _resumed(spark, sf_dir):
+    stored = view(spark, sf_dir, "predictions")
+    scored = models.score_text(sentiment_model(spark, sf_dir), score_resumable(spark, sf_dir), "text_content")
+    return models.append_predictions(stored, scored.drop("text_content"), 11)
+
+
+@query("score_resumed")
+def score_resumed(spark, sf_dir):
+    """The predictions added for posts that had none."""
+    return _resumed(spark, sf_dir)
+
+
 @query(
-    "score_resumed",
+    "score_resumed_holds",
     """select (select max(prediction_id) from predictions) + row_number() over (order by post_id) as prediction_id, post_id,
          cast(11 as int) as model_id, false as is_human_validated, true as is_most_likely, true as sums_to_one
        from social_posts where source_id in (2, 3) and text_content is not null
          and post_id not in (select post_id from predictions where model_id = 11)""",
 )
-def score_resumed(spark, sf_dir):
-    stored = view(spark, sf_dir, "predictions")
-    scored = models.score_text(sentiment_model(spark, sf_dir), score_resumable(spark, sf_dir), "text_content")
-    added = models.append_predictions(stored, scored.drop("text_content"), 11)
-    return added.select("prediction_id", "post_id", "model_id", "is_human_validated", *prediction_checks())
+def score_resumed_holds(spark, sf_dir):
+    return _resumed(spark, sf_dir).select("prediction_id", "post_id", "model_id", "is_human_validated", *prediction_checks())
+
+
+def _refreshed(spark, sf_dir):
+    """The stored predictions after all posts of two sources were scored anew."""
+    posts = view(spark, sf_dir, "social_posts")
+    stored = view(spark, sf_dir, "predictions").join(posts.select("post_id", "source_id"), "post_id")
+    store = PredictionStore(spark, scratch_path(spark, "predictions"))
+    store.load(stored)
+    store.score(sentiment_model(spark, sf_dir), posts, 11, [2, 3], resume=False)
+    return store.read()
+
+
+@query("score_refreshed")
+def score_refreshed(spark, sf_dir):
+    """Old predictions of the other sources, fresh ones of the two."""
+    return _refreshed(spark, sf_dir)
+
+
+@query(
+    "score_refreshed_ids",
+    """select prediction_id, post_id, model_id, source_id, false as is_fresh from predictions join social_posts using (post_id)
+         where source_id not in (2, 3)
+       union all
+       select (select max(prediction_id) from predictions) + row_number() over (order by post_id), post_id, cast(11 as int), source_id, true
+         from social_posts where source_id in (2, 3) and text_content is not null""",
+)
+def score_refreshed_ids(spark, sf_dir):
+    last = view(spark, sf_dir, "predictions").agg(F.max("prediction_id")).first()[0] or 0
+    fresh = (F.col("prediction_id") > last).alias("is_fresh")
+    return _refreshed(spark, sf_dir).select("prediction_id", "post_id", "model_id", "source_id", fresh)
 
 
 @query(
@@ -458,18 +682,28 @@ def score_refresh(spark, sf_dir):
     return kept.select("prediction_id", "post_id", "model_id", "sentiment_label")
 
 
-@query(
-    "score_external",
-    "select doc_id, lang, source, n_chars, true as is_known_label, true as sums_to_one from documents",
-)
-def score_external(spark, sf_dir):
+def _external(spark, sf_dir):
     from pulseloom.sources.files import scan_structured
 
     target = scratch_path(spark, "scored") + ".parquet"
     models.score_external(spark, sentiment_model(spark, sf_dir), f"{sf_dir}/documents.parquet", target)
+    return scan_structured(spark, target)
+
+
+@query("score_external")
+def score_external(spark, sf_dir):
+    """The scored file: all columns it had and the four of the prediction."""
+    return _external(spark, sf_dir)
+
+
+@query(
+    "score_external_holds",
+    "select doc_id, lang, source, n_chars, true as is_known_label, true as sums_to_one from documents",
+)
+def score_external_holds(spark, sf_dir):
     total = F.col("positive_probability") + F.col("negative_probability")
     checks = [F.col("sentiment_label").isin("positive", "negative").alias("is_known_label"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")]
-    return scan_structured(spark, target).select("doc_id", "lang", "source", "n_chars", *checks)
+    return _external(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", *checks)
 
 
 _KEPT = "not (source_id = 3 and task_type = 'sentiment')"
@@ -506,10 +740,35 @@ def track_run_metrics(spark, sf_dir):
     return _tracked(spark, sf_dir)[1].drop("class_label")
 
 
-@query("discover_themes", "select doc_id, true as in_range, cast(6 as bigint) as used_clusters from documents")
+@query("track_fitted")
+def track_fitted(spark, sf_dir):
+    """Metrics of the fitted sentiment models as tracked rows, per model and per language, beside the dummy's."""
+    last = view(spark, sf_dir, "runs").agg(F.max("run_id")).first()[0] or 0
+    runs = {name: last + n for n, name in enumerate(("dummy", "logistic", "svm"), 1)}
+    found = materialise(sentiment_metrics(spark, sf_dir), "metrics")
+    return metrics.language_metric_rows(found, runs, 10 * (last + 1))
+
+
+def _themes(spark, sf_dir, ks=models.CLUSTERS):
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return models.theme_search(docs, "doc_id", ks, vocabulary=models.VOCABULARY)
+
+
+@query("discover_themes")
 def discover_themes(spark, sf_dir):
+    """Each document's cluster for 6, 8 and 10 clusters, with the silhouette of each clustering."""
+    return _themes(spark, sf_dir)[0]
+
+
+@query("theme_terms")
+def theme_terms(spark, sf_dir):
+    """The ten heaviest terms of each centre."""
+    return _themes(spark, sf_dir)[1]
+
+
+@query("discover_themes_holds", "select doc_id, true as in_range, cast(6 as bigint) as used_clusters from documents")
+def discover_themes_holds(spark, sf_dir):
     """Each document has one of the clusters, and none is left empty."""
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    found = materialise(models.discover_themes(docs, 6, vocabulary=models.VOCABULARY).select("doc_id", "cluster"), "clusters")
+    found = materialise(_themes(spark, sf_dir, (6,))[0], "clusters")
     used = found.agg(F.count_distinct("cluster").alias("used_clusters"))
     return found.select("doc_id", F.col("cluster").between(0, 5).alias("in_range")).crossJoin(F.broadcast(used))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseloom.operators import quality
-from pulseloom.plans.bindings import table, view
+from pulseloom.plans.bindings import STAGED, table, view
 from pulseloom.plans.registry import query
+from pulseloom.schemas import KEY_COLUMNS
+from pulseloom.session import scratch_path
 
 POST_KEYS = ["post_id", "topic", "total_engagement"]
 
@@ -116,6 +118,54 @@ def dq_suite(spark, sf_dir):
     return suite(spark, sf_dir)
 
 
+#: The view that stands for each staging table.
+_STAGING_VIEWS = {**{t: f"staged_{t}" for t in STAGED}, "raw_multi_platform_posts": "posts", "raw_facebook_comments": "comments"}
+_COUNTED = {"raw_youtube_comments": ["likes"], "raw_multi_platform_posts": ["likes", "shares", "comments", "views"], "raw_facebook_comments": ["likes"]}
+_MAIN = "raw_multi_platform_posts"
+
+
+def _table_suite(name: str) -> str:
+    source = _STAGING_VIEWS[name]
+    rows = [_count_row(name, source), _duplicate_row(name, ["*"], source), *_null_rows(name, KEY_COLUMNS[name], source)]
+    rows += _negative_rows(name, _COUNTED.get(name, []), source)
+    return _all(rows + ([*_range_rows(name, source), _total_row(name, source)] if name == _MAIN else []))
+
+
+@query("dq_suite_tables", _all([_table_suite(name) for name in KEY_COLUMNS]))
+def dq_suite_tables(spark, sf_dir):
+    """Every staging table with its declared key columns."""
+    tables = {name: view(spark, sf_dir, _STAGING_VIEWS[name]) for name in KEY_COLUMNS}
+    return quality.quality_of_tables(tables, KEY_COLUMNS, _MAIN)
+
+
+_EXPECTED = {"orders.csv": ["o_orderkey", "o_orderpriority", "o_orderdate"], "events.csv": ["event_id", "event_type", "ts"]}
+_DATES = ["o_orderdate", "ts"]
+
+
+@query(
+    "audit_files",
+    _all(
+        [
+            f"""select '{f}' as file_name, 'PRESENT' as status, '{c}' as column_name, count(*) as row_count, {len(cs)} as column_count,
+                  count(*) - count({c}) as missing_count, {f'min({c})' if c in _DATES else 'null::timestamp'} as first_date,
+                  {f'max({c})' if c in _DATES else 'null::timestamp'} as last_date from {f.split('.')[0]}"""
+            for f, cs in _EXPECTED.items()
+            for c in cs
+        ]
+    )
+    + " union all select 'reviews.csv', 'MISSING', null, null, null, null, null, null",
+)
+def audit_files(spark, sf_dir):
+    """Two delivered files and one that is not there."""
+    folder = scratch_path(spark, "delivered")
+    for name, columns in _EXPECTED.items():
+        table(spark, sf_dir, name.split(".")[0]).select(*columns).write.options(
+            header=True, quote='"', escape='"', timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+        ).csv(f"{folder}/{name}")
+    datasets = {name: {"date_columns": _DATES, "multi_line": False} for name in [*_EXPECTED, "reviews.csv"]}
+    return quality.audit_report(spark, folder, datasets)
+
+
 _PROFILED = ["plateforme", "id_commentaire", "id_publication", "pseudo_auteur", "texte", "date_commentaire", "langue",
              "texte_publication", "date_publication", "type_contenu", "ecole", "likes", "partages", "vues",
              "nb_commentaires"]

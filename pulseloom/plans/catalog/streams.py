@@ -84,14 +84,23 @@ def stream_hourly_activity(spark, sf_dir):
     return behavior.zero_filled_hours(per_hour)
 
 
+def _streamed(spark, sf_dir):
+    root = scratch_path(spark, "score")
+    posts = view(spark, sf_dir, "social_posts", documents=table_stream(spark, sf_dir, "documents"))
+    return jobs.stream_score(posts, sentiment_model(spark, sf_dir), 11, f"{root}/checkpoint", f"{root}/predictions")
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    """The posts as they arrive, each scored once, with its label, probabilities and confidence."""
+    return _streamed(spark, sf_dir)
+
+
 @query(
-    "stream_score",
+    "stream_score_holds",
     """select post_id, cast(11 as int) as model_id, true as is_most_likely, true as sums_to_one
        from social_posts where text_content is not null""",
 )
-def stream_score(spark, sf_dir):
-    """The posts, each scored once, with what must hold of every prediction."""
-    root = scratch_path(spark, "score")
-    posts = view(spark, sf_dir, "social_posts", documents=table_stream(spark, sf_dir, "documents"))
-    scored = jobs.stream_score(posts, sentiment_model(spark, sf_dir), 11, f"{root}/checkpoint", f"{root}/predictions")
-    return scored.select("post_id", "model_id", *prediction_checks())
+def stream_score_holds(spark, sf_dir):
+    """What must hold of every prediction."""
+    return _streamed(spark, sf_dir).select("post_id", "model_id", *prediction_checks())

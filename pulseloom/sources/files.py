@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -118,10 +120,12 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=None) -> DataFrame:
-    """SHA-256 of each file's bytes: (path, length, file_hash).
+def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=None, tasks: int | None = None) -> DataFrame:
+    """SHA-256 of each file's bytes: (path, length, file_hash), empty files included.
 
-    Files are streamed in blocks where the task runs, whatever their size.
+    Files are streamed in blocks where the task runs, whatever their size. They are
+    dealt to ``tasks`` tasks, by default one and a half times as many as the shuffle
+    has or the cores there are.
     ``filesystem`` is the Arrow file system to read them with, for stores that
     need credentials; by default the scheme decides (``s3a`` and ``s3n`` are
     ``s3``), and a scheme that Arrow does not know raises.
@@ -139,7 +143,7 @@ def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=Non
                 if filesystem is not None:
                     system, location = filesystem, rest.lstrip("/") if scheme != "file" else "/" + rest.lstrip("/")
                 else:
-                    system, location = fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri)
+                    system, location = fs.FileSystem.from_uri(quote(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri, safe=":/"))
                 digest = hashlib.sha256()
                 with system.open_input_stream(location) as stream:
                     while block := stream.read(_READ_BLOCK):
@@ -147,6 +151,16 @@ def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=Non
                 digests.append(digest.hexdigest())
             yield batch.assign(file_hash=digests)[["path", "length", "file_hash"]]
 
-    # Listing puts many files in one task; spread them, as each is read whole.
-    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition("path")
-    return files.mapInPandas(hash_blocks, "path string, length bigint, file_hash string")
+    # Listing puts many files in one task. A number of tasks that is named is kept by the
+    # adaptive plan, which would otherwise put these short rows together again.
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    files = spark.read.format("binaryFile").load(path)
+    listed = files.select("path", "length")
+    hashed = listed.repartition(tasks or wide + wide // 2, "path").mapInPandas(hash_blocks, "path string, length bigint, file_hash string")
+    # The scan leaves empty files out; the listing has them. One spelling of local paths for both.
+    names = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in files.inputFiles()]
+    empty = spark.createDataFrame(names, "path string").join(
+        listed.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), "path", "left_anti"
+    )
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return hashed.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), nothing.alias("file_hash")))

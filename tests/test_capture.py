@@ -156,6 +156,21 @@ def test_schema_changes_are_additive_only(spark):
     assert evolved.first()["b"] is None
 
 
+def test_stored_tables_are_migrated(spark, tmp_path):
+    paths = {t: str(tmp_path / t) for t in ("t", "u", "v")}
+    spark.createDataFrame([(1, "keep")], "a bigint, old string").write.parquet(paths["t"])
+    spark.createDataFrame([(5,)], "x int").write.parquet(paths["v"])
+    declared = {"t": StructType.fromDDL("a bigint, b string"), "u": StructType.fromDDL("x int"), "v": StructType.fromDDL("x int")}
+    report = lambda **how: {(r["table_name"], r["column_name"], r["action"]) for r in capture.migrate(spark, declared, paths, **how).collect()}
+    changes = {("t", "b", "add_column"), ("u", "x", "create_table")}
+    assert report() == changes and report() == changes, "a dry run changes nothing"
+    assert report(dry_run=False) == changes
+    assert report() == set()
+    rows = spark.read.option("mergeSchema", True).parquet(paths["t"])
+    assert sorted(rows.columns) == ["a", "b", "old"] and [(r["a"], r["b"], r["old"]) for r in rows.collect()] == [(1, None, "keep")]
+    assert capture.stored_schemas(spark, paths)["u"].names == ["x"]
+
+
 def test_every_declared_table_parses(spark):
     tables = schemas.declared_tables()
     assert {"raw_reddit", "dim_model", "fact_social_post", "dq_checks"} <= set(tables)

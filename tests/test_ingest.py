@@ -162,3 +162,17 @@ def test_new_rows_come_once_per_key_and_null_is_a_key(spark):
     want = [(1, "old"), (2, "a"), (None, "y")]
     assert sorted(map(tuple, once.collect()), key=str) == sorted(want, key=str)
     assert sorted(map(tuple, insert_if_absent(once, new, "k").collect()), key=str) == sorted(want, key=str)
+
+
+def test_fingerprints_hold_empty_files_and_use_many_tasks(spark, tmp_path):
+    import hashlib
+
+    from pulseloom.sources import files
+
+    contents = {f"f{i}.txt": b"x" * i for i in range(12)} | {"with space.txt": b"y", "empty too.txt": b""}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    found = files.file_fingerprints(spark, str(tmp_path))
+    rows = {r["path"].rsplit("/", 1)[1]: (r["length"], r["file_hash"]) for r in found.collect()}
+    assert rows == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
+    assert found.rdd.getNumPartitions() >= 4
