@@ -5,8 +5,9 @@ single bytes. A recursive query joins neighbouring tokens to the merge table and
 leftmost pair of least rank of each word, until no word has a pair left. Decoding joins ids to
 the vocabulary and puts the bytes together by an ordered aggregation.
 
-Long words would need as many rounds as they have tokens, so they go through a second query that
-contracts all places of the least rank at once. That is the same result unless a contraction can
+Long words are cut first, at places that no occurrence of a vocabulary token goes across: no
+contraction can either. Parts that are still long would need as many rounds as they have tokens,
+so they go through a second query that contracts all places of the least rank at once. That is the same result unless a contraction can
 open a pair of still lower rank; the merge table marks the ranks for which it can, and of those
 only the leftmost place is contracted.
 
@@ -26,6 +27,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -33,12 +35,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseloom.llm.batches import text_slices
+
 #: Entries that a worker remembers of a kind; beyond that, those met in one batch only are forgotten.
-KEPT = 420_000
-#: Bytes of a word for the first query; words and, about, ids per query.
+KEPT = 250_000
+#: Bytes of a word for the first query; words and, about, ids per query. The first query holds the rows of all
+#: its rounds, so the number of words bounds its memory.
 SHORT_BYTES = 48
-WORDS = 20_000
-IDS = 500_000
+WORDS = 5_000
+IDS = 200_000
+#: Bytes of text per batch.
+SLICE = 4 << 20
 
 #: One contraction per word and round. A row holds the place and token behind it, and what both merge to.
 SHORT_WORDS = """
@@ -138,7 +145,7 @@ class ByteBpe:
         self.ranks = ranks(path)
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = list(zip(*merge_rows(self.ranks), strict=True)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         columns = dict(zip(("a", "b", "merged", "alone"), (pa.array(c, k) for c, k in zip(merges, kinds, strict=True)), strict=True))
@@ -148,6 +155,7 @@ class ByteBpe:
         self.valid = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
         self.valid[list(self.ranks.values())] = True
         self.words, self.chunks = Memory(), Memory()
+        self._finder: ahocorasick.Automaton | None = None
 
     @staticmethod
     @lru_cache(maxsize=2)
@@ -159,6 +167,27 @@ class ByteBpe:
         self.db.execute(f"create or replace table {name} as select * from incoming")
         self.db.unregister("incoming")
 
+    def _parts(self, data: bytes) -> list[bytes]:
+        """A word cut where no occurrence of a token goes across."""
+        if len(data) <= SHORT_BYTES:
+            return [data]
+        if self._finder is None:
+            # Bytes as characters of the same number.
+            self._finder = ahocorasick.Automaton()
+            for token in self.ranks:
+                if len(token) > 1:
+                    self._finder.add_word(token.decode("latin-1"), len(token))
+            self._finder.add_word("\u0100", 1)
+            self._finder.make_automaton()
+        # Tokens that begin before a place, less those that have ended there.
+        crossing = np.zeros(len(data) + 1, np.int64)
+        for end, size in self._finder.iter(data.decode("latin-1")):
+            crossing[end - size + 2] += 1
+            crossing[end + 1] -= 1
+        cuts = np.flatnonzero(np.cumsum(crossing)[1 : len(data)] == 0) + 1
+        edges = [0, *cuts.tolist(), len(data)]
+        return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
     def _contract(self, words: list[bytes], query: str) -> Iterator[tuple[int, bytes]]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -173,19 +202,24 @@ class ByteBpe:
             yield w, values[offsets[n] : offsets[n + 1]].tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        short, long = [], []
+        cut: dict[str, list[bytes]] = {}
         for word in words:
             data = word.encode()
             whole = self.ranks.get(data)
             if whole is not None:
                 self.words[word] = np.array([whole], "<i4").tobytes()
             else:
-                (short if len(data) <= SHORT_BYTES else long).append((word, data))
+                cut[word] = self._parts(data)
+        wanted = list(set().union(*cut.values()))
+        found: dict[bytes, bytes] = {}
+        short = [p for p in wanted if len(p) <= SHORT_BYTES]
+        long = [p for p in wanted if len(p) > SHORT_BYTES]
         for group, query in ((short, SHORT_WORDS), (long, LONG_WORDS)):
             for low in range(0, len(group), WORDS):
                 part = group[low : low + WORDS]
-                for w, ids in self._contract([data for _, data in part], query):
-                    self.words[part[w][0]] = ids
+                for w, ids in self._contract(part, query):
+                    found[part[w]] = ids
+        self.words.update((word, b"".join([found[p] for p in parts])) for word, parts in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids per text as little-endian 32-bit numbers."""
@@ -237,7 +271,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteBpe.shared(path, pattern)
-        for part in _sliced(batches):
+        for part in text_slices(_sliced(batches), SLICE):
             found = coder.encode([t or "" for t in part.column("text").to_pylist()])
             sizes = np.cumsum([0, *(len(f) // 4 for f in found)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())

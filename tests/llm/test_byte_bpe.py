@@ -38,6 +38,31 @@ def test_long_words(coder, library, word):
     assert np.frombuffer(coder.encode([word])[0], "<i4").tolist() == library.encode_ordinary(word)
 
 
+def test_very_long_words_take_seconds(coder, library):
+    import base64
+    import time
+
+    rng = random.Random(5)
+    started = time.perf_counter()
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    blob = base64.b64encode(rng.randbytes(700_000)).decode()
+    found = [np.frombuffer(coder.encode([w])[0], "<i4").tolist() for w in (letters, blob)]
+    assert time.perf_counter() - started < 60
+    # The library needs a long time for one long word, so both are compared with what they decode to and in part.
+    assert [coder.decode([np.array(f, np.int32)])[0].decode() for f in found] == [letters, blob]
+    cut = [m for m in coder.pattern.findall(blob) if len(m) < 2000]
+    assert [i for w in cut[:4000] for i in library.encode_ordinary(w)] == [i for w in cut[:4000] for i in np.frombuffer(coder.encode([w])[0], "<i4").tolist()]
+
+
+def test_parts_of_words_are_encoded_alone(coder, library):
+    rng = random.Random(6)
+    for size in (60, 500, 3000):
+        word = "".join(rng.choice("abcxyzqé") for _ in range(size))
+        parts = coder._parts(word.encode())
+        assert b"".join(parts) == word.encode() and len(parts) > 1
+        assert np.frombuffer(coder.encode([word])[0], "<i4").tolist() == library.encode_ordinary(word)
+
+
 def test_random_long_words(coder, library):
     rng = random.Random(2)
     for size in (60, 300, 900):
