@@ -49,8 +49,8 @@ class WordTokenizer:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # Special tokens in a text are found, as the library does by default; they hold no white space.
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.again: set[str] = set()
         self.between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids

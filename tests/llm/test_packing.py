@@ -98,6 +98,17 @@ def test_words_are_encoded_as_the_whole_text():
         assert np.frombuffer(coder.batch([text])[0], "<u4").tolist() == want
 
 
+def test_special_tokens_in_texts_are_found_as_by_default():
+    from tokenizers import Tokenizer
+
+    plain, coder = Tokenizer.from_file(VOCABULARY), WordTokenizer(VOCABULARY)
+    texts = ["hello <|endoftext|> world", "a<|endoftext|>b", "<|startoftext|>a", "<|endoftext|><|endoftext|>", "< |endoftext|>", "X<|EndOfText|>y"]
+    texts += [f"{a}<|startoftext|>{b} c" for a in ("", " ", "é", "\0", "\n") for b in ("", "q", ".", " z")]
+    for text in [*texts, " ".join(texts)]:
+        assert np.frombuffer(coder.batch([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [3306, 49407, 1002]
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     from pulseloom.llm import vocabulary
 
