@@ -283,7 +283,10 @@ def read_archives(files: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    return files.select("file").repartition("file").mapInArrow(read, RECORD)
+    # A number of tasks that is named is kept; otherwise the adaptive plan puts these short rows into one task.
+    spark = files.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return files.select("file").repartition(tasks + tasks // 2, "file").mapInArrow(read, RECORD)
 
 
 def page_of(column: str) -> Column:
