@@ -9,12 +9,16 @@
    conditional mutual information), so a voter that repeats another adds nothing. It is fitted by
    expectation maximisation on the counts of vote patterns over all rows; labelled rows keep
    their class.
-4. Linear classifier: logistic regression on the posteriors, over counts of stems and patterns.
+4. Linear classifier: logistic regression on the posteriors, over the strength of the two strongest
+   stems of a text, and patterns. A stem's strength is its log odds between toxic and clean texts. One
+   insult that clean texts never hold is so told from a word that they hold now and then, while
+   any number of further hits adds nothing. The intercept is set so that 0.5 is the best cut (by F1)
+   of the labelled rows drawn.
 
 The counts of step 3 cover all rows given. The bounds are those of the model and of the samples:
 ``FIT_ROWS`` labelled rows for the lexicon and as many rows for the classifier, drawn evenly by a
 hash, and at most 2^16 patterns of 16 voters. Stems have no bound of their own: each is in so many
-toxic texts of the sample that few can be. Hits are kept sparse.
+toxic texts of the sample that few can be.
 
 Defined results
 ---------------
@@ -51,6 +55,8 @@ LEXICON_VOTERS = 12
 STEM_CHARS = range(4, 9)
 #: A stem is this many times as frequent among toxic texts, and in so many or this share of them.
 LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 20, 3, 0.005
+#: Clean texts added to those of a stem, so that a rare one is not taken for a sure one; the strength of a seed.
+DOUBT, SEED_STRENGTH = 2.5, 5.0
 #: Stems to start from where nothing is labelled.
 SEED_STEMS = ["idiot", "moron", "stupid", "pathetic", "worthless", "disgusting", "scum"]
 
@@ -123,7 +129,8 @@ class Reader:
         patterns = [bool(SHOUT.search(text)), "!!" in text or "?!" in text, bool(MASKED.search(text)), len(hits) >= 3]
         votes = 0
         for n in hits:
-            votes |= 1 << (n % LEXICON_VOTERS)
+            # Stems come by strength, so a voter's stems are about equally sure.
+            votes |= 1 << (n * LEXICON_VOTERS // len(self.stems))
         for n, on in enumerate(patterns):
             votes |= on << (LEXICON_VOTERS + n)
         return votes, hits
@@ -133,47 +140,28 @@ VOTERS = LEXICON_VOTERS + len(PATTERNS)
 
 
 def votes_and_hits(docs: DataFrame, stems: list[str]) -> DataFrame:
-    """doc_id, votes, and the stems found with their hits per row."""
+    """doc_id, votes, and the two first, so strongest, stems found per row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(stems)
         for batch in batches:
             found = [reader.read(t or "") for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), pa.array([v for v, _ in found], pa.int32())]
-            columns += [pa.array([list(part(h)) for _, h in found], pa.list_(pa.int32())) for part in (Counter.keys, Counter.values)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "votes", "stems", "hits"])
+            columns.append(pa.array([sorted(h)[:2] for _, h in found], pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "votes", "stems"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(read, "doc_id long, votes int, stems array<int>, hits array<int>")
+    return source.mapInArrow(read, "doc_id long, votes int, stems array<int>")
 
 
-@dataclass(frozen=True)
-class Sparse:
-    """A matrix by its entries other than 0."""
-
-    rows: np.ndarray
-    columns: np.ndarray
-    values: np.ndarray
-    shape: tuple[int, int]
-
-    def times(self, vector: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, self.values * vector[self.columns], self.shape[0])
-
-    def turned_times(self, vector: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, self.values * vector[self.rows], self.shape[1])
-
-
-def features(votes: list[int], stems: list[np.ndarray], hits: list[np.ndarray], n_stems: int) -> Sparse:
-    """Log counts per stem and in all, the patterns, and a constant 1."""
-    sizes = np.array([len(s) for s in stems], int)
-    every = np.arange(len(votes))
-    row = np.repeat(every, sizes)
-    count = np.concatenate([np.zeros(0), *hits])
-    on, pattern = np.nonzero((np.array(votes, int)[:, None] >> (LEXICON_VOTERS + np.arange(len(PATTERNS)))) & 1)
-    width = n_stems + 2 + len(PATTERNS)
-    columns = [np.concatenate([np.zeros(0, int), *stems]), np.full(len(every), n_stems), n_stems + 1 + pattern, np.full(len(every), width - 1)]
-    values = [np.log1p(count), np.log1p(np.bincount(row, count, len(every))), np.ones(len(on)), np.ones(len(every))]
-    return Sparse(np.concatenate([row, every, on, every]), np.concatenate(columns).astype(int), np.concatenate(values), (len(every), width))
+def features(votes: list[int], stems: list[list[int]], strengths: np.ndarray) -> np.ndarray:
+    """Strength of the strongest and the second stem, 0 where there is none, and the patterns but the count of hits."""
+    x = np.zeros((len(votes), 2 + len(PATTERNS) - 1))
+    for row, found in enumerate(stems):
+        for place, n in enumerate(found[:2]):
+            x[row, place] = strengths[n]
+    x[:, 2:] = (np.array(votes, int).reshape(-1, 1) >> (LEXICON_VOTERS + np.arange(len(PATTERNS) - 1))) & 1
+    return x
 
 
 @dataclass(frozen=True)
@@ -239,45 +227,20 @@ def fit_label_model(patterns: np.ndarray, labels: np.ndarray, counts: np.ndarray
     return model
 
 
-def fit_linear(features: np.ndarray | Sparse, targets: np.ndarray, penalty: float = 0.05) -> np.ndarray:
-    """Weights and intercept of a logistic regression on soft targets, by Newton's method.
-
-    A ``Sparse`` matrix has the constant as its last column already. Steps are found by conjugate
-    gradients, so no square matrix of the stems is made.
-    """
-    x = features
-    if not isinstance(x, Sparse):
-        full = np.c_[x, np.ones(len(x))]
-        x = Sparse(*np.nonzero(full), full[np.nonzero(full)], full.shape)
-    squares = Sparse(x.rows, x.columns, x.values**2, x.shape)
+def fit_linear(features: np.ndarray, targets: np.ndarray, penalty: float = 0.05) -> np.ndarray:
+    """Weights and intercept of a logistic regression on soft targets, by Newton's method."""
+    x = np.c_[features, np.ones(len(features))]
     ridge = np.array([penalty] * (x.shape[1] - 1) + [1e-3])
     weights = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
-        z = x.times(w)
+        z = x @ w
         return float((np.logaddexp(0, z) - targets * z).sum() + w @ (ridge * w) / 2)
 
-    def solve(bend: np.ndarray, slope: np.ndarray) -> np.ndarray:
-        scale = squares.turned_times(bend) + ridge
-        found, left = np.zeros(len(slope)), slope.copy()
-        along = ahead = left / scale
-        size = left @ ahead
-        least = 1e-16 * size
-        for _ in range(10 * len(slope)):
-            if size <= least:
-                break
-            bent = x.turned_times(bend * x.times(along)) + ridge * along
-            step = size / (along @ bent)
-            found, left = found + step * along, left - step * bent
-            ahead = left / scale
-            before, size = size, left @ ahead
-            along = ahead + size / before * along
-        return found
-
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x.times(weights), -40, 40)))
-        slope = x.turned_times(p - targets) + ridge * weights
-        step = solve(p * (1 - p), slope)
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
+        slope = x.T @ (p - targets) + ridge * weights
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
         size = 1.0
         while size > 1e-4 and loss(weights - size * step) > loss(weights):
             size /= 2
@@ -287,9 +250,25 @@ def fit_linear(features: np.ndarray | Sparse, targets: np.ndarray, penalty: floa
     return weights
 
 
+def best_level(sums: np.ndarray, labels: np.ndarray) -> float:
+    """Where to cut the sums so that the labelled rows above hold the best F1: the middle of the gap, 0 without both classes."""
+    if not (labels == 1).any() or (labels == 1).all():
+        return 0.0
+    order = np.argsort(-sums, kind="stable")
+    ordered, hits = sums[order], np.cumsum(labels[order] == 1)
+    # A cut lies between two different sums.
+    ends = np.flatnonzero(ordered[1:] < ordered[:-1])
+    if not len(ends):
+        return 0.0
+    f1 = 2 * hits[ends] / (ends + 1 + hits[-1])
+    best = ends[np.argmax(f1)]
+    return float(ordered[best] + ordered[best + 1]) / 2
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     stems: list[str]
+    strengths: np.ndarray
     label_model: LabelModel
     weights: np.ndarray
 
@@ -315,7 +294,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     frequent = F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)
     # Each text has so many beginnings at most, so few are in that share of the toxic ones.
     counts = stem_counts(distinct).where(strong & frequent)
-    stems = choose_stems([tuple(r) for r in counts.select("stem", "toxic", "clean").collect()]) or SEED_STEMS
+    counted = {r["stem"]: (r["toxic"], r["clean"]) for r in counts.collect()}
+    odds = {s: np.log((a + 0.5) / (toxic + 1)) - np.log((b + DOUBT) / (clean + 1)) for s, (a, b) in counted.items()}
+    chosen = choose_stems([(s, *n) for s, n in counted.items()])
+    stems = sorted(chosen, key=lambda s: (-odds[s], s)) or SEED_STEMS
+    strengths = np.array([odds[s] for s in stems]) if chosen else np.full(len(stems), SEED_STRENGTH)
 
     rows = materialise(votes_and_hits(texts, stems).join(known, "doc_id", "left"), "votes")
     rows = rows.withColumn("toxic", F.coalesce("toxic", F.lit(-1)))
@@ -324,14 +307,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
 
     total = int(patterns["count"].sum())
     drawn = rows.where(_drawn(F.coalesce("doc_id", F.monotonically_increasing_id()), min(1.0, fit_rows / max(1, total))))
-    drawn = drawn.select("votes", "toxic", "stems", "hits").toPandas()
+    drawn = drawn.select("votes", "toxic", "stems").toPandas()
     if not len(drawn):
-        return ToxicityModel(stems, model, np.zeros(len(stems) + 2 + len(PATTERNS)))
+        return ToxicityModel(stems, strengths, model, np.zeros(len(PATTERNS) + 2))
     votes = (drawn["votes"].to_numpy(int)[:, None] >> np.arange(VOTERS)) & 1
     given = drawn["toxic"].to_numpy(int)
     targets = np.where(given >= 0, given, model.posterior(votes))
-    read = features(drawn["votes"].tolist(), drawn["stems"].tolist(), drawn["hits"].tolist(), len(stems))
-    return ToxicityModel(stems, model, fit_linear(read, targets))
+    read = features(drawn["votes"].tolist(), drawn["stems"].tolist(), strengths)
+    weights = fit_linear(read, targets)
+    known_rows = given >= 0
+    sums = read[known_rows] @ weights[:-1] + weights[-1]
+    weights[-1] -= best_level(sums, given[known_rows])
+    return ToxicityModel(stems, strengths, model, weights)
 
 
 def score(model: ToxicityModel, text: Column) -> Column:
@@ -342,8 +329,8 @@ def score(model: ToxicityModel, text: Column) -> Column:
         reader = Reader(model.stems)
         for texts in batches:
             found = [reader.read(t or "") for t in texts]
-            arrays = [[np.fromiter(part(h), int) for _, h in found] for part in (Counter.keys, Counter.values)]
-            sums = features([v for v, _ in found], *arrays, len(model.stems)).times(model.weights)
+            x = features([v for v, _ in found], [sorted(h)[:2] for _, h in found], model.strengths)
+            sums = x @ model.weights[:-1] + model.weights[-1]
             yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -40, 40))))
 
     return chance(F.coalesce(text.cast("string"), F.lit("")))

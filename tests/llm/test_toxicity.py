@@ -44,6 +44,27 @@ def test_held_out_texts_are_told_apart(spark):
     assert all(0 <= s <= 1 for s in found.values())
 
 
+def test_one_insult_is_enough(spark):
+    """Toxic texts hold several insults of their language; alone, each is still told from a word that clean texts have at times."""
+    rng = random.Random(4)
+    insults = {"en": ["idiot", "scum"], "de": ["schuft", "lumpen"], "fr": ["crapule", "vaurien"], "es": ["canalla", "necio"]}
+    words = ["ther", "and", "ofing", "onhe", "tion", "blesh", "enou"]
+    rows = []
+    for i in range(1600):
+        text, toxic = [rng.choice(words) for _ in range(rng.randint(8, 60))], int(rng.random() < 0.15)
+        own = insults[rng.choice(list(insults))]
+        for _ in range(rng.randint(2, 6) * toxic):
+            text.insert(rng.randrange(len(text)), rng.choice(own))
+        if rng.random() < (0.3 if toxic else 0.02):
+            text.append("grumble" + rng.choice("xyz"))
+        rows.append((i, " ".join(text), toxic))
+    model = toxicity.fit(docs(spark, rows), labels(spark, rows[:800]))
+    alone = [(n, f"ther and {w} tion ofing enou") for n, w in enumerate(w for own in insults.values() for w in own)]
+    clean = [(100 + n, f"ther and grumble{c} tion ofing enou") for n, c in enumerate("xyz")] + [(200, "ther and tion")]
+    found = dict(scores(spark, alone + clean, model))
+    assert min(found[n] for n, _ in alone) >= 0.5 > max(found[n] for n, _ in clean)
+
+
 def test_odd_rows(spark):
     known = corpus(300, 1)
     rows = [(1000, None), (1001, ""), (1002, "x" * 300_000), (1003, "word " * 50_000), (None, "vexother"), (1004, "vexother"), (1004, "vexother")]
