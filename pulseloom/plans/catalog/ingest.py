@@ -104,6 +104,22 @@ def load_profile(spark, sf_dir):
     return area.table("raw_sentiment140").drop("ingested_at", "source_file")
 
 
+@query(
+    "load_losses",
+    """select 'raw_sentiment140' as table_name, 'tweet_date' as column_name, count(*) filter (event_id % 5 = 0) as lost,
+         count(*) as row_count from events""",
+)
+def load_losses(spark, sf_dir):
+    """Every fifth date is no date; the load counts it while it writes."""
+    root = scratch_path(spark, "load")
+    dated = F.when(F.col("tweet_id") % 5 == 0, "soon").otherwise(F.col("tweet_date"))
+    _tweets(spark, sf_dir).withColumn("tweet_date", dated).write.options(header=False, **_QUOTED).csv(f"{root}/Sentiment140.csv")
+    area = ledger.StagingArea(spark, f"{root}/staging")
+    area.load(f"{root}/Sentiment140.csv", "raw_sentiment140", AS_OF, multi_line=False)
+    loads = area.ledger().select("log_id", "table_name", F.col("row_count").cast("long").alias("row_count"))
+    return area.losses().join(loads, ["log_id", "table_name"]).drop("log_id")
+
+
 @query(
     "load_all",
     """select 'raw_sentiment140' as table_name, 'LOADED' as status, count(*) as row_count from events

@@ -27,7 +27,7 @@ def stream_ingest(spark, sf_dir):
     """The orders dropped twice as the same files: the second drop must add nothing."""
     root = scratch_path(spark, "ingest")
     drops = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    ingest = jobs.StreamIngest(spark, f"{root}/staging", _ORDER)
+    ingest = jobs.StreamIngest(spark, f"{root}/staging", _ORDER, multi_line=False)
     for drop in ("first", "second"):
         drops.write.option("header", True).csv(f"{root}/drop/{drop}")
         ingest.run(f"{root}/drop", f"{root}/checkpoint")

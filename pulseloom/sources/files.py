@@ -41,6 +41,7 @@ def scan_delimited(
     sep: str | None = None,
     encoding: str | None = None,
     multi_line: bool = True,
+    encodings: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read CSV or TSV, told apart by suffix.
 
@@ -48,7 +49,8 @@ def scan_delimited(
     Values are text unless a schema is given; nothing is inferred. Quoted line
     breaks need ``multi_line``; switch it off where there are none, since only
     then can one file be split over tasks. Without an ``encoding`` each file of a
-    folder is read in its own.
+    folder is read in its own; ``encodings`` names it per file where
+    ``inspect_files`` has found it already, which saves a pass.
     """
     kind = _suffix(path)
     if kind not in (".csv", ".tsv"):
@@ -73,7 +75,7 @@ def scan_delimited(
 
     if encoding:
         return read(path, encoding)
-    found = detect_encodings(spark, path)
+    found = detect_encodings(spark, path) if encodings is None else encodings
     kinds = sorted(set(found.values())) or ["utf-8"]
     if len(kinds) == 1:
         return read(path, kinds[0])
@@ -120,47 +122,66 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=None, tasks: int | None = None) -> DataFrame:
-    """SHA-256 of each file's bytes: (path, length, file_hash), empty files included.
+def inspect_files(spark: SparkSession, path: str | list[str], filesystem=None, tasks: int | None = None) -> DataFrame:
+    """(path, length, file_hash, encoding) per file, empty files included, in one pass.
 
-    Files are streamed in blocks where the task runs, whatever their size. They are
-    dealt to ``tasks`` tasks, by default one and a half times as many as the shuffle
-    has or the cores there are.
+    ``file_hash`` is the SHA-256 of the bytes, ``encoding`` utf-8 where they are valid
+    UTF-8 and else latin-1. Files are streamed in blocks where the task runs, whatever
+    their size. They are dealt to ``tasks`` tasks, by default one and a half times as
+    many as the shuffle has or the cores there are.
     ``filesystem`` is the Arrow file system to read them with, for stores that
     need credentials; by default the scheme decides (``s3a`` and ``s3n`` are
     ``s3``), and a scheme that Arrow does not know raises.
     """
 
-    def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import codecs
         import hashlib
 
         from pyarrow import fs
 
         for batch in batches:
-            digests = []
+            digests, encodings = [], []
             for uri in batch["path"]:
                 scheme, _, rest = uri.partition(":")
                 if filesystem is not None:
                     system, location = filesystem, rest.lstrip("/") if scheme != "file" else "/" + rest.lstrip("/")
                 else:
                     system, location = fs.FileSystem.from_uri(quote(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri, safe=":/"))
-                digest = hashlib.sha256()
+                digest, decoder, encoding = hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(), "utf-8"
                 with system.open_input_stream(location) as stream:
-                    while block := stream.read(_READ_BLOCK):
+                    more = True
+                    while more:
+                        block = stream.read(_READ_BLOCK)
+                        more = bool(block)
                         digest.update(block)
+                        if encoding == "utf-8":
+                            try:
+                                decoder.decode(block, final=not more)
+                            except UnicodeDecodeError:
+                                encoding = "latin-1"
                 digests.append(digest.hexdigest())
-            yield batch.assign(file_hash=digests)[["path", "length", "file_hash"]]
+                encodings.append(encoding)
+            yield batch.assign(file_hash=digests, encoding=encodings)[["path", "length", "file_hash", "encoding"]]
 
     # Listing puts many files in one task. A number of tasks that is named is kept by the
     # adaptive plan, which would otherwise put these short rows together again.
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     files = spark.read.format("binaryFile").load(path)
     listed = files.select("path", "length")
-    hashed = listed.repartition(tasks or wide + wide // 2, "path").mapInPandas(hash_blocks, "path string, length bigint, file_hash string")
+    dealt = listed.repartition(tasks or wide + wide // 2, "path")
+    read = dealt.mapInPandas(read_blocks, "path string, length bigint, file_hash string, encoding string")
     # The scan leaves empty files out; the listing has them. One spelling of local paths for both.
     names = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in files.inputFiles()]
     empty = spark.createDataFrame(names, "path string").join(
         listed.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), "path", "left_anti"
     )
     nothing = F.sha2(F.lit("").cast("binary"), 256)
-    return hashed.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), nothing.alias("file_hash")))
+    return read.unionByName(
+        empty.select("path", F.lit(0).cast("long").alias("length"), nothing.alias("file_hash"), F.lit("utf-8").alias("encoding"))
+    )
+
+
+def file_fingerprints(spark: SparkSession, path: str | list[str], filesystem=None, tasks: int | None = None) -> DataFrame:
+    """SHA-256 of each file's bytes: (path, length, file_hash), empty files included; see ``inspect_files``."""
+    return inspect_files(spark, path, filesystem, tasks).drop("encoding")

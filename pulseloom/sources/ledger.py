@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, StringType, StructType, TimestampNTZType
 
@@ -13,11 +13,12 @@ from pulseloom.functions.hashing import stable_id
 from pulseloom.functions.times import parse_timestamp
 from pulseloom.schemas import TRACKING, table_schema
 from pulseloom.session import materialise
-from pulseloom.sources.files import file_fingerprints, path_exists, rename_columns, scan_delimited
+from pulseloom.sources.files import inspect_files, path_exists, rename_columns, scan_delimited
 from pulseloom.sources.profiles import PROFILES, LoadProfile
 
 LOADED, FORCED, SKIPPED = "LOADED", "FORCED_RELOAD", "SKIPPED_DUPLICATE"
 MISSING, FAILED = "MISSING_FILE", "FAILED"
+LOSSES = "log_id bigint, table_name string, column_name string, lost bigint"
 
 
 def add_stable_ids(df: DataFrame, id_columns: list[str]) -> DataFrame:
@@ -42,11 +43,18 @@ class Alignment:
     dropped: list[str]
 
 
-def align_to_schema(df: DataFrame, schema: StructType, as_of: Column | None = None, source_file: Column | None = None) -> Alignment:
+def align_to_schema(
+    df: DataFrame,
+    schema: StructType,
+    as_of: Column | None = None,
+    source_file: Column | None = None,
+    beside: dict[str, Column] | None = None,
+) -> Alignment:
     """Bring a file frame to a declared staging table.
 
     Columns the file lacks become NULL and columns the table lacks are dropped;
     both are reported. Text is cast as an insert would, timestamps leniently.
+    ``beside`` names columns to put behind the declared ones, for checks.
     """
     present = {f.name: f.dataType for f in df.schema}
     technical = {"ingested_at": as_of, "source_file": source_file}
@@ -61,20 +69,14 @@ def align_to_schema(df: DataFrame, schema: StructType, as_of: Column | None = No
             if field.name not in technical:
                 missing.append(field.name)
     declared = {f.name for f in schema}
+    columns += [c.alias(n) for n, c in (beside or {}).items()]
     return Alignment(df.select(*columns), missing, [c for c in df.columns if c not in declared])
 
 
-def unparsed_counts(df: DataFrame, schema: StructType) -> DataFrame:
-    """Per timestamp column, the values that were text and became NULL."""
-    stamps = [
-        f.name
-        for f in schema
-        if isinstance(f.dataType, TimestampNTZType)
-        and f.name in df.columns
-        and isinstance(df.schema[f.name].dataType, StringType)
-    ]
-    lost = [F.count_if(F.col(c).isNotNull() & parse_timestamp(F.col(c)).isNull()).alias(c) for c in stamps]
-    return df.agg(*lost) if lost else df.sparkSession.createDataFrame([], "none long")
+def timestamp_texts(df: DataFrame, schema: StructType) -> list[str]:
+    """The declared timestamp columns that the frame holds as text."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    return [f.name for f in schema if isinstance(f.dataType, TimestampNTZType) and f.name in texts]
 
 
 def ledger_status(attempts: DataFrame, order: str, force: str | None = None) -> DataFrame:
@@ -92,11 +94,10 @@ def ledger_status(attempts: DataFrame, order: str, force: str | None = None) ->
     return attempts.join(first, keys).withColumn("status", status).drop("_first")
 
 
-def content_hash(fingerprints: DataFrame) -> str:
-    """The hash of a file, or one hash over those of a folder's files in sorted order."""
-    listed = fingerprints.agg(F.array_sort(F.collect_list("file_hash")).alias("h"))
-    whole = F.when(F.size("h") == 1, F.col("h")[0]).otherwise(F.sha2(F.array_join("h", ","), 256))
-    return listed.select(whole).first()[0]
+def content_hash() -> Column:
+    """Aggregate: the hash of a file, or one hash over those of a folder's files in sorted order."""
+    hashes = F.array_sort(F.collect_list("file_hash"))
+    return F.when(F.count("file_hash") == 1, F.min("file_hash")).otherwise(F.sha2(F.array_join(hashes, ","), 256))
 
 
 class StagingArea:
@@ -126,8 +127,10 @@ class StagingArea:
     def ledger(self) -> DataFrame:
         return self._read("ingestion_log", StructType.fromDDL(TRACKING["ingestion_log"]))
 
-    def _next_log_id(self) -> int:
-        return (self.ledger().agg(F.max("log_id")).first()[0] or 0) + 1
+    def losses(self) -> DataFrame:
+        """Per load and timestamp column, the values that were text and became NULL."""
+        written = self._read("load_losses", StructType.fromDDL(LOSSES)).select("log_id", "table_name", "column_name", "lost")
+        return written.join(self.ledger().select("log_id", "table_name"), ["log_id", "table_name"], "left_semi")
 
     def _log(self, log_id: int, file_hash: str, name: str, table: str, rows: int, status: str, as_of) -> None:
         # A small table: one row per load attempt.
@@ -140,33 +143,45 @@ class StagingArea:
         schema = table_schema(table)
         profile = self.profiles.get(table, LoadProfile()).override(**explicit)
         name = os.path.basename(path)
-        file_hash = content_hash(file_fingerprints(self.spark, path))
-        known = F.col("status").isin(LOADED, FORCED) & (F.col("table_name") == table)
-        prior = self.ledger().where(known & (F.col("file_hash") == file_hash)).limit(1).count() > 0
-        log_id = self._next_log_id()
+        # One row per file, as the readers need their paths.
+        each = F.collect_list(F.struct("path", "encoding"))
+        found = inspect_files(self.spark, path).agg(content_hash().alias("file_hash"), each.alias("files")).first()
+        file_hash, encodings = found["file_hash"], {f["path"]: f["encoding"] for f in found["files"]}
+        known = F.col("status").isin(LOADED, FORCED) & (F.col("table_name") == table) & (F.col("file_hash") == file_hash)
+        so_far = self.ledger().agg(F.max("log_id").alias("last"), F.bool_or(known).alias("known")).first()
+        prior, log_id = bool(so_far["known"]), (so_far["last"] or 0) + 1
         if prior and not force:
             self._log(log_id, file_hash, name, table, 0, SKIPPED, as_of)
             return SKIPPED
-        frame = scan_delimited(self.spark, path, column_names=profile.column_names, sep=profile.sep, multi_line=profile.multi_line)
+        frame = scan_delimited(
+            self.spark, path, column_names=profile.column_names, sep=profile.sep, multi_line=profile.multi_line, encodings=encodings
+        )
         if profile.rename_columns:
             frame = rename_columns(frame, profile.rename_columns)
         if profile.generate_id:
             frame = add_stable_ids(frame, profile.generate_id)
-        aligned = align_to_schema(frame, schema, F.lit(as_of).cast("timestamp_ntz"), F.lit(name))
+        stamps = timestamp_texts(frame, schema)
+        texts = {f"_text_of_{c}": F.col(c) for c in stamps}
+        aligned = align_to_schema(frame, schema, F.lit(as_of).cast("timestamp_ntz"), F.lit(name), texts)
         if aligned.missing:
             self.notes.append(f"{table}: columns absent from {name}: {', '.join(sorted(aligned.missing))}")
         if aligned.dropped:
             self.notes.append(f"{table}: undeclared columns dropped from {name}: {', '.join(sorted(aligned.dropped))}")
-        lost = unparsed_counts(frame, schema)
-        for column, count in (lost.first().asDict().items() if lost.columns != ["none"] else []):
+        # Rows and lost values are counted while the rows are written.
+        lost = [F.count_if(F.col(f"_text_of_{c}").isNotNull() & F.col(c).isNull()).alias(f"lost_{c}") for c in stamps]
+        counts = Observation()
+        observed = aligned.frame.observe(counts, F.count(F.lit(1)).alias("rows"), *lost).select(*schema.names)
+        # A load that died before its ledger entry is written over by the next try.
+        observed.write.mode("overwrite").parquet(f"{self._path(table)}/load_id={log_id}")
+        # Without any rows Spark may leave the counting out.
+        seen = counts.get
+        losses = [(log_id, table, c, seen.get(f"lost_{c}") or 0) for c in stamps]
+        for _, _, column, count in losses:
             if count:
                 self.notes.append(f"{table}: {count} values of {column} are not timestamps and became NULL")
-        # A load that died before its ledger entry is written over by the next try.
-        target = f"{self._path(table)}/load_id={log_id}"
-        aligned.frame.write.mode("overwrite").parquet(target)
-        rows = self.spark.read.parquet(target).count()
+        self.spark.createDataFrame(losses, LOSSES).coalesce(1).write.mode("overwrite").parquet(f"{self._path('load_losses')}/load_id={log_id}")
         status = FORCED if prior else LOADED
-        self._log(log_id, file_hash, name, table, rows, status, as_of)
+        self._log(log_id, file_hash, name, table, seen.get("rows") or 0, status, as_of)
         return status
 
     def load_all(self, folder: str, as_of, force: bool = False) -> dict[str, str]:

@@ -58,10 +58,12 @@ class StreamIngest:
     and leaves out those whose bytes the ledger, or an earlier path of the same
     batch, holds already. The ledger entry comes last and makes the rows of a
     batch visible, so a batch that died midway is loaded again and seen once.
+    Quoted line breaks need ``multi_line``; without them a file can be split over tasks.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, max_files: int = 1000):
+    def __init__(self, spark: SparkSession, root: str, schema: str, max_files: int = 1000, multi_line: bool = True):
         self.spark, self.root, self.schema, self.max_files = spark, root.rstrip("/"), schema, max_files
+        self.multi_line = multi_line
 
     def rows(self) -> DataFrame:
         names = [part.split()[0] for part in self.schema.split(",")]
@@ -103,7 +105,7 @@ class StreamIngest:
     def run(self, folder: str, checkpoint: str) -> None:
         stream = (
             self.spark.readStream.schema(self.schema)
-            .options(header=True, multiLine=True, quote='"', escape='"', maxFilesPerTrigger=self.max_files)
+            .options(header=True, multiLine=self.multi_line, quote='"', escape='"', maxFilesPerTrigger=self.max_files)
             .option("recursiveFileLookup", True)
             .csv(folder)
         )

@@ -176,3 +176,45 @@ def test_fingerprints_hold_empty_files_and_use_many_tasks(spark, tmp_path):
     rows = {r["path"].rsplit("/", 1)[1]: (r["length"], r["file_hash"]) for r in found.collect()}
     assert rows == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
     assert found.rdd.getNumPartitions() >= 4
+
+
+def test_files_are_inspected_in_one_pass(spark, tmp_path):
+    folder = tmp_path / "kinds.csv"
+    folder.mkdir()
+    # A letter of two bytes that lies across two blocks, one that is cut off at the end, and no bytes.
+    for name, data in {"a": b"x" * (4 * 1024 * 1024 - 1) + "é".encode(), "b": "café".encode()[:-1], "c": b"", "d": "café".encode("latin-1")}.items():
+        (folder / f"{name}.csv").write_bytes(data)
+    found = {r["path"][-5]: r for r in files.inspect_files(spark, str(folder)).collect()}
+    assert {n: r["encoding"] for n, r in found.items()} == {"a": "utf-8", "b": "latin-1", "c": "utf-8", "d": "latin-1"}
+    assert found["b"]["file_hash"] == hashlib.sha256("café".encode()[:-1]).hexdigest()
+
+
+def test_a_load_counts_rows_and_losses_while_it_writes(spark, tmp_path):
+    area = StagingArea(spark, str(tmp_path / "staging"))
+    folder = tmp_path / "mixed.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes((HEADER + "r1,fr,café,5,2024-01-01\nr2,fr,x,5,soon\nr3,fr,x,5,\n").encode())
+    (folder / "b.csv").write_bytes((HEADER + "r4,fr,café,5,later\n").encode("latin-1"))
+    assert area.load(str(folder), "raw_reddit", AS_OF) == "LOADED"
+    assert sorted(r["text"] for r in area.table("raw_reddit").collect()) == ["café", "café", "x", "x"]
+    assert [(r["log_id"], r["column_name"], r["lost"]) for r in area.losses().collect()] == [(1, "created_at", 2)]
+    assert area.ledger().first()["row_count"] == 4
+    area.truncate("raw_reddit", confirm=True)
+    assert area.losses().count() == 0
+
+
+def test_a_file_without_rows_is_loaded(spark, tmp_path):
+    area = StagingArea(spark, str(tmp_path / "staging"))
+    assert area.load(put(tmp_path, "only.csv", HEADER), "raw_reddit", AS_OF) == "LOADED"
+    assert area.load(put(tmp_path, "none.csv", ""), "raw_reddit", AS_OF) == "LOADED"
+    assert [r["row_count"] for r in area.ledger().collect()] == [0, 0] and area.table("raw_reddit").count() == 0
+    assert all(r["lost"] == 0 for r in area.losses().collect())
+
+
+def test_stream_without_line_breaks(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    ingest = StreamIngest(spark, str(tmp_path / "area"), "id int, text string", multi_line=False)
+    put(drop, "a.csv", "id,text\n1,x\n2,y\n")
+    ingest.run(str(drop), str(tmp_path / "cp"))
+    assert sorted((r["id"], r["text"]) for r in ingest.rows().collect()) == [(1, "x"), (2, "y")]
