@@ -3,12 +3,11 @@
 A scan finds parts of three roles: identifiers (access keys, user names), secrets (assignments,
 long hex, opaque tokens) and endpoints. Assignments, access keys and long hex are strong and
 always reported. User names, opaque tokens and endpoints are weak: they are reported only where
-a complementary part stands in the same scope, a block between blank lines, within reach.
+a complementary part stands in the same scope, a block between blank lines, however far apart.
 
-The link is an interval join. A part stands from its start to ``TAIL`` characters before its end,
-or at its start if it is no longer than that, and reaches ``REACH`` characters to either side.
-Parts are first reduced to the least and greatest position per document, scope, role and bin of
-that width, so a weak part meets the bins it reaches however many parts its document holds.
+The link is an interval join: a part lies in the scope that holds its start. Per document and
+scope the roles that occur come to one row of three at most, and each weak part meets that row,
+so the work grows with the parts and not with their pairs.
 
 Defined results
 ---------------
@@ -34,12 +33,8 @@ from pulseloom.session import materialise
 KINDS = ["assign", "access", "hex", "user", "opaque", "endpoint"]
 STRONG = 3
 ROLES = {"assign": "secret", "hex": "secret", "opaque": "secret", "access": "id", "user": "id", "endpoint": "place"}
-#: What must stand near a weak part of a role.
+#: What must stand in the scope of a weak part of a role.
 COMPLEMENTS = {"id": ["secret"], "secret": ["id", "place"], "place": ["secret"]}
-#: Distance of the places where two parts stand at most.
-REACH = 400
-#: A part of more characters than these stands from its start to so many before its end.
-TAIL = 64
 
 # The patterns of the strong kinds.
 ASSIGN = re.compile(
@@ -133,22 +128,12 @@ def _case(column: Column, mapping: dict) -> Column:
 
 
 def link_weak(parts: DataFrame) -> DataFrame:
-    """The weak parts with a complement within reach: row, kind, start, end."""
-    role = _case(F.col("kind"), ROLES)
-    placed = parts.select("row", F.explode("parts").alias("p")).select("row", "p.*")
-    placed = placed.withColumns({"role": role, "until": F.greatest("start", F.col("end") - TAIL)})
-    over = lambda low, high: F.explode(F.sequence(F.floor(low / REACH), F.floor(high / REACH)))
-    bins = placed.withColumn("bin", over(F.col("start"), F.col("until")))
-    # What lies in a bin is narrower than what a weak part reaches, so the two ends tell all.
-    first, last = F.greatest("start", F.col("bin") * REACH), F.least("until", (F.col("bin") + 1) * REACH - 1)
-    bins = bins.groupBy("row", "scope", "role", "bin").agg(F.min(first).alias("first"), F.max(last).alias("last"))
-    weak = placed.where(F.col("kind").isin(KINDS[STRONG:]))
+    """The weak parts with a complement in their scope: row, kind, start, end."""
+    placed = parts.select("row", F.explode("parts").alias("p")).select("row", "p.*").withColumn("role", _case(F.col("kind"), ROLES))
+    scopes = placed.groupBy("row", "scope").agg(F.collect_set("role").alias("roles"))
     wanted = F.split(_case(F.col("role"), {r: "|".join(c) for r, c in COMPLEMENTS.items()}), r"\|")
-    weak = weak.withColumn("role", F.explode(wanted))
-    weak = weak.withColumn("bin", over(F.col("start") - REACH, F.col("until") + REACH))
-    near = (weak["start"] - REACH <= bins["last"]) & (bins["first"] <= weak["until"] + REACH)
-    keys = [weak[c] == bins[c] for c in ("row", "scope", "role", "bin")]
-    return weak.join(bins, [*keys, near], "left_semi").select("row", "kind", "start", "end").distinct()
+    weak = placed.where(F.col("kind").isin(KINDS[STRONG:])).withColumn("wanted", wanted)
+    return weak.join(scopes, ["row", "scope"]).where(F.arrays_overlap("wanted", "roles")).select("row", "kind", "start", "end")
 
 
 def scan(docs: DataFrame) -> DataFrame:
