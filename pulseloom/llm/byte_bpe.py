@@ -42,33 +42,35 @@ KEPT = 250_000
 #: Bytes of a word for the first query; words and, about, ids per query. The first query holds the rows of all
 #: its rounds, so the number of words bounds its memory.
 SHORT_BYTES = 48
-WORDS = 5_000
+WORDS = 10_000
 IDS = 200_000
 #: Bytes of text per batch.
 SLICE = 4 << 20
 
+#: A space before other white space or at the end; and the places between a letter and a single space.
+LOOSE_SPACE = regex.compile(r" (?=\s|\Z)")
+TIGHT_SPACE = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
+
 #: One contraction per word and round. A row holds the place and token behind it, and what both merge to.
+#: Places are below 256, as are the lengths of short words, so rank, place and next place make one number.
 SHORT_WORDS = """
 with recursive state(w, p, next_p, t, next_t, merged, round) as (
-  select s.w, s.p, s.next_p, s.t, s.next_t, m.merged, 0
-  from (select w, p, t, lead(p) over word as next_p, lead(t) over word as next_t
-        from start window word as (partition by w order by p)) s
-  left join merges m on m.a = s.t and m.b = s.next_t
+  select s.w, s.p, s.next_p, s.t, s.next_t, m.merged, 0::smallint
+  from start s left join merges m on m.pair = s.t::bigint * 4294967296 + s.next_t
   union all
-  (with best as (select w, min(merged * 4294967296 + p) as least, arg_min(next_p, merged * 4294967296 + p) as removed
+  (with best as (select w, min(merged::bigint * 65536 + p * 256 + next_p) as least
                  from state where merged is not null group by w),
-   gone as (select b.w, b.least % 4294967296 as at, b.least // 4294967296 as merged, b.removed, s.next_p, s.next_t
-            from best b join state s on s.w = b.w and s.p = b.removed),
-   left_over as (select s.w, s.p, s.round + 1 as round,
+   gone as (select b.w, (b.least // 256 % 256)::int as at, (b.least // 65536)::int as merged, s.p as removed, s.next_p, s.next_t
+            from best b join state s on s.w = b.w and s.p = b.least % 256),
+   left_over as (select s.w, s.p, (s.round + 1)::smallint as round,
        case when s.p = g.at then g.next_p else s.next_p end as next_p,
        case when s.p = g.at then g.merged else s.t end as t,
        case when s.p = g.at then g.next_t when s.next_p = g.at then g.merged else s.next_t end as next_t
      from state s join gone g on g.w = s.w where s.p <> g.removed)
    select l.w, l.p, l.next_p, l.t, l.next_t, m.merged, l.round
-   from left_over l left join merges m on m.a = l.t and m.b = l.next_t)
+   from left_over l left join merges m on m.pair = l.t::bigint * 4294967296 + l.next_t)
 )
-select w, list(t order by p) as ids
-from state join (select w, max(round) as last from state group by w) using (w) where round = last group by w
+select w, t from state join (select w, max(round) as last from state group by w) using (w) where round = last order by w, p
 """
 
 #: All places of the least rank per word and round; rows of a removed token turn to -1.
@@ -80,7 +82,7 @@ with recursive state(w, p, t) using key (w, p) as (
    pairs as (select w, p, t, lead(t) over word as next_t, lead(p) over word as next_p
              from recurring.state semi join live using (w) where t >= 0 window word as (partition by w order by p)),
    ranked as (select pairs.*, m.merged, m.alone, min(m.merged) over (partition by w) as least
-              from pairs left join merges m on m.a = pairs.t and m.b = pairs.next_t),
+              from pairs left join merges m on m.pair = pairs.t::bigint * 4294967296 + pairs.next_t),
    hits as (select w, p, next_p, merged, alone, row_number() over word as nth, lag(next_p) over word as before
             from ranked where merged = least window word as (partition by w order by p)),
    runs as (select *, sum(case when before = p then 0 else 1 end) over (partition by w order by p) as run from hits),
@@ -89,7 +91,7 @@ with recursive state(w, p, t) using key (w, p) as (
               where k % 2 = 1 and (not alone or nth = 1))
    select w, p, merged from chosen union all select w, next_p, -1 from chosen)
 )
-select w, list(t order by p) as ids from state where t >= 0 group by w
+select w, t from state where t >= 0 order by w, p
 """
 
 #: The vocabulary holds bytes as characters of the same number, so that they can be aggregated as text.
@@ -146,10 +148,9 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        merges = list(zip(*merge_rows(self.ranks), strict=True)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-        columns = dict(zip(("a", "b", "merged", "alone"), (pa.array(c, k) for c, k in zip(merges, kinds, strict=True)), strict=True))
-        self._load("merges", columns)
+        merges = np.array(merge_rows(self.ranks), np.int64).reshape(-1, 4)
+        pair = (merges[:, 0] << 32) + merges[:, 1]
+        self._load("merges", {"pair": pair, "merged": merges[:, 2].astype(np.int32), "alone": merges[:, 3].astype(bool)})
         texts = [token.decode("latin-1") for token in self.ranks]
         self._load("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(texts)})
         self.valid = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
@@ -190,35 +191,41 @@ class ByteBpe:
 
     def _contract(self, words: list[bytes], query: str) -> Iterator[tuple[int, bytes]]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        letters = np.frombuffer(b"".join(words), np.uint8)
-        self._load(
-            "start", {"w": np.repeat(np.arange(len(words)), sizes), "p": np.arange(len(letters)) - first, "t": self.single[letters].astype(np.int64)}
-        )
+        w = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        p = (np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        t = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        last = p == np.repeat(sizes - 1, sizes)
+        following = {"next_p": pa.array(p + np.int32(1), mask=last), "next_t": pa.array(np.roll(t, -1), mask=last)}
+        self._load("start", {"w": w, "p": p, "t": t, **following})
         found = self.db.sql(query).to_arrow_table()
-        ids = found.column("ids").combine_chunks()
-        values, offsets = ids.values.to_numpy().astype("<i4"), ids.offsets.to_numpy()
-        for n, w in enumerate(found.column("w").to_pylist()):
-            yield w, values[offsets[n] : offsets[n + 1]].tobytes()
+        w, ids = found.column("w").to_numpy(), found.column("t").to_numpy().astype("<i4").tobytes()
+        edges = np.flatnonzero(np.diff(w, prepend=-1, append=-1))
+        ends = (4 * edges).tolist()
+        for word, low, high in zip(w[edges[:-1]].tolist(), ends, ends[1:], strict=False):
+            yield word, ids[low:high]
 
     def _learn(self, words: list[str]) -> None:
+        short: dict[bytes, str] = {}
         cut: dict[str, list[bytes]] = {}
         for word in words:
             data = word.encode()
             whole = self.ranks.get(data)
             if whole is not None:
-                self.words[word] = np.array([whole], "<i4").tobytes()
+                self.words[word] = whole.to_bytes(4, "little")
+            elif len(data) <= SHORT_BYTES:
+                short[data] = word
             else:
                 cut[word] = self._parts(data)
-        wanted = list(set().union(*cut.values()))
+        parts = set().union(*cut.values())
         found: dict[bytes, bytes] = {}
-        short = [p for p in wanted if len(p) <= SHORT_BYTES]
-        long = [p for p in wanted if len(p) > SHORT_BYTES]
-        for group, query in ((short, SHORT_WORDS), (long, LONG_WORDS)):
+        few = list(short.keys() | {p for p in parts if len(p) <= SHORT_BYTES})
+        many = [p for p in parts if len(p) > SHORT_BYTES]
+        for group, query in ((few, SHORT_WORDS), (many, LONG_WORDS)):
             for low in range(0, len(group), WORDS):
                 part = group[low : low + WORDS]
                 for w, ids in self._contract(part, query):
                     found[part[w]] = ids
+        self.words.update((word, found[data]) for data, word in short.items())
         self.words.update((word, b"".join([found[p] for p in parts])) for word, parts in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -234,10 +241,11 @@ class ByteBpe:
     @staticmethod
     def _chunks(text: str) -> list[str]:
         """Cut before each single space between other letters: no match of the pattern goes across."""
-        parts = text.split(" ")
-        if any(not p or p[0].isspace() for p in parts[1:]):
-            return [text] if text else []
-        return [p for p in (parts[0], *[f" {p}" for p in parts[1:]]) if p]
+        if LOOSE_SPACE.search(text):
+            return TIGHT_SPACE.split(text)
+        first, *rest = text.split(" ")
+        parts = [" " + p for p in rest]
+        return [first, *parts] if first else parts
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
