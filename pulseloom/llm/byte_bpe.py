@@ -37,19 +37,15 @@ from pyspark.sql import functions as F
 
 from pulseloom.llm.batches import text_slices
 
-#: Entries that a worker remembers of a kind; beyond that, those met in one batch only are forgotten.
-KEPT = 250_000
-#: Bytes of a word for the first query; words and, about, ids per query. The first query holds the rows of all
-#: its rounds, so the number of words bounds its memory.
+#: Bytes of a word for the first query. Longer words are not remembered, so a memory of so many words is bounded.
 SHORT_BYTES = 48
-WORDS = 10_000
+KEPT = 350_000
+#: Rows that a query holds, about: the first one keeps those of all its rounds, the second one only the last.
+ROWS = 1_500_000
+#: Ids per decoding query.
 IDS = 200_000
 #: Bytes of text per batch.
-SLICE = 4 << 20
-
-#: A space before other white space or at the end; and the places between a letter and a single space.
-LOOSE_SPACE = regex.compile(r" (?=\s|\Z)")
-TIGHT_SPACE = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
+SLICE = 2 << 20
 
 #: One contraction per word and round. A row holds the place and token behind it, and what both merge to.
 #: Places are below 256, as are the lengths of short words, so rank, place and next place make one number.
@@ -155,7 +151,7 @@ class ByteBpe:
         self._load("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(texts)})
         self.valid = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
         self.valid[list(self.ranks.values())] = True
-        self.words, self.chunks = Memory(), Memory()
+        self.words = Memory()
         self._finder: ahocorasick.Automaton | None = None
 
     @staticmethod
@@ -221,8 +217,10 @@ class ByteBpe:
         few = list(short.keys() | {p for p in parts if len(p) <= SHORT_BYTES})
         many = [p for p in parts if len(p) > SHORT_BYTES]
         for group, query in ((few, SHORT_WORDS), (many, LONG_WORDS)):
-            for low in range(0, len(group), WORDS):
-                part = group[low : low + WORDS]
+            rows = np.array([len(p) * min(len(p), SHORT_BYTES) // 2 for p in group], np.int64)
+            edges = np.flatnonzero(np.diff(np.cumsum(rows) // ROWS, prepend=-1)).tolist()
+            for low, high in zip(edges, [*edges[1:], len(group)], strict=False):
+                part = group[low:high]
                 for w, ids in self._contract(part, query):
                     found[part[w]] = ids
         self.words.update((word, found[data]) for data, word in short.items())
@@ -230,22 +228,14 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids per text as little-endian 32-bit numbers."""
-        cut = [self._chunks(t) for t in texts]
-        new = list(self.chunks.unknown(set().union(*cut)))
-        matches = [self.pattern.findall(c) for c in new]
-        self._learn(list(self.words.unknown(set().union(*matches))))
-        for chunk, words in zip(new, matches, strict=True):
-            self.chunks[chunk] = b"".join(map(self.words.__getitem__, words))
-        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        """Cut before each single space between other letters: no match of the pattern goes across."""
-        if LOOSE_SPACE.search(text):
-            return TIGHT_SPACE.split(text)
-        first, *rest = text.split(" ")
-        parts = [" " + p for p in rest]
-        return [first, *parts] if first else parts
+        matches = [self.pattern.findall(t) for t in texts]
+        new = self.words.unknown(set().union(*matches))
+        self._learn(list(new))
+        found = [b"".join(map(self.words.__getitem__, m)) for m in matches]
+        for word in new:
+            if len(word) > SHORT_BYTES:
+                del self.words[word]
+        return found
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
@@ -279,7 +269,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteBpe.shared(path, pattern)
-        for part in text_slices(_sliced(batches), SLICE):
+        for part in text_slices(batches, SLICE):
             found = coder.encode([t or "" for t in part.column("text").to_pylist()])
             sizes = np.cumsum([0, *(len(f) // 4 for f in found)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())

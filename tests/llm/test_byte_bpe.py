@@ -72,7 +72,7 @@ def test_random_long_words(coder, library):
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KEPT", 5)
-    monkeypatch.setattr(byte_bpe, "WORDS", 3)
+    monkeypatch.setattr(byte_bpe, "ROWS", 60)
     small = byte_bpe.ByteBpe(PATH, PATTERN)
     for text in texts()[-40:]:
         ids = np.frombuffer(small.encode([text])[0], "<i4")
@@ -80,6 +80,14 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert small.decode([ids])[0] == text.encode()
 
 
+def test_many_words_of_the_greatest_short_length(coder, library):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(byte_bpe.SHORT_BYTES)) for _ in range(12_000)]
+    found = coder.encode(words)
+    assert [np.frombuffer(f, "<i4").tolist() for f in found] == [library.encode_ordinary(w) for w in words]
+    assert not [w for w in coder.words if len(w) > byte_bpe.SHORT_BYTES]
+
+
 def test_decoding_any_ids(coder, library):
     rng = random.Random(3)
     lists = [np.array([rng.randrange(50_256) for _ in range(rng.randint(0, 60))], np.int32) for _ in range(100)]
