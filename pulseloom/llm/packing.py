@@ -29,12 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseloom.functions.ordering import global_rank
+from pulseloom.llm.batches import text_slices
 from pulseloom.llm.vocabulary import WordTokenizer
 from pulseloom.session import materialise
 
 WINDOW = 4096
 #: The id that closes each document.
 CLOSING_ID = 2
+#: Texts that are split into words at a time, in rows and bytes.
+SLICE_ROWS, SLICE_BYTES = 512, 2 << 20
 
 
 class RoomTree:
@@ -115,8 +118,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, closing: int =
         encode = WordTokenizer.shared(tokenizer)
         end = np.array([closing], dtype="<u4").tobytes()
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
+            rows = (batch.slice(low, SLICE_ROWS) for low in range(0, batch.num_rows, SLICE_ROWS))
+            for part in text_slices(rows, SLICE_BYTES):
                 out: list[list] = [[], [], [], [], []]
                 ids = []
                 texts = [t or "" for t in part.column("text").to_pylist()]

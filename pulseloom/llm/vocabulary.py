@@ -12,7 +12,8 @@ from functools import lru_cache
 import numpy as np
 
 #: Words kept per encoder; beyond that those met in one batch only are forgotten, which changes no result.
-KEPT_WORDS = 1_000_000
+#: A worker keeps them until it ends, also while it works for other operators.
+KEPT_WORDS = 400_000
 #: Words that the tokenizer gets in one text, and the letter between them.
 JOINED_WORDS = 100
 _BETWEEN = "\0"

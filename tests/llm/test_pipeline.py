@@ -1,6 +1,7 @@
 import json
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -69,5 +70,17 @@ def test_stages_on_no_rows(spark, docs_of):
     assert docs.count() == 0
 
 
+def test_python_gets_bounded_batches(spark, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+    stage = lambda spark, docs, sf_dir: spark.range(0, 5000, 1, 1).mapInArrow(sizes, "rows long")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", stage)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.rows for r in corpus_pipeline.run(spark, SMALL).collect()] == [corpus_pipeline.BATCH_ROWS] * 5
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_entry_lists_are_plain_data():
     assert json.dumps(sorted(entry.oracle_sql()))
