@@ -15,6 +15,8 @@ from pulseloom.session import materialise, tune
 
 #: Rows that executors hold at a time for Python, there and back.
 BATCH_ROWS = 1000
+#: Words that a worker remembers for packing; it holds them during the other stages of a later run too.
+KEPT_WORDS = 400_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,7 +47,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     tune(spark)
-    return packing.pack(packing.pieces(docs, vocabulary_path("word_bpe_49k.json")))
+    return packing.pack(packing.pieces(docs, vocabulary_path("word_bpe_49k.json"), kept_words=KEPT_WORDS))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -12,8 +12,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words kept per encoder; beyond that those met in one batch only are forgotten, which changes no result.
-#: A worker keeps them until it ends, also while it works for other operators.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
 #: Words that the tokenizer gets in one text, and the letter between them.
 JOINED_WORDS = 100
 _BETWEEN = "\0"
@@ -44,12 +43,14 @@ class WordTokenizer:
     """A tokenizer that drops white space, so that each word has ids of its own.
 
     ``batch`` gives the ids of each text as little-endian 32-bit numbers. They are those of the
-    whole text, since no token spans white space.
+    whole text, since no token spans white space. A worker keeps its words until it ends, also
+    while it works for other operators; ``kept`` is their number, by default ``KEPT_WORDS``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int | None = None) -> None:
         from tokenizers import Tokenizer
 
+        self.kept = kept or KEPT_WORDS
         # Special tokens in a text are found, as the library does by default; they hold no white space.
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
@@ -58,9 +59,9 @@ class WordTokenizer:
 
     @staticmethod
     @lru_cache(maxsize=4)
-    def shared(path: str) -> WordTokenizer:
-        """One per worker process and file."""
-        return WordTokenizer(path)
+    def shared(path: str, kept: int | None = None) -> WordTokenizer:
+        """One per worker process, file and number of words."""
+        return WordTokenizer(path, kept)
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         if len(self.between) != 1:
@@ -86,8 +87,8 @@ class WordTokenizer:
         split = [_BLANKS.findall(t) if _SEPARATORS.search(t) else t.split() for t in texts]
         distinct = set().union(*split)
         new = distinct.difference(self.known)
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known = {w: self.known[w] for w in self.again.union(distinct - new)} if len(self.again) < KEPT_WORDS // 2 else {}
+        if len(self.known) + len(new) > self.kept:
+            self.known = {w: self.known[w] for w in self.again.union(distinct - new)} if len(self.again) < self.kept // 2 else {}
             self.again = set()
             new = distinct.difference(self.known)
         self.again |= distinct - new

@@ -119,6 +119,15 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     assert [small.batch([t])[0] for t in texts] == want
 
 
+def test_kept_words_are_bounded_per_coder():
+    texts = [" ".join(f"w{i * 7 % 50}{j}" for j in range(20)) for i in range(40)]
+    small = WordTokenizer(VOCABULARY, 30)
+    for text in texts:
+        small.batch([text])
+        assert len(small.known) <= 30
+    assert WordTokenizer.shared(VOCABULARY, 30) is not WordTokenizer.shared(VOCABULARY)
+
+
 def test_padding(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4095,), (4096,)], "n int")
     assert [r[0] for r in df.select(packing.padded_length(F.col("n"))).collect()] == [1, 2, 4096, 4096, 4096]
