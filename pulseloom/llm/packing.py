@@ -111,16 +111,30 @@ def plan(counts: Sequence[int], window: int = WINDOW) -> list[tuple[int, int, in
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, closing: int = CLOSING_ID, keep_ids: bool = False, kept_words: int | None = None
+    docs: DataFrame,
+    tokenizer: str,
+    window: int = WINDOW,
+    closing: int = CLOSING_ID,
+    keep_ids: bool = False,
+    kept_words: int | None = None,
+    lasting: bool = True,
 ) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens per piece; with ``keep_ids`` the ids too.
 
-    ``kept_words`` bounds the words that a worker remembers, which changes no result.
+    ``kept_words`` bounds the words that a worker remembers; unless ``lasting``, it forgets them at the
+    end of each task. Neither changes a result.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordTokenizer.shared(tokenizer, kept_words)
+        try:
+            yield from cut_by(encode, batches)
+        finally:
+            if not lasting:
+                encode.forget()
+
+    def cut_by(encode: WordTokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([closing], dtype="<u4").tobytes()
         for batch in batches:
             rows = (batch.slice(low, SLICE_ROWS) for low in range(0, batch.num_rows, SLICE_ROWS))

@@ -44,7 +44,7 @@ class WordTokenizer:
 
     ``batch`` gives the ids of each text as little-endian 32-bit numbers. They are those of the
     whole text, since no token spans white space. A worker keeps its words until it ends, also
-    while it works for other operators; ``kept`` is their number, by default ``KEPT_WORDS``.
+    while it works for other operators, or until ``forget``; ``kept`` is their number, by default ``KEPT_WORDS``.
     """
 
     def __init__(self, path: str, kept: int | None = None) -> None:
@@ -63,6 +63,10 @@ class WordTokenizer:
         """One per worker process, file and number of words."""
         return WordTokenizer(path, kept)
 
+    def forget(self) -> None:
+        """Give the memory of words back."""
+        self.known, self.again = {}, set()
+
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         if len(self.between) != 1:
             found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)

@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,6 +129,21 @@ def test_kept_words_are_bounded_per_coder():
     assert WordTokenizer.shared(VOCABULARY, 30) is not WordTokenizer.shared(VOCABULARY)
 
 
+def test_workers_forget_words_at_the_end_of_a_task(spark, docs_of):
+    def words_held(kept):
+        def count(batches):
+            for _ in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([len(WordTokenizer.shared(VOCABULARY, kept).known)])], ["words"])
+
+        return sum(r.words for r in spark.range(0, 40, 1, 8).mapInArrow(count, "words long").collect())
+
+    docs = docs_of([(i, f"some words{i} here") for i in range(40)])
+    lasting, passing = (packing.pieces(docs, VOCABULARY, kept_words=k, lasting=k == 777) for k in (777, 778))
+    assert sorted(lasting.collect()) == sorted(passing.collect())
+    assert any(words_held(777) for _ in range(10))
+    assert not any(words_held(778) for _ in range(3))
+
+
 def test_padding(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4095,), (4096,)], "n int")
     assert [r[0] for r in df.select(packing.padded_length(F.col("n"))).collect()] == [1, 2, 4096, 4096, 4096]

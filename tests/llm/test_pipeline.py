@@ -82,5 +82,23 @@ def test_python_gets_bounded_batches(spark, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_run_alone_bound_their_batches(spark, docs_of, name, stage):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    before = {key: spark.conf.get(key) for key in corpus_pipeline.BATCH_SETTINGS}
+    try:
+        stage(spark, docs_of([(1, "some words here"), (2, None)]), SMALL)
+        short = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "rows long, bytes long").collect()
+        long = spark.range(0, 1000, 1, 1).selectExpr("id", "repeat('words ', 2000) as text").mapInArrow(sizes, "rows long, bytes long").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert [r.rows for r in short] == [corpus_pipeline.BATCH_ROWS] * 5
+    assert sum(r.rows for r in long) == 1000 and max(r.bytes for r in long) < 1.1 * corpus_pipeline.BATCH_BYTES
+
+
 def test_entry_lists_are_plain_data():
     assert json.dumps(sorted(entry.oracle_sql()))
