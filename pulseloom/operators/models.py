@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pulseloom.functions.ordering import global_rank
 from pulseloom.functions.quantiles import exact_quantiles
 from pulseloom.functions.text import WORD, tokens, unigrams_and_bigrams
+from pulseloom.operators import terms
 from pulseloom.operators.forest import ForestClassifier, ForestRegressor
 from pulseloom.operators.splits import balanced_weights
 from pulseloom.session import materialise
@@ -422,11 +423,6 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 def tfidf_features(df: DataFrame, key: str, text: str, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(key, term, tfidf): (1 + ln count) * idf at unit length per document.
 
-    Counted once, into a written table; the terms meet it again by a join.
+    Terms are exchanged by hash, once per block of documents; the pairs do not move.
     """
-    counts = materialise(term_counts(df, key, text), "terms")
-    terms = _terms(counts, df, min_documents).select("term", "idf")
-    weighted = counts.join(terms, "term").withColumn("_w", (F.lit(1) + F.log("term_count")) * F.col("idf"))
-    # One document's terms per window.
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", (F.col("_w") / norm).alias("tfidf"))
+    return terms.weights(df, key, text, min_documents)
