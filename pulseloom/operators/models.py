@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression
@@ -26,7 +27,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -163,9 +164,14 @@ class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        @F.udf(VectorUDT(), useArrow=True)
-        def damp(v: SparseVector) -> SparseVector:
-            return SparseVector(v.size, v.indices, 1.0 + np.log(v.values))
+        # Whole batches of vectors at a time, as Arrow holds them.
+        @F.arrow_udf(VectorUDT())
+        def damp(v: pa.Array) -> pa.Array:
+            counts = v.field("values")
+            damped = pa.array(1.0 + np.log(counts.flatten().to_numpy(zero_copy_only=False)))
+            sizes = np.append(0, np.cumsum(np.diff(counts.offsets.to_numpy())))
+            values = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), damped, type=counts.type)
+            return pa.StructArray.from_arrays([v.field("type"), v.field("size"), v.field("indices"), values], fields=list(v.type))
 
         return dataset.withColumn(self.getOutputCol(), damp(self.getInputCol()))
 
@@ -179,8 +185,9 @@ def _term_totals(prepared: DataFrame) -> DataFrame:
     """(term, corpus_frequency, document_frequency) of the ``_terms`` lists, in one shuffle."""
     ordered = prepared.select(F.sort_array("_terms").alias("t"))
     # In a sorted list the first of equal terms stands for the document.
-    marked = F.transform("t", lambda x, i: F.struct(x.alias("term"), ((i == 0) | (F.col("t")[F.greatest(i - 1, F.lit(0))] != x)).alias("first")))
-    each = ordered.select(F.inline(marked))
+    # An inner explode would look for texts with terms below the shuffle, and take all texts apart twice.
+    each = ordered.select("t", F.posexplode_outer("t").alias("i", "term")).where("term is not null")
+    each = each.select("term", ((F.col("i") == 0) | (F.col("t")[F.greatest(F.col("i") - 1, F.lit(0))] != F.col("term"))).alias("first"))
     return each.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_frequency"), F.count_if("first").alias("document_frequency"))
 
 
@@ -376,11 +383,13 @@ def theme_search(
     found, centres = [], []
     for k in ks:
         model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="cluster").fit(data)
-        clustered = materialise(model.transform(data).select(key, "features", "cluster"), "clusters")
+        # The features are written once; each clustering adds its labels only.
+        placed = model.transform(data)
+        clustered = materialise(placed.select(key, "cluster"), "clusters")
         judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="cosine")
         # One cluster, or none with texts, has no silhouette.
         several = clustered.select("cluster").distinct().count() > 1
-        silhouette = F.lit(judge.evaluate(clustered) if several else None).cast("double")
+        silhouette = F.lit(judge.evaluate(placed) if several else None).cast("double")
         found.append(clustered.select(key, F.lit(k).alias("k"), "cluster", silhouette.alias("silhouette")))
         for cluster, centre in enumerate(model.clusterCenters()):
             heaviest = sorted(range(len(names)), key=lambda i: (-centre[i], names[i]))[:terms]

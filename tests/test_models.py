@@ -228,3 +228,35 @@ def test_metrics_of_several_models_become_tracked_rows(spark):
         assert all(whole[n] == pytest.approx(alone[n]) for n in alone.asDict())
     tracked = {(r["run_id"], r["metric_name"]): r["metric_value"] for r in metrics.language_metric_rows(found, {"m1": 7, "m2": 8}).collect()}
     assert len(tracked) == 2 * (4 + 2) and tracked[8, "f1_macro_en"] == 1.0 and (7, "precision_macro_fr") not in tracked
+
+
+def test_counts_are_damped_by_batches(spark):
+    """Each vector went through Python objects of its own; no term, and one term, are damped too."""
+    from pyspark.ml.linalg import SparseVector, Vectors
+
+    rows = [(SparseVector(5, [1, 3], [1.0, math.e]),), (SparseVector(5, [], []),), (SparseVector(5, [4], [9.0]),)]
+    df = spark.createDataFrame(rows, ["c"]).coalesce(1)
+    damped = models.SublinearTf(inputCol="c", outputCol="d").transform(df)
+    plan = damped._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and [r["d"] for r in damped.collect()] == [
+        SparseVector(5, [1, 3], [1.0, 2.0]), SparseVector(5, [], []), SparseVector(5, [4], [1 + math.log(9)])
+    ]
+    assert all(isinstance(r["d"], type(Vectors.sparse(1, []))) for r in damped.collect())
+
+
+def test_features_are_written_once_for_all_clusterings(spark, texts, monkeypatch):
+    """They were written again beside the labels of each number of clusters."""
+    written, real = [], models.materialise
+    monkeypatch.setattr(models, "materialise", lambda df, label="frame": written.append((label, df.columns)) or real(df, label))
+    models.theme_search(texts, "id", (2, 3), terms=3, vocabulary=50, min_documents=2)
+    assert [label for label, columns in written if "features" in columns] == ["features"]
+    assert [columns for label, columns in written if label == "clusters"] == [["id", "cluster"]] * 2
+
+
+def test_texts_are_taken_apart_once_for_the_totals(spark):
+    """An inner explode looks for texts with terms below the shuffle, and splits them there too."""
+    dealt = spark.createDataFrame([("a b a",), ("",)], "s string").repartition(3)
+    totals = models._term_totals(dealt.select(F.split("s", " ").alias("_terms")))
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert {r["term"]: (r["corpus_frequency"], r["document_frequency"]) for r in totals.collect()}["a"] == (2, 1)
